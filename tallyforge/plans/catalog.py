@@ -1,4 +1,13 @@
 """Imports every query module so that the registry is complete."""
 
-from tallyforge.plans import clean_queries, contract_queries, feature_queries, profile_queries, source_queries  # noqa: F401
+from tallyforge.plans import (  # noqa: F401
+    clean_queries,
+    contract_queries,
+    drift_queries,
+    feature_queries,
+    prep_queries,
+    profile_queries,
+    quality_queries,
+    source_queries,
+)
 from tallyforge.plans.registry import ORACLES, QUERIES  # noqa: F401
