@@ -9,5 +9,7 @@ from tallyforge.plans import (  # noqa: F401
     profile_queries,
     quality_queries,
     source_queries,
+    stream_queries,
+    train_queries,
 )
 from tallyforge.plans.registry import ORACLES, QUERIES  # noqa: F401
