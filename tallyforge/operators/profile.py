@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyforge.functions.columns import finite_or_null, is_missing, numeric_columns, quoted, ratio
-from tallyforge.operators.ranks import average_ranks, exact_quantiles, running_counts
+from tallyforge.operators.ranks import DEFAULT_RANGES, average_ranks, exact_quantiles, running_counts
 
 
 def missing_by_column(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -152,27 +152,29 @@ def _corr_rows(df, pairs, digits):
 def spearman_matrix(df: DataFrame, columns: list[str] | None = None, digits: int | None = 4) -> DataFrame:
     """Rank correlation with tied ranks averaged, each pair over the rows where both are known."""
     columns = columns or numeric_columns(df)
-    nulls = df.agg(*[F.count_if(is_missing(df, c)).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    nulls = df.agg(F.count(F.lit(1)).alias("n"),
+                   *[F.count_if(is_missing(df, c)).alias(f"c{i}") for i, c in enumerate(columns)]).first()
     full = [c for i, c in enumerate(columns) if nulls[f"c{i}"] == 0]
     parts = []
     if len(full) > 1:
-        parts.append(_spearman_complete(df, full, digits))
+        parts.append(_spearman_complete(df, full, digits, nulls["n"]))
     for a, b in _pairs(columns):
         if a not in full or b not in full:
-            parts.append(_spearman_complete(df.where(~is_missing(df, a) & ~is_missing(df, b)), [a, b], digits))
+            both = df.where(~is_missing(df, a) & ~is_missing(df, b))
+            parts.append(_spearman_complete(both, [a, b], digits, nulls["n"]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-def _spearman_complete(df, columns, digits):
+def _spearman_complete(df, columns, digits, rows):
     """Ranks of distinct values joined back by value.
 
     Spark broadcasts the rank table of a column when its measured size allows it; otherwise
     the join is a shuffle whose hot values the adaptive skew join splits.
     """
-    ranks = average_ranks(df, columns)
+    ranks = average_ranks(df, columns, rows)
     ranked = df.select(*[F.col(quoted(c)).cast("double").alias(c) for c in columns])
     for i, c in enumerate(columns):
         one = ranks.where(F.col("column") == c).select(F.col("value").alias(c), F.col("avg_rank").alias(f"__r{i}"))
@@ -182,14 +184,22 @@ def _spearman_complete(df, columns, digits):
 
 
 def kendall_matrix(df: DataFrame, columns: list[str], digits: int | None = 6) -> DataFrame:
+    rows = df.count()
     out = None
     for a, b in _pairs(columns):
-        one = kendall_tau(df, a, b, digits)
+        one = kendall_tau(df, a, b, digits, rows)
         out = one if out is None else out.unionByName(one)
     return out
 
 
-def kendall_tau(df: DataFrame, a: str, b: str, digits: int | None = 6) -> DataFrame:
+def _places(cells: DataFrame, name: str, rows: int | None) -> DataFrame:
+    """Dense 0-based place of every distinct value of a column, and how many values there are."""
+    values = cells.groupBy(name).agg(F.lit(1).cast("long").alias("one")).withColumn("column", F.lit(name))
+    return running_counts(values, ["column"], name, ["one"], rows=rows).select(
+        name, F.col("one_before").alias(f"{name}r"), F.col("one_total").alias(f"{name}n"))
+
+
+def kendall_tau(df: DataFrame, a: str, b: str, digits: int | None = 6, rows: int | None = None) -> DataFrame:
     """Exact tau-b without comparing all pairs of rows.
 
     Two rows with different `a` part at exactly one bit of its dense rank. For every bit the
@@ -199,20 +209,15 @@ def kendall_tau(df: DataFrame, a: str, b: str, digits: int | None = 6) -> DataFr
     known = df.select(F.col(quoted(a)).cast("double").alias("x"), F.col(quoted(b)).cast("double").alias("y"))
     known = known.where(F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y"))
     cells = known.groupBy("x", "y").agg(F.count(F.lit(1)).alias("c"))
-    xs = running_counts(cells.groupBy("x").agg(F.lit(1).cast("long").alias("one")).withColumn("column", F.lit("x")),
-                        ["column"], "x", ["one"]).select("x", F.col("one_before").alias("xr"), "one_total")
-    levels = max(1, int(cells.select("x").distinct().count() - 1).bit_length())
-    cuts = known.agg(F.percentile_approx("y", [i / 64 for i in range(1, 64)], 1000)).first()[0] or []
-    y_range = F.lit(0)
-    for cut in sorted(set(cuts)):
-        y_range = y_range + (F.col("y") > cut).cast("int")
-    bits = F.explode(F.array(*[F.struct(
-        F.lit(i).alias("level"), F.shiftright("xr", i + 1).alias("node"),
-        F.shiftright("xr", i).bitwiseAND(F.lit(1)).alias("side")) for i in range(levels)])).alias("at")
-    sides = (cells.join(xs, "x").select("y", "c", y_range.alias("yr"), bits)
-             .groupBy("at.level", "at.node", "yr", "y")
-             .agg(F.sum(F.when(F.col("at.side") == 0, F.col("c")).otherwise(0)).alias("zero"),
-                  F.sum(F.when(F.col("at.side") == 1, F.col("c")).otherwise(0)).alias("one")))
+    levels = F.ceil(F.log2(F.greatest("xn", F.lit(2)))).cast("int")
+    y_range = F.floor(F.col("yr") * DEFAULT_RANGES / F.col("yn")).alias("yr")
+    placed = cells.join(_places(cells, "x", rows), "x").join(_places(cells, "y", rows), "y")
+    split = placed.select("y", "c", y_range, "xr", F.explode(F.sequence(F.lit(0), levels - 1)).alias("level"))
+    node = F.floor(F.col("xr") / F.pow(F.lit(2.0), F.col("level") + 1)).alias("node")
+    side = F.floor(F.col("xr") / F.pow(F.lit(2.0), F.col("level"))) % 2
+    sides = (split.groupBy("level", node, "yr", "y")
+             .agg(F.sum(F.when(side == 0, F.col("c")).otherwise(0)).alias("zero"),
+                  F.sum(F.when(side == 1, F.col("c")).otherwise(0)).alias("one")))
     node = Window.partitionBy("level", "node")
     offsets = (sides.groupBy("level", "node", "yr").agg(F.sum("zero").alias("z"))
                .select("level", "node", "yr", F.sum("z").over(node).alias("zero_all"),
@@ -295,8 +300,12 @@ def infer_contract(df: DataFrame, max_values: int = 50) -> DataFrame:
     base = one.select(F.inline(F.array(*rows)))
     if not texts:
         return base.withColumn("allowed_values", F.lit(None).cast("string"))
-    counts = _category_counts(df, texts).where(F.col("value").isNotNull())
-    small = counts.groupBy("column").count().where(F.col("count") <= max_values).select("column")
-    sets = (counts.join(F.broadcast(small), "column").groupBy("column")
-            .agg(F.array_join(F.sort_array(F.collect_list("value")), ",").alias("allowed_values")))
+    sizes = df.agg(*[F.approx_count_distinct(F.col(quoted(c))).alias(c) for c in texts]).first()
+    likely = [c for c in texts if sizes[c] <= 2 * max_values]  # the sketch is within a few percent
+    if not likely:
+        return base.withColumn("allowed_values", F.lit(None).cast("string"))
+    counts = _category_counts(df, likely).where(F.col("value").isNotNull())
+    sets = (counts.groupBy("column")
+            .agg(F.count(F.lit(1)).alias("n"), F.array_join(F.sort_array(F.collect_list("value")), ",").alias("allowed_values"))
+            .where(F.col("n") <= max_values).drop("n"))
     return base.join(sets, "column", "left")

@@ -15,21 +15,32 @@ from pyspark.sql import functions as F
 from tallyforge.functions.columns import quoted
 
 DEFAULT_RANGES = 64
+ONE_TASK_VALUES = 1_000_000
 EXACT_IN_ONE_AGG = 200_000
 SLICE_ROWS = 100_000
-SKETCH_ACCURACY = 10_000
+SKETCH_ACCURACY = 2_000
 
 
 def running_counts(counts: DataFrame, by: list[str], value: str, measures: list[str],
-                   ranges: int = DEFAULT_RANGES) -> DataFrame:
+                   ranges: int = DEFAULT_RANGES, rows: int | None = None) -> DataFrame:
     """Add `<m>_before`, `<m>_total` and `next_<value>` to a table of distinct (by, value) rows.
 
     `<m>_before` sums the measure over all smaller values of the group. The number of
     groups must be small (columns, slots, metrics): one row of range edges per group is
     broadcast. The result does not depend on where the edges fall, only the balance does.
     The edge table carries its own offsets, so a recomputed stage cannot mix two sets of edges.
+    `rows` is a known bound on the rows of `counts`; when one task can sort that many, a plain
+    window does the same in one step.
     """
     val = F.col(value)
+    if rows is not None and rows <= ONE_TASK_VALUES:
+        whole, sorted_ = Window.partitionBy(*by), Window.partitionBy(*by).orderBy(val)
+        upto = sorted_.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return counts.select(
+            *[F.col(c) for c in counts.columns],
+            *[(F.sum(m).over(upto) - F.col(m)).alias(f"{m}_before") for m in measures],
+            *[F.sum(m).over(whole).alias(f"{m}_total") for m in measures],
+            F.lead(val).over(sorted_).alias(f"next_{value}"))
     occurs = F.lit(0)
     for m in measures:
         occurs = occurs + F.col(m)
@@ -72,9 +83,9 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
             .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
 
 
-def average_ranks(df: DataFrame, columns: list[str]) -> DataFrame:
+def average_ranks(df: DataFrame, columns: list[str], rows: int | None = None) -> DataFrame:
     """(column, value, n, avg_rank): 1-based ranks, ties share their mean rank."""
-    ranked = running_counts(value_counts(df, columns), ["column"], "value", ["n"])
+    ranked = running_counts(value_counts(df, columns), ["column"], "value", ["n"], rows=rows)
     return ranked.select("column", "value", "n",
                          (F.col("n_before") + (F.col("n") + 1) / 2.0).alias("avg_rank"))
 
@@ -121,36 +132,67 @@ def _select_ranks(clean: DataFrame, wanted: list[tuple[str, int]], sizes, slice_
                   accuracy: int) -> dict[tuple[str, int], float]:
     inf = float("inf")
     spans = {w: (-inf, inf, 0, sizes[w[0]]) for w in wanted}  # low, high, rows below, rows inside
+    settled: set[tuple[str, int]] = set()  # answered by one value, or no longer shrinking
     for _ in range(6):
-        wide = [w for w in wanted if spans[w][3] > slice_rows]
+        wide = [w for w in wanted if spans[w][3] > slice_rows and w not in settled]
         if not wide:
             break
+        # one sketch per column and span serves all ranks asked of it
+        groups: dict[tuple, list[tuple[str, int]]] = {}
+        for w in wide:
+            groups.setdefault((w[0], *spans[w]), []).append(w)
+        slack = 2.0 / accuracy
         ask = []
-        for i, w in enumerate(wide):
-            low, high, below, inside = spans[w]
-            share, slack = (w[1] - below) / inside, 2.0 / accuracy
-            col = F.col(quoted(w[0]))
+        for i, ((name, low, high, below, inside), ranks) in enumerate(groups.items()):
+            col = F.col(quoted(name))
+            shares = [(w[1] - below) / inside for w in ranks]
             ask.append(F.percentile_approx(
-                F.when(col.between(low, high), col),
-                [max(0.0, share - slack), min(1.0, share + slack)], accuracy).alias(f"s{i}"))
+                col if (low, high) == (-inf, inf) else F.when(col.between(low, high), col),
+                [min(1.0, max(0.0, s + d)) for s in shares for d in (-slack, slack)], accuracy).alias(f"s{i}"))
         near = clean.agg(*ask).first()
+        found = {w: tuple(near[f"s{i}"][2 * j:2 * j + 2]) for i, ranks in enumerate(groups.values())
+                 for j, w in enumerate(ranks)}
+        brackets = sorted({(w[0], *found[w]) for w in wide})
         counts = []
-        for i, w in enumerate(wide):
-            low, high = near[f"s{i}"]
-            col = F.col(quoted(w[0]))
-            counts += [F.count_if(col < low).alias(f"b{i}"), F.count_if(col.between(low, high)).alias(f"m{i}")]
+        for i, (name, low, high) in enumerate(brackets):
+            col = F.col(quoted(name))
+            counts += [F.count_if(col < low).alias(f"b{i}"), F.count_if(col.between(low, high)).alias(f"m{i}"),
+                       F.count_if(col == low).alias(f"lo{i}"), F.count_if(col == high).alias(f"hi{i}")]
         got = clean.agg(*counts).first()
-        for i, w in enumerate(wide):
-            if got[f"b{i}"] <= w[1] < got[f"b{i}"] + got[f"m{i}"] and got[f"m{i}"] < spans[w][3]:
-                spans[w] = (*near[f"s{i}"], got[f"b{i}"], got[f"m{i}"])
-
-    slots = [F.when(F.col(quoted(w[0])).between(spans[w][0], spans[w][1]),
-                    F.struct(F.lit(i).alias("slot"), F.col(quoted(w[0])).alias("value")))
-             for i, w in enumerate(wanted)]
+        for w in wide:
+            i = brackets.index((w[0], *found[w]))
+            low, high = found[w]
+            start, inside = got[f"b{i}"], got[f"m{i}"]
+            if not start <= w[1] < start + inside:
+                settled.add(w)  # the sketch missed: keep the span that is known to hold the rank
+            elif w[1] < start + got[f"lo{i}"]:
+                spans[w] = (low, low, start, got[f"lo{i}"])
+                settled.add(w)
+            elif w[1] >= start + inside - got[f"hi{i}"]:
+                spans[w] = (high, high, start + inside - got[f"hi{i}"], got[f"hi{i}"])
+                settled.add(w)
+            elif inside < spans[w][3]:
+                spans[w] = (low, high, start, inside)
+            else:
+                settled.add(w)
+
+    out = {w: spans[w][0] for w in wanted if spans[w][0] == spans[w][1]}
+    wanted = [w for w in wanted if w not in out]
+    if not wanted:
+        return out
+    # ranks that share a span share its rows
+    slots_of = sorted({(w[0], *spans[w]) for w in wanted})
+    slots = [F.when(F.col(quoted(name)).between(low, high),
+                    F.struct(F.lit(i).alias("slot"), F.col(quoted(name)).alias("value")))
+             for i, (name, low, high, _, _) in enumerate(slots_of)]
     inside = (clean.select(F.inline(F.array_compact(F.array(*slots))))
               .groupBy("slot", "value").agg(F.count(F.lit(1)).alias("n")))
-    placed = running_counts(inside, ["slot"], "value", ["n"])
-    target = F.create_map(*[x for i, w in enumerate(wanted)
-                            for x in (F.lit(i), F.lit(w[1] - spans[w][2]).cast("long"))])[F.col("slot")]
-    hits = placed.where((F.col("n_before") <= target) & (target < F.col("n_before") + F.col("n")))
-    return {wanted[r["slot"]]: r["value"] for r in hits.select("slot", "value").collect()}
+    placed = running_counts(inside, ["slot"], "value", ["n"], rows=max(span[4] for span in slots_of))
+    asked = [(slots_of.index((w[0], *spans[w])), w[1] - spans[w][2], w) for w in wanted]
+    test = F.lit(False)
+    for slot, rank, _ in asked:
+        test = test | ((F.col("slot") == slot) & (F.col("n_before") <= rank) & (rank < F.col("n_before") + F.col("n")))
+    hits = placed.where(test).select("slot", "value", "n_before", "n").collect()
+    for slot, rank, w in asked:
+        out[w] = next(h["value"] for h in hits if h["slot"] == slot and h["n_before"] <= rank < h["n_before"] + h["n"])
+    return out

@@ -18,6 +18,16 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, WORD_BREAK), lambda w: w != "")
 
 
+def is_json(text: Column) -> Column:
+    """The whole text is one JSON value; Spark's parser alone stops after the first one.
+
+    Inside an array the text must be followed by a closing marker as second and last element.
+    """
+    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"~end"]')))
+    second = F.try_variant_get(wrapped, "$[1]", "string") == "~end"
+    return F.when(text.isNotNull(), F.coalesce(second & F.try_variant_get(wrapped, "$[2]", "variant").isNull(), F.lit(False)))
+
+
 def text_profile(df: DataFrame, column: str, key: Sequence[str], pattern: str | None = None,
                  exact: str | None = None) -> DataFrame:
     """Length, words, share of characters that are neither letters nor spaces, link, pattern, equality and JSON."""
@@ -25,7 +35,7 @@ def text_profile(df: DataFrame, column: str, key: Sequence[str], pattern: str |
     size = F.length(text)
     cols = [size.alias("text_length"), F.size(words(text)).alias("word_count"),
             (ratio(F.length(F.regexp_replace(text, r"[\p{L} ]", "")), size) * 100).alias("non_letter_percent"),
-            text.rlike(LINK).alias("has_link"), F.try_parse_json(text).isNotNull().alias("is_json")]
+            text.rlike(LINK).alias("has_link"), is_json(text).alias("is_json")]
     if pattern is not None:
         cols.append(text.rlike(f"^(?:{pattern})").alias("matches"))
     if exact is not None:

@@ -4,7 +4,6 @@ from tallyforge.operators import drift
 from tallyforge.operators.drift import ColumnRoles, DriftOptions
 from tallyforge.operators.split import exact_split
 from tallyforge.plans import fixtures as fx
-from tallyforge.plans.contract_queries import LINES, _LINE_BAD  # noqa: F401
 from tallyforge.plans.registry import query, table
 
 _DAY = "1998-04-25"

@@ -1,28 +1,28 @@
 from pyspark.sql import functions as F
 
 from tallyforge.operators import clean, features
-from tallyforge.plans.registry import query, table
+from tallyforge.plans.registry import half_up_sql, query, table
 
 
 def _sessions(spark, sf):
     return features.session_features(table(spark, sf, "events"), "user_id", "ts", "value", "event_id")
 
 
-@query("d1_user_summary", """
+@query("d1_user_summary", f"""
 select o_custkey as user_id, count(*) as total_workouts,
        count(*) filter (where o_totalprice > 250000) as heavy_workout_days,
        count(*) filter (where o_totalprice <= 250000) as light_workout_days,
-       cast(round(cast(avg(o_totalprice) as decimal(38,10)), 2) as double) as avg_weight
+       {half_up_sql('avg(o_totalprice)')} as avg_weight
 from orders group by o_custkey having count(*) > 10""")
 def user_summary(spark, sf):
     orders = table(spark, sf, "orders").withColumnRenamed("o_custkey", "user_id")
     return features.entity_summary(orders, "user_id", "o_totalprice", "o_totalprice", heavy_over=250000)
 
 
-@query("w1_moving_avg", """
-select event_id, user_id, cast(round(cast(avg(value) over (partition by user_id order by ts, event_id
-       rows between 6 preceding and current row) as decimal(38,10)), 2) as double) as moving_avg_7d_calories
-from events""")
+@query("w1_moving_avg", f"""
+select event_id, user_id, {half_up_sql('m')} as moving_avg_7d_calories from (
+  select event_id, user_id, avg(value) over (partition by user_id order by ts, event_id
+       rows between 6 preceding and current row) as m from events)""")
 def moving_average(spark, sf):
     return _sessions(spark, sf).select("event_id", "user_id", "moving_avg_7d_calories")
 
@@ -49,15 +49,14 @@ def session_change(spark, sf):
                                        F.round("calorie_diff_from_prev", 6).alias("calorie_diff_from_prev"))
 
 
-@query("w5_top_features", """
+@query("w5_top_features", f"""
 with w as (
   select user_id, ts as log_date, value as calories_burned, event_id,
-    cast(round(cast(avg(value) over (partition by user_id order by ts, event_id
-      rows between 6 preceding and current row) as decimal(38,10)), 2) as double) as moving_avg_7d_calories,
+    avg(value) over (partition by user_id order by ts, event_id rows between 6 preceding and current row) as m,
     lag(value, 1) over (partition by user_id order by ts, event_id) as prev_session_calories,
     row_number() over (partition by user_id order by value desc, event_id) as calorie_burn_rank
   from events)
-select user_id, log_date, calories_burned, moving_avg_7d_calories, prev_session_calories, calorie_burn_rank,
+select user_id, log_date, calories_burned, {half_up_sql('m')} as moving_avg_7d_calories, prev_session_calories, calorie_burn_rank,
        round(calories_burned - prev_session_calories, 6) as calorie_diff_from_prev
 from w where calorie_burn_rank <= 3""")
 def top_features(spark, sf):

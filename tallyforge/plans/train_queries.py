@@ -8,6 +8,7 @@ from tallyforge.operators.split import exact_split
 from tallyforge.plans.drift_queries import _rounded
 from tallyforge.plans.registry import query, table
 from tallyforge.session import scratch_path
+from tallyforge.sources.writers import export_splits
 
 _KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"]
 _NUM = ["l_extendedprice", "l_discount", "l_tax", "l_quantity"]
@@ -21,9 +22,16 @@ def _lines(spark, sf):
     return lines.withColumn("charge", F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax")))
 
 
+def _split_lines(spark, sf):
+    """The split is written once and read by every later stage."""
+    path = scratch_path(spark, "split-lines")
+    export_splits(exact_split(_lines(spark, sf), _KEY), path)
+    return spark.read.parquet(path)
+
+
 def _features(spark, sf):
     """Feature vectors of all lines with their split; scaling is fitted on the training rows."""
-    parts = exact_split(_lines(spark, sf), _KEY)
+    parts = _split_lines(spark, sf)
     model = TabularPreprocessor(numerical=_NUM, categorical=["l_returnflag"], config=_PREP).fit(
         parts.where(F.col("split") == "train"))
     return model.transform(parts).select("split", "features", "charge")
@@ -95,7 +103,7 @@ def best_trial(spark, sf):
 
 
 def _pipeline(spark, sf):
-    parts = exact_split(_lines(spark, sf), _KEY)
+    parts = _split_lines(spark, sf)
     prep = TabularPreprocessor(numerical=_NUM, categorical=["l_returnflag"], config=_PREP)
     return parts, train.fit_pipeline(parts.where(F.col("split") == "train"), prep, "ridge", {"alpha": 1.0}, "charge")
 
