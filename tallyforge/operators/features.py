@@ -73,6 +73,7 @@ def _chunked_sessions(df, entity, when, value, tiebreak, rows, chunk_rows):
     top_key = F.coalesce(F.col(value).cast("double"), F.lit(float("inf")))
     numbered = _position(_position(df, entity, time_key, tiebreak, False, "__seq"),
                          entity, top_key, tiebreak, True, "__rank")
+    chunk_rows = max(chunk_rows, rows)  # the rows carried over come from one chunk only
     chunk = F.floor(F.col("__seq") / chunk_rows)
     carried = F.col("__seq") % chunk_rows >= chunk_rows - (rows - 1)
     spread = numbered.select("*", F.explode(F.when(carried, F.array(chunk, chunk + 1)).otherwise(F.array(chunk)))

@@ -17,11 +17,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions.columns import is_missing, quoted
+from tallyforge.session import checkpoint_root
 
 BOX_ROWS = 20_000
 SAMPLE_PER_BOX = 32
 CELLS_AT_ONCE = 4_000_000
 HITS = "combo int, qid string, d2 double, donor string, y double"
+NO_HITS = pd.DataFrame({"combo": pd.Series(dtype="int32"), "qid": pd.Series(dtype=object), "d2": pd.Series(dtype=float),
+                        "donor": pd.Series(dtype=object), "y": pd.Series(dtype=float)})
 
 
 @dataclass(frozen=True)
@@ -90,6 +93,7 @@ def knn_impute(df: DataFrame, donors: DataFrame, features: Sequence[str], donor_
     if weights not in ("uniform", "distance"):
         raise ValueError(f"weights must be 'uniform' or 'distance', not {weights!r}")
     features = list(features)
+    checkpoint_root(df.sparkSession)
     typed = df.withColumns({f: F.when(~is_missing(df, f), F.col(quoted(f)).cast("double")) for f in features})
     typed = typed.withColumn("__pattern", _pattern(features))
     known = donors.select(F.col(quoted(donor_key)).cast("string").alias("donor"),
@@ -155,7 +159,7 @@ def _fill(typed, known, combos, features, k, weights, box_rows):
                .groupBy("combo", "qid").agg(F.any_value("x").alias("x")))
     first = Window.partitionBy("combo", "x").orderBy("donor")
     pool = (_points(known, combos, "donor_pattern", [F.col("donor")])
-            .withColumn("__n", F.row_number().over(first)).where(F.col("__n") <= k).drop("__n"))
+            .withColumn("__n", F.row_number().over(first)).where(F.col("__n") <= k).drop("__n")).checkpoint()
     sizes = {r["combo"]: r["count"] for r in pool.groupBy("combo").count().collect()}
     trees = _trees(pool, sizes, box_rows)
     scale = {i: len(features) / len(c.shared) for i, c in enumerate(combos)}
@@ -166,6 +170,7 @@ def _fill(typed, known, combos, features, k, weights, box_rows):
     if max(t.depth for t in trees.values()) == 0:
         best = near
     else:
+        near = near.checkpoint()
         reach = near.groupBy("combo", "qid").agg(F.count(F.lit(1)).alias("n"), F.max("d2").alias("d2"))
         asked = own.join(reach, ["combo", "qid"], "left").select(
             "combo", "qid", "x", "leaf", F.when(F.col("n") >= k, F.col("d2")).alias("limit"))
@@ -188,13 +193,16 @@ def _trees(pool: DataFrame, sizes: dict[int, int], box_rows: int) -> dict[int, T
     """A tree per combo from a sample whose size follows the number of boxes."""
     depths = {c: max(0, int(np.ceil(np.log2(max(1.0, n / box_rows))))) for c, n in sizes.items()}
     trees = {c: Tree(np.zeros(0, dtype=int), np.zeros(0), 0) for c in sizes}
-    for c, depth in depths.items():
-        if depth:
-            share = min(1.0, SAMPLE_PER_BOX * 2 ** depth / sizes[c])
-            unit = F.pmod(F.xxhash64("x", "donor"), F.lit(1_000_000)) / 1_000_000
-            pts = [r["x"] for r in pool.where((F.col("combo") == c) & (unit < share)).select("x").collect()]
-            if pts:
-                trees[c] = Tree.build(np.asarray(pts, dtype=float), depth)
+    shares = {c: SAMPLE_PER_BOX * 2 ** d / sizes[c] for c, d in depths.items() if d}
+    if not shares:
+        return trees
+    share = F.create_map(*[F.lit(float(v)) if i else F.lit(c) for c, v in shares.items() for i in (0, 1)])[F.col("combo")]
+    unit = F.pmod(F.xxhash64("x", "donor"), F.lit(1_000_000)) / 1_000_000
+    points: dict[int, list] = {}
+    for r in pool.where(unit < share).select("combo", "x").collect():  # a few points per box
+        points.setdefault(r["combo"], []).append(r["x"])
+    for c, pts in points.items():
+        trees[c] = Tree.build(np.asarray(pts, dtype=float), depths[c])
     return trees
 
 
@@ -237,7 +245,7 @@ def _search(queries: DataFrame, pool: DataFrame, k: int, scale: dict[int, float]
 
     def nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame({c: [] for c in ("combo", "qid", "d2", "donor", "y")})
+            return NO_HITS
         factor = scale[int(left["combo"].iloc[0])]
         right = right.sort_values("donor", kind="stable")
         q = np.asarray(left["x"].tolist(), dtype=float)

@@ -35,6 +35,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(named)
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
