@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyforge.functions.columns import finite_or_null, is_missing, numeric_columns, quoted, ratio
+from tallyforge.functions.columns import finite_or_null, is_missing, long_form, numeric_columns, quoted, ratio
 from tallyforge.operators.ranks import DEFAULT_RANGES, average_ranks, exact_quantiles, running_counts
 
 
@@ -57,36 +57,29 @@ def numeric_profile(df: DataFrame, columns: list[str] | None = None, exact: bool
     `exact=False` takes the quartiles from sketches.
     """
     columns = columns or numeric_columns(df)
-    aggs: list[Column] = [F.count(F.lit(1)).alias("rows")]
-    for i, c in enumerate(columns):
-        x = F.when(~is_missing(df, c), F.col(quoted(c)).cast("double"))
-        aggs += [F.count(x).alias(f"n{i}"), F.count_if(x == 0).alias(f"z{i}"), F.min(x).alias(f"lo{i}"),
-                 F.max(x).alias(f"hi{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"sd{i}"),
-                 F.skewness(x).alias(f"g1{i}"), F.kurtosis(x).alias(f"g2{i}")]
-        if not exact:
-            aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).alias(f"q{i}"))
-    one = df.agg(*aggs)
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75]) if exact else {}
-    rows = []
-    for i, c in enumerate(columns):
-        n = F.col(f"n{i}").cast("double")
-        g1, g2 = F.col(f"g1{i}"), F.col(f"g2{i}")
-        if exact:
-            q25, q50, q75 = (F.lit(quartiles[c][p]).cast("double") for p in (0.25, 0.5, 0.75))
-        else:
-            q25, q50, q75 = (F.get(F.col(f"q{i}"), j) for j in range(3))
-        skew = F.when(n >= 3, F.when(F.col(f"sd{i}") == 0, 0.0).otherwise(g1 * F.sqrt(n * (n - 1)) / (n - 2)))
-        kurt = F.when(n >= 4, F.when(F.col(f"sd{i}") == 0, 0.0).otherwise(
-            (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6)))
-        rows.append(F.struct(
-            F.lit(c).alias("column"),
-            ratio(F.col("rows") - F.col(f"n{i}"), F.col("rows")).alias("missing_null_ratio"),
-            ratio(F.col(f"z{i}"), F.col("rows")).alias("zero_ratio"),
-            *[finite_or_null(v).alias(a) for v, a in (
-                (F.col(f"lo{i}"), "min"), (F.col(f"hi{i}"), "max"), (F.col(f"mean{i}"), "mean"),
-                (q50, "median_50"), (F.col(f"sd{i}"), "std_dev"), (q75 - q25, "iqr_25_75"),
-                (skew, "skewness"), (kurt, "kurtosis"))]))
-    return one.select(F.inline(F.array(*rows)))
+    x = F.when(~F.isnan("value"), F.col("value"))
+    # long form: the aggregate's code stays small however many columns there are
+    per = long_form(df, columns).groupBy("column").agg(
+        F.count(F.lit(1)).alias("rows"), F.count(x).alias("known"), F.count_if(x == 0).alias("zeros"),
+        F.min(x).alias("min"), F.max(x).alias("max"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std_dev"),
+        F.skewness(x).alias("g1"), F.kurtosis(x).alias("g2"),
+        *([] if exact else [F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).alias("quartiles")]))
+    if exact:
+        found = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
+        quartiles = F.create_map(*[v for c in columns for v in (
+            F.lit(c), F.array(*[F.lit(found[c][p]).cast("double") for p in (0.25, 0.5, 0.75)]))])[F.col("column")]
+    else:
+        quartiles = F.col("quartiles")
+    n, flat = F.col("known").cast("double"), F.col("std_dev") == 0
+    skew = F.when(n >= 3, F.when(flat, 0.0).otherwise(F.col("g1") * F.sqrt(n * (n - 1)) / (n - 2)))
+    kurt = F.when(n >= 4, F.when(flat, 0.0).otherwise((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("g2") + 6)))
+    return per.select(
+        "column", ratio(F.col("rows") - F.col("known"), F.col("rows")).alias("missing_null_ratio"),
+        ratio(F.col("zeros"), F.col("rows")).alias("zero_ratio"),
+        *[finite_or_null(v).alias(name) for v, name in (
+            (F.col("min"), "min"), (F.col("max"), "max"), (F.col("mean"), "mean"),
+            (F.get(quartiles, 1), "median_50"), (F.col("std_dev"), "std_dev"),
+            (F.get(quartiles, 2) - F.get(quartiles, 0), "iqr_25_75"), (skew, "skewness"), (kurt, "kurtosis"))])
 
 
 def _category_counts(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -58,6 +58,13 @@ def sample_trials(n: int, seed: int, model: str | None = None, space: dict[str,
     return out
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for training: iterative fits read the rows dozens of times, so few input files
+    are worth one shuffle. Inputs that already have a partition per core stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def label_stats(df: DataFrame, label: str) -> tuple[int, float]:
     row = df.agg(F.count(label).alias("n"), F.stddev_samp(label).alias("s")).first()
     return row["n"], row["s"] or 1.0
@@ -104,7 +111,7 @@ def search(spark: SparkSession, train: DataFrame, val: DataFrame, label: str, *,
     unknown = [m for m in metrics if m not in METRICS]
     if unknown:
         raise ValueError(f"unsupported metrics {unknown}, choose from {', '.join(METRICS)}")
-    fit_on = train.select(features, F.col(label).cast("double").alias(label)).persist(StorageLevel.MEMORY_AND_DISK)
+    fit_on = spread(train.select(features, F.col(label).cast("double").alias(label))).persist(StorageLevel.MEMORY_AND_DISK)
     score_on = val.select(features, F.col(label).cast("double").alias(label)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         stats = label_stats(fit_on, label)
@@ -152,6 +159,7 @@ def best_trials(trials: DataFrame) -> DataFrame:
 def fit_pipeline(train: DataFrame, preprocessor, name: str, params: dict[str, Any], label: str, seed: int = 42) -> PipelineModel:
     """Preprocessor and model as one pipeline that takes raw rows."""
     features = preprocessor.getOrDefault("outputCol")
+    train = spread(train)
     model = regressor(name, params, features, label, label_stats(train, label), seed)
     return Pipeline(stages=[preprocessor, model]).fit(train)
 

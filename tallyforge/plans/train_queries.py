@@ -43,7 +43,7 @@ s as (select sum((x - mx) * (y - my)) / (sum((x - mx) * (x - mx)) + 50.0) as slo
 select round(slope, 6) as slope, round(my - slope * mx, 5) as intercept from s""")
 def ridge(spark, sf):
     lines = _lines(spark, sf).select((F.col("l_extendedprice") / 1000).alias("x"), (F.col("charge") / 1000).alias("y"))
-    data = VectorAssembler(inputCols=["x"], outputCol="features").transform(lines)
+    data = train.spread(VectorAssembler(inputCols=["x"], outputCol="features").transform(lines))
     model = train.regressor("ridge", {"alpha": 50.0}, "features", "y", train.label_stats(data, "y")).fit(data)
     return spark.range(1).select(F.round(F.lit(float(model.coefficients[0])), 6).alias("slope"),
                                  F.round(F.lit(float(model.intercept)), 5).alias("intercept"))
@@ -51,7 +51,7 @@ def ridge(spark, sf):
 
 def _fitted(spark, sf, name, params):
     """Validation scores next to those of a constant predictor."""
-    parts = _features(spark, sf).persist()
+    parts = train.spread(_features(spark, sf)).persist()
     fit_on, val = parts.where(F.col("split") == "train"), parts.where(F.col("split") == "val")
     model = train.regressor(name, params, "features", "charge", train.label_stats(fit_on, "charge")).fit(fit_on)
     scores = quality.evaluation_metrics(model.transform(val), "charge", "prediction").first()
