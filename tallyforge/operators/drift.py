@@ -316,16 +316,19 @@ def embedding_drift_model(reference: DataFrame, current: DataFrame, column: str,
                           seed: int = 42) -> DataFrame:
     """ROC-AUC of a linear model that tells the sides apart, fitted on one half and scored on the other."""
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.functions import array_to_vector
 
     from tallyforge.operators.quality import roc_auc
     from tallyforge.operators.split import hashed_split
-    sides = [df.select(key, array_to_vector(F.col(column).cast("array<double>")).alias("features"),
-                       F.lit(s).alias("label")) for s, df in ((0.0, reference), (1.0, current))]
+    sides = [df.select(key, F.col(column).cast("array<double>").alias("e"), F.lit(s).alias("label"))
+             for s, df in ((0.0, reference), (1.0, current))]
     both = hashed_split(sides[0].unionByName(sides[1]), key, {"train": 0.5, "test": 0.5}, seed)
-    model = LogisticRegression(maxIter=50, regParam=0.01).fit(both.where(F.col("split") == "train"))
-    scored = model.transform(both.where(F.col("split") == "test")).select(
-        F.col("label").cast("int").alias("target"), vector_to_array("probability")[1].alias("score"))
+    train = both.where(F.col("split") == "train").select("label", array_to_vector("e").alias("features"))
+    model = LogisticRegression(maxIter=50, regParam=0.01).fit(train)
+    # the margin ranks rows as the probability does, and needs no model object inside the tasks
+    weights = F.array(*[F.lit(float(w)) for w in model.coefficients])
+    margin = F.aggregate(F.zip_with("e", weights, lambda x, w: x * w), F.lit(0.0), lambda total, x: total + x)
+    scored = both.where(F.col("split") == "test").select(F.col("label").cast("int").alias("target"), margin.alias("score"))
     return roc_auc(scored, "target", "score").select("roc_auc", (F.col("roc_auc") > limit).alias("embedding_drift"))
 
 

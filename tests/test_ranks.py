@@ -2,7 +2,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from tallyforge.operators import profile, ranks
 from tallyforge.operators.drift import ecdf_distances
@@ -58,12 +57,10 @@ def test_drift_of_a_table_against_itself_is_zero(sample):
 
 def test_spearman_equals_pandas_with_nulls_and_ties(sample):
     got = {(r[0], r[1]): r[2] for r in profile.spearman_matrix(sample, ["hot", "steps", "gaps"]).collect()}
-    want = sample.toPandas()[["hot", "steps", "gaps"]].rank  # pandas ranks per pair below
     pdf = sample.toPandas()
     for (a, b), r in got.items():
         both = pdf[[a, b]].dropna()
         assert r == round(both[a].rank().corr(both[b].rank()), 4)
-    assert want is not None
 
 
 def test_numeric_profile_equals_pandas(sample):
@@ -107,7 +104,3 @@ def test_auc_with_ties(spark):
     want = ((pos[:, None] > neg).sum() + 0.5 * (pos[:, None] == neg).sum()) / (len(pos) * len(neg))
     df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(t, s)], "t int, s double")
     assert roc_auc(df, "t", "s").first()[0] == pytest.approx(want, abs=1e-12)
-
-
-def test_plain_column_counts(sample):
-    assert ranks.value_counts(sample, ["steps"]).agg(F.sum("n")).first()[0] == 4000
