@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from tallyforge.session import scratch_path
 
 BLOCK_BYTES = 4 << 20
+#: A-Z to a-z, other bytes as they are.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import hash_ring, mixing, token_count, url_automaton
+from tallyforge.llm import (
+    decontaminate,
+    hash_ring,
+    minmax_dedup,
+    mixing,
+    pii_crf,
+    projected_nn,
+    quality_vote,
+    token_count,
+    toxicity_pu,
+    url_automaton,
+)
+from tallyforge.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +38,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query("op1_quality")
+def quality(spark, sf):
+    held_out = fold("doc_id", 4) == 2
+    scored = quality_vote.vote_quality(table(spark, sf, "documents"), table(spark, sf, "labels").where(~held_out))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 URL_RULES = [
     url_automaton.Rule("block", "net", "/"), url_automaton.Rule("allow", "example.net", "/en/"),
     url_automaton.Rule("block", "example.com", "/de/"), url_automaton.Rule("allow", "org", "/fr/"),
@@ -57,6 +76,11 @@ def url_filter(spark, sf):
     return url_automaton.judge_urls(table(spark, sf, "pages"), URL_RULES)
 
 
+@query("op3_personal_data")
+def personal_data(spark, sf):
+    return pii_crf.find_personal_data(table(spark, sf, "documents"), pii_crf.TAGGED)
+
+
 @query("op4_token_count")
 def token_lengths(spark, sf):
     import public_tokenizers
@@ -64,13 +88,36 @@ def token_lengths(spark, sf):
     return token_count.count_tokens(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op5_neighbours")
+def neighbours(spark, sf):
+    return projected_nn.nearest_neighbours(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query("op6_mixing")
 def mixing_weights(spark, sf):
     return mixing.mix_sources(table(spark, sf, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op7_toxicity")
+def toxicity(spark, sf):
+    held_out = fold("doc_id", 5) == 0
+    confirmed, prior = toxicity_pu.confirmed_toxic(table(spark, sf, "labels"), held_out)
+    scored = toxicity_pu.score_toxicity(table(spark, sf, "documents"), confirmed, prior, held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query("op8_sharding")
 def sharding(spark, sf):
     return hash_ring.shard_documents(table(spark, sf, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op9_decontamination")
+def decontamination(spark, sf):
+    return decontaminate.find_passages(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op10_near_duplicates")
+def near_duplicates(spark, sf):
+    return minmax_dedup.near_duplicates(table(spark, sf, "documents"))
