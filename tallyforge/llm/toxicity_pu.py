@@ -1,4 +1,4 @@
-"""Toxicity scores by non-negative positive-unlabelled learning over hashed character grams."""
+"""Toxicity scores by non-negative positive-unlabelled learning over hashed word beginnings."""
 
 from __future__ import annotations
 
@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.common import LOWER, blocks, mix, packed, pick, stored
 
-GRAM, BITS = 5, 18
+SHORTEST, LONGEST, BITS = 3, 8, 20
+#: Bytes that words are made of.
+WORD = np.zeros(256, bool)
+WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 
 
 @dataclass(frozen=True)
@@ -22,7 +25,7 @@ class Settings:
     positives: int = 4000
     unlabelled: int = 8000
     features: int = 1024
-    support: int = 8
+    support: int = 4
     epochs: int = 60
     batch: int = 512
     rate: float = 0.02
@@ -30,23 +33,38 @@ class Settings:
     seed: int = 7
 
 
-def gram_buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row and hash bucket of every run of GRAM bytes, A-Z in lower case, that lies in one row."""
-    if len(data) < GRAM:
+def prefix_buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash bucket of the first SHORTEST to LONGEST bytes of every word, A-Z in lower case.
+
+    Words are runs of letters, digits and bytes of other alphabets. Their beginnings hold the stem whatever the ending, and a
+    whole short word is one of them.
+    """
+    if not len(data):
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    low = LOWER[data].astype(np.uint64)
-    n = len(data) - GRAM + 1
-    code = low[:n].copy()
-    for j in range(1, GRAM):
-        code |= low[j:j + n] << np.uint64(8 * j)
-    rows = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    whole = rows[:n] == rows[GRAM - 1:]
-    return rows[:n][whole], (mix(code[whole]) >> np.uint64(64 - BITS)).astype(np.int64)
+    low = LOWER[data]
+    inside = WORD[low]
+    first = np.zeros(len(data) + 1, bool)
+    first[offsets] = True
+    begins, finishes = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1] | first[1:-1]
+    finishes[:-1] &= ~inside[1:] | first[1:-1]
+    starts, ends = np.flatnonzero(begins), np.flatnonzero(finishes) + 1
+    owner = np.searchsorted(offsets, starts, side="right") - 1
+    code = np.zeros(len(starts), np.uint64)
+    rows, buckets = [], []
+    for j in range(LONGEST):
+        goes_on = starts + j < ends
+        starts, ends, owner, code = starts[goes_on], ends[goes_on], owner[goes_on], code[goes_on]
+        code = code | (low[starts + j].astype(np.uint64) << np.uint64(8 * j))
+        if j + 1 >= SHORTEST:
+            rows.append(owner)
+            buckets.append((mix(code + np.uint64(j)) >> np.uint64(64 - BITS)).astype(np.int64))
+    return np.concatenate(rows), np.concatenate(buckets)
 
 
 def presence(data: np.ndarray, offsets: np.ndarray, place: np.ndarray, width: int) -> np.ndarray:
     """Rows x features: which chosen buckets occur in the row; `place` maps a bucket to its feature or -1."""
-    rows, buckets = gram_buckets(data, offsets)
+    rows, buckets = prefix_buckets(data, offsets)
     feature = place[buckets]
     seen = np.zeros((len(offsets) - 1, width), bool)
     seen[rows[feature >= 0], feature[feature >= 0]] = True
@@ -106,7 +124,7 @@ def score_toxicity(docs: DataFrame, confirmed: DataFrame, prior: float, held_out
     condition on the key: such rows never reach the training. A bounded sample is gathered on the driver as bits, never as text.
     With `keep` the columns of `docs` come back instead, for the documents that are not rejected.
 
-    Null texts count as empty; both get the score of a text without any known gram. Repeated rows get equal scores. With no
+    Null texts count as empty; both get the score of a text without any known word. Repeated rows get equal scores. With no
     positive or no unlabelled example every score is the prior. An empty table gives no rows.
     """
     s = settings
@@ -115,7 +133,7 @@ def score_toxicity(docs: DataFrame, confirmed: DataFrame, prior: float, held_out
     sample = stored(sample, "toxicity-sample")
     sizes = {r["positive"]: r["n"] for r in sample.groupBy("positive").agg(F.count("*").alias("n")).collect()}
     n_pos, n_all = sizes.get(True, 0), sizes.get(False, 0)
-    place = np.full(1 << BITS, -1, np.int64)
+    place = np.full(1 << BITS, -1, np.int32)
     weights, bias = np.zeros(1), float(np.log(prior / (1 - prior)))
     if n_pos and n_all:
         chosen = choose_buckets(sample, text, n_pos, n_all, s)
@@ -148,7 +166,7 @@ def choose_buckets(sample: DataFrame, text: str, n_pos: int, n_all: int, s: Sett
         total = np.zeros((2, 1 << BITS), np.int64)
         for whole in batches:
             for batch in blocks(whole, text):
-                rows, buckets = gram_buckets(*packed(batch.column(text)))
+                rows, buckets = prefix_buckets(*packed(batch.column(text)))
                 pairs = np.unique(rows * (1 << BITS) + buckets)
                 side = np.asarray(batch.column("positive").to_pylist(), np.int64)[pairs >> BITS]
                 np.add.at(total, (side, pairs & ((1 << BITS) - 1)), 1)
