@@ -29,8 +29,9 @@ def ring_slot(position: Column) -> Column:
 
 def ring(spark, shards: int, vnodes: int) -> DataFrame:
     """Arcs (arc, shard, after, upto): keys in (after, upto] of the signed 64-bit circle; the first arc also takes what wraps."""
-    points = spark.range(shards * vnodes).select((F.col("id") % shards).cast("int").alias("shard"),
-                                                 F.xxhash64(F.lit("node"), "id").alias("upto"))
+    # A shard's points depend on its own number alone, so a further shard leaves all others where they are.
+    shard, node = F.floor(F.col("id") / vnodes).cast("int"), (F.col("id") % vnodes).cast("int")
+    points = spark.range(shards * vnodes).select(shard.alias("shard"), F.xxhash64(F.lit("node"), shard, node).alias("upto"))
     order = Window.orderBy("upto", "shard")
     return points.select("shard", "upto", (F.row_number().over(order) - 1).cast("int").alias("arc"),
                          F.lag("upto").over(order).alias("after"))
@@ -114,3 +115,11 @@ def shard_documents(docs: DataFrame, shards: int = 40, vnodes: int = 64, slack:
     base = F.sum("n").over(Window.partitionBy("shard").orderBy("piece")) - F.col("n")
     bases = F.broadcast(counts.select("piece", (base - F.col("from_nth")).alias("base")))
     return dealt.join(bases, "piece").select(*kept, "size", "text_crc32", "shard", (F.col("base") + F.col("nth")).cast("long").alias("slot"))
+
+
+def sharded_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The documents with their own columns, and shard_bytes, shard and slot, which replace columns of those names."""
+    whole = docs.select(*dict.fromkeys([key, text]), F.struct("*").alias("row"))
+    dealt = shard_documents(whole, key=key, text=text, carry=["row"], **options)
+    own = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("shard_bytes", "shard", "slot")]
+    return dealt.select(*own, F.col("size").alias("shard_bytes"), "shard", "slot")

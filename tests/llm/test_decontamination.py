@@ -36,10 +36,10 @@ def normal(text):
 def test_every_passage_within_its_budget_is_found_and_nothing_else():
     rng = random.Random(5)
     s = dc.Settings()
-    items = [(i, prose(rng, rng.randint(8, 18))) for i in range(25)]
+    items = [(i, prose(rng, rng.randint(8, 18))) for i in range(12)]
     passages = dc.Passages(items, s)
     texts, planted = [], []
-    for n in range(120):
+    for n in range(60):
         text = prose(rng, rng.randint(5, 80))
         if n % 2:
             item, body = rng.choice(items)
@@ -54,7 +54,8 @@ def test_every_passage_within_its_budget_is_found_and_nothing_else():
             windows = [k for k in range(len(passages.item)) if passages.item[k] == item]
             near = any(distance_inside("".join(map(chr, passages.codes[k])), line) <= passages.budget[k] for k in windows)
             assert near == ((n, item) in got), (n, item)
-    assert len(got & set(planted)) >= 0.6 * len(planted)
+    # Up to nine edits: some planted passages are within their budget, some are not.
+    assert 0 < len(got & set(planted)) < len(planted)
 
 
 def test_spans_and_edits_are_those_of_the_text():
