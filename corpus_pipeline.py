@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyforge.llm import decontaminate, hash_ring, minmax_dedup, mixing, toxicity_pu
 from tallyforge.llm.common import fold
@@ -34,8 +33,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row with its shard and its place there."""
-    dealt = hash_ring.shard_documents(docs, carry=docs.columns)
-    return dealt.select(*docs.columns, F.col("size").alias("shard_bytes"), "shard", "slot")
+    return hash_ring.sharded_documents(docs)
 
 
 STAGES = [("toxicity", without_toxic), ("near_duplicates", without_copies), ("decontamination", without_benchmark), ("mixing", mix),
