@@ -25,11 +25,12 @@ class Settings:
     positives: int = 4000
     unlabelled: int = 8000
     features: int = 1024
-    support: int = 4
+    support: int = 3
+    purity: float = 0.2
     epochs: int = 60
     batch: int = 512
     rate: float = 0.02
-    decay: float = 1e-4
+    decay: float = 1e-5
     seed: int = 7
 
 
@@ -74,8 +75,9 @@ def presence(data: np.ndarray, offsets: np.ndarray, place: np.ndarray, width: in
 def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, s: Settings) -> tuple[np.ndarray, float]:
     """Weights and bias of a linear classifier that minimises the non-negative risk by Adam on mini-batches.
 
-    The risk is prior * E_p[l(f)] + max(0, E_u[l(-f)] - prior * E_p[l(-f)]) with logistic l: unlabelled text counts as negative,
-    less the share of positives the prior puts in it. Where the corrected part turns negative its gradient is walked back.
+    The risk is prior * E_p[l(f)] + max(0, E_u[l(-f)] - prior * E_p[l(-f)]) with the sigmoid loss l(z) = 1 / (1 + exp(z)):
+    unlabelled text counts as negative, less the share of positives the prior puts in it. Where the corrected part turns negative
+    its gradient is walked back.
     """
     rng = np.random.default_rng(s.seed)
     width = positive.shape[1]
@@ -89,13 +91,12 @@ def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, s: Sett
                 p_rows = p_order
             xp, xu = positive[p_rows].astype(np.float64), unlabelled[u_rows].astype(np.float64)
             fp, fu = xp @ theta[:-1] + theta[-1], xu @ theta[:-1] + theta[-1]
-            negative = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
             up, uu = 1 / (1 + np.exp(-fp)), 1 / (1 + np.exp(-fu))
-            corrected_p, corrected_u = -prior * up / len(fp), uu / len(fu)
-            if negative >= 0:
-                gp, gu = prior * (up - 1) / len(fp) + corrected_p, corrected_u
+            slope_p, slope_u = prior * up * (1 - up) / len(fp), uu * (1 - uu) / len(fu)
+            if uu.mean() >= prior * up.mean():
+                gp, gu = -2 * slope_p, slope_u
             else:
-                gp, gu = -corrected_p, -corrected_u
+                gp, gu = slope_p, -slope_u
             slope = np.append(xp.T @ gp + xu.T @ gu, gp.sum() + gu.sum())
             slope[:-1] += s.decay * theta[:-1]
             step += 1
@@ -136,7 +137,7 @@ def score_toxicity(docs: DataFrame, confirmed: DataFrame, prior: float, held_out
     place = np.full(1 << BITS, -1, np.int32)
     weights, bias = np.zeros(1), float(np.log(prior / (1 - prior)))
     if n_pos and n_all:
-        chosen = choose_buckets(sample, text, n_pos, n_all, s)
+        chosen = choose_buckets(sample, text, n_pos, n_all, prior, s)
         place[chosen] = np.arange(len(chosen))
         if len(chosen):
             found = sample_bits(sample, text, place, len(chosen), s)
@@ -159,8 +160,12 @@ def score_toxicity(docs: DataFrame, confirmed: DataFrame, prior: float, held_out
     return rows.mapInArrow(judged, f"`{key}` {rows.schema[key].dataType.simpleString()}, score double, predicted int")
 
 
-def choose_buckets(sample: DataFrame, text: str, n_pos: int, n_all: int, s: Settings) -> np.ndarray:
-    """The buckets whose document share among positives stands out most from that among all text."""
+def choose_buckets(sample: DataFrame, text: str, n_pos: int, n_all: int, prior: float, s: Settings) -> np.ndarray:
+    """The buckets whose document share among positives stands out most from that among all text.
+
+    By the prior, prior * share among positives / share among all estimates how much of the text with a bucket is toxic; buckets
+    below `purity` carry more noise than signal and are left out.
+    """
 
     def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, 1 << BITS), np.int64)
@@ -178,7 +183,8 @@ def choose_buckets(sample: DataFrame, text: str, n_pos: int, n_all: int, s: Sett
         F.sum("in_pos").alias("in_pos"), F.sum("in_all").alias("in_all"))
     excess = F.col("in_pos") / n_pos - F.col("in_all") / n_all
     contrast = excess / F.sqrt(F.col("in_all") / n_all + F.lit(1 / n_all))
-    best = counts.where((F.col("in_pos") >= s.support) & (excess > 0)).orderBy(contrast.desc(), "bucket").limit(s.features)
+    pure = F.col("in_pos") / n_pos * prior >= s.purity * F.col("in_all") / n_all
+    best = counts.where((F.col("in_pos") >= s.support) & (excess > 0) & pure).orderBy(contrast.desc(), "bucket").limit(s.features)
     return np.array([r["bucket"] for r in best.select("bucket").collect()], np.int64)
 
 
