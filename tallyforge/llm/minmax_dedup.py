@@ -18,14 +18,14 @@ class Settings:
     """`bands` bands of `rows` signature values; two texts of similarity s share none with chance (1 - s^rows)^bands.
 
     With 44 bands of 5 values that is 7e-6 at 0.75. Half of the bands hold minima and half maxima, so 110 permutations serve
-    220 values. `percent` is the least similarity, `leaders` how many members of a bucket are held against all others in turn.
+    220 values. `percent` is the least similarity, `leaders` how many members of a bucket are held against all others.
     """
 
     words: int = 5
     percent: int = 75
     bands: int = 44
     rows: int = 5
-    leaders: tuple[int, ...] = (1, 3, 8)
+    leaders: int = 4
     seed: int = 17
 
 
@@ -104,7 +104,7 @@ def band_keys(hashes: np.ndarray, bounds: np.ndarray, s: Settings) -> np.ndarray
 
 
 def signatures(docs: DataFrame, key: str, text: str, s: Settings) -> DataFrame:
-    """Per document: id, n_shingles, the two digests of its set and its band keys (null for empty sets)."""
+    """Per document: id, a digest of its text, n_shingles, the two digests of its set and its band keys (none for empty sets)."""
 
     def signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(s.words)
@@ -118,12 +118,12 @@ def signatures(docs: DataFrame, key: str, text: str, s: Settings) -> DataFrame:
                 ends = np.cumsum(np.where(size > 0, s.bands, 0))
                 offsets = np.append(0, ends).astype(np.int32)
                 bands = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys.ravel(), pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(size), pa.array(h1), pa.array(h2), bands],
-                                                 names=["id", "n_shingles", "h1", "h2", "bands"])
+                yield pa.RecordBatch.from_arrays([batch.column(key), batch.column("digest"), pa.array(size), pa.array(h1), pa.array(h2), bands],
+                                                 names=["id", "digest", "n_shingles", "h1", "h2", "bands"])
 
-    rows = pick(docs, key, text)
+    rows = pick(docs, key, text).select(key, text, F.xxhash64(text).alias("digest"))
     kind = rows.schema[key].dataType.simpleString()
-    return rows.mapInArrow(signed, f"id {kind}, n_shingles long, h1 long, h2 long, bands array<long>")
+    return rows.mapInArrow(signed, f"id {kind}, digest long, n_shingles long, h1 long, h2 long, bands array<long>")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, s: Settings) -> DataFrame:
@@ -154,13 +154,12 @@ def components(links: DataFrame) -> DataFrame:
     labels = stored(labels, "labels")
     while True:
         offers = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("component").alias("offer"))
-        moved = stored(labels.join(offers, "id").select(
-            "id", F.least("component", "offer").alias("component"), F.col("component").alias("before")), "labels")
+        moved = labels.join(offers, "id").select("id", F.least("component", "offer").alias("component"), F.col("component").alias("before"))
         heads = moved.select(F.col("id").alias("component"), F.col("component").alias("head"))
-        labels = stored(moved.join(heads, "component").select("id", F.least("component", "head").alias("component"), "before"), "labels")
-        if labels.where(F.col("component") != F.col("before")).isEmpty():
-            return labels.select("id", "component")
-        labels = labels.drop("before")
+        jumped = stored(moved.join(heads, "component").select("id", F.least("component", "head").alias("component"), "before"), "labels")
+        labels = jumped.select("id", "component")
+        if jumped.where(F.col("component") != F.col("before")).isEmpty():
+            return labels
 
 
 def similar_sizes(left: Column, right: Column, percent: int) -> Column:
@@ -177,52 +176,43 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joint.where(F.col("both") * 100 >= (F.col("all") - F.col("both")) * percent).select("a", "b")
 
 
-class Grouping:
-    """The component of every set met so far; links only ever merge components."""
-
-    def __init__(self, nodes: DataFrame) -> None:
-        self.of = stored(nodes.select("nid", F.col("nid").alias("component")), "components")
-
-    def merge(self, links: DataFrame) -> None:
-        """Takes in links (a, b) between sets."""
-        side = self.of
-        known = links.join(side.select(F.col("nid").alias("a"), F.col("component").alias("ca")), "a").join(
-            side.select(F.col("nid").alias("b"), F.col("component").alias("cb")), "b")
-        new = stored(known.where(F.col("ca") != F.col("cb")).select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "merges")
-        if new.isEmpty():
-            return
-        renamed = components(new).select(F.col("id").alias("component"), F.col("component").alias("under"))
-        self.of = stored(side.join(renamed, "component", "left").select("nid", F.coalesce("under", "component").alias("component")),
-                         "components")
+def merged(grouping: DataFrame | None, nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """nid and component after links (a, b) between sets; `grouping` is what was known before, None if every set stood alone."""
+    if grouping is None:
+        grouping = nodes.select("nid", F.col("nid").alias("component"))
+    else:
+        side = grouping.select(F.col("nid").alias("a"), F.col("component").alias("ca"))
+        other = grouping.select(F.col("nid").alias("b"), F.col("component").alias("cb"))
+        links = links.join(side, "a").join(other, "b").where("ca != cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    renamed = components(links).select(F.col("id").alias("component"), F.col("component").alias("under"))
+    return stored(grouping.join(renamed, "component", "left").select("nid", F.coalesce("under", "component").alias("component")),
+                  "components")
 
 
 def ordered_pair(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
 
 
-def prefix_pairs(open_sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets in different components that may reach the similarity: exact, whatever the size of a bucket.
+def open_links(entries: DataFrame, sets: DataFrame, bands: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) within buckets between sets of different components; only confirmed ones ever become rows.
 
-    `open_sets` has nid, component, items. With the items of each set ordered from rare to frequent, two similar sets share one of
-    their first n - ceil(n * percent / 100) + 1. Where most sets that hold an item belong to one component, only the others are
-    compared with all.
+    `entries` has bucket, band, nid, n, component. Sets outside a bucket's most frequent component are held against all of the
+    bucket, each pair once: in the first band that it shares, and from its smaller number if both sides are such sets.
     """
-    items = open_sets.select("nid", "component", F.size("items").alias("n"), F.explode("items").alias("item"))
-    often = items.groupBy("item").agg(F.count("*").alias("times")).where("times > 1")
-    # Items of one set only cannot pair, but hold their places in the order.
-    ranked = items.join(often, "item", "left").select("nid", "component", "n", "item", F.coalesce("times", F.lit(1)).alias("times"))
-    by_rarity = Window.partitionBy("nid").orderBy("times", "item")
-    kept = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    heads = stored(ranked.withColumn("nth", F.row_number().over(by_rarity)).where((F.col("nth") <= kept) & (F.col("times") > 1)).select(
-        "nid", "component", "n", "item"), "prefixes")
-    tally = heads.groupBy("item", "component").agg(F.count("*").alias("members"))
-    main = tally.groupBy("item").agg(F.max_by("component", "members").alias("main"), F.count("*").alias("kinds")).where("kinds > 1")
-    marked = heads.join(main.select("item", "main"), "item")
-    fewer = marked.where(F.col("component") != F.col("main")).select(
-        "item", F.col("nid").alias("p"), F.col("component").alias("cp"), F.col("n").alias("np"))
-    every = marked.select("item", F.col("nid").alias("q"), F.col("component").alias("cq"), F.col("n").alias("nq"))
-    met = fewer.join(every, "item").where((F.col("cp") != F.col("cq")) & similar_sizes(F.col("np"), F.col("nq"), percent))
-    return ordered_pair(met)
+    tally = entries.groupBy("bucket", "component").agg(F.count("*").alias("times"))
+    mixed = tally.groupBy("bucket").agg(F.max_by("component", "times").alias("main"), F.count("*").alias("kinds")).where("kinds > 1")
+    marked = entries.join(mixed.select("bucket", "main"), "bucket").select(
+        "bucket", "band", "nid", "n", "component", (F.col("component") != F.col("main")).alias("minor"))
+    full = marked.join(sets, "nid").join(bands, "nid")
+    p = full.where("minor").select("bucket", *[F.col(c).alias(f"p_{c}") for c in ("band", "nid", "n", "component", "items", "bands")])
+    q = full.select("bucket", *[F.col(c).alias(f"q_{c}") for c in ("nid", "n", "component", "items", "bands", "minor")])
+    earlier = F.exists(F.sequence(F.lit(0), F.col("p_band")), lambda i: (i < F.col("p_band")) & (
+        F.get("p_bands", i) == F.get("q_bands", i)))
+    both = F.size(F.array_intersect("p_items", "q_items"))
+    met = p.join(q, (p["bucket"] == q["bucket"]) & (F.col("p_component") != F.col("q_component"))
+                 & similar_sizes(F.col("p_n"), F.col("q_n"), percent) & (~F.col("q_minor") | (F.col("p_nid") < F.col("q_nid")))
+                 & ~earlier & (both * 100 >= (F.col("p_n") + F.col("q_n") - both) * percent))
+    return met.select(F.col("p_nid").alias("a"), F.col("q_nid").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
@@ -235,64 +225,55 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", se
     a null component_id. An empty table gives no rows.
 
     Classes that share a band key meet in a bucket. Each bucket's first few members, in seeded order, are held against all others
-    of the bucket; sets already connected need no further test, so a crowd of near copies takes a few comparisons per member.
-    Buckets that still hold several components after that are settled by an exact prefix join. No pair is left out for the size
-    of its bucket, and no task ever holds one.
+    of the bucket, so a crowd of near copies takes a few comparisons per member. Where a larger
+    bucket still holds several components, the sets outside its main one are held against all of it. No pair is left out for the
+    size of its bucket, and only confirmed links become rows.
     """
+    found = grouped(docs, key, text, settings)
+    return found.select(F.col("id").alias(key), "n_shingles", "component_id", "kept")
+
+
+def grouped(docs: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
+    """Per document: id, digest (of its text), n_shingles, component_id, kept."""
     s = settings
     signed = stored(signatures(docs, key, text, s), "signatures")
     classes = signed.where("n_shingles > 0").groupBy("h1", "h2").agg(
         F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     classes = stored(classes.withColumn("nid", F.monotonically_increasing_id()), "classes")
-    entries = classes.select("nid", "n", F.explode("bands").alias("bucket"))
+    entries = classes.select("nid", "n", F.posexplode("bands").alias("band", "bucket"))
     shared = entries.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     buckets = stored(entries.join(shared, "bucket"), "buckets")
     nodes = stored(buckets.select("nid").distinct(), "nodes")
-    grouping = Grouping(nodes)
-    if not nodes.isEmpty():
-        sets = stored(full_sets(docs, classes.join(nodes, "nid", "left_semi"), key, text, s), "sets")
-        link_buckets(buckets, sets, grouping, s)
+    sets = stored(full_sets(docs, classes.join(nodes, "nid", "left_semi"), key, text, s), "sets")
+    grouping = link_buckets(buckets, nodes, sets, classes.select("nid", "bands"), s)
 
-    labelled = classes.select("h1", "h2", "nid", "rep").join(grouping.of, "nid", "left").withColumn(
+    labelled = classes.select("h1", "h2", "nid", "rep").join(grouping, "nid", "left").withColumn(
         "component", F.coalesce("component", "nid"))
     smallest = labelled.groupBy("component").agg(F.min("rep").alias("component_id"))
     found = stored(labelled.join(smallest, "component").select("h1", "h2", "component_id"), "class-components")
-    rows = signed.select("id", "n_shingles", "h1", "h2")
-    with_set = rows.where("n_shingles > 0").join(found, ["h1", "h2"]).select("id", "n_shingles", "component_id")
-    without = rows.where("n_shingles = 0").select("id", "n_shingles", F.col("id").alias("component_id"))
-    return with_set.union(without).select(F.col("id").alias(key), "n_shingles", "component_id",
-                                          F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    rows = signed.select("id", "digest", "n_shingles", "h1", "h2")
+    with_set = rows.where("n_shingles > 0").join(found, ["h1", "h2"]).select("id", "digest", "n_shingles", "component_id")
+    without = rows.where("n_shingles = 0").select("id", "digest", "n_shingles", F.col("id").alias("component_id"))
+    return with_set.union(without).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
 
 
-def link_buckets(buckets: DataFrame, sets: DataFrame, grouping: Grouping, s: Settings) -> None:
-    """Tests leaders against their buckets, round by round, and what stays open by the prefix join."""
-    most = max(s.leaders)
+def link_buckets(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, bands: DataFrame, s: Settings) -> DataFrame:
+    """nid and component of all sets in buckets: leaders are tested against their buckets, then what a bucket still keeps apart."""
     draw = Window.partitionBy("bucket").orderBy(F.xxhash64(F.lit(s.seed), "nid"), "nid")
-    leaders = stored(buckets.select("bucket", "nid", "n").withColumn("nth", F.row_number().over(draw)).where(F.col("nth") <= most).select(
-        "bucket", "nth", F.col("nid").alias("lead"), F.col("n").alias("lead_n")), "leaders")
-    done = 0
-    for upto in s.leaders:
-        now = grouping.of
-        # Once it has met all its leaders a bucket needs no more rounds; one that is all one component needs none either.
-        left = buckets.where(F.col("members") > max(1, done)).join(now, "nid")
-        turn = leaders.where((F.col("nth") > done) & (F.col("nth") <= upto)).join(
-            now.select(F.col("nid").alias("lead"), F.col("component").alias("lead_component")), "lead")
-        met = left.join(turn, "bucket").where((F.col("component") != F.col("lead_component")) & similar_sizes(
-            F.col("n"), F.col("lead_n"), s.percent))
-        pairs = stored(ordered_pair(met.select(F.col("nid").alias("p"), F.col("lead").alias("q"))), "pairs")
-        grouping.merge(stored(confirmed(pairs, sets, s.percent), "confirmed"))
-        done = upto
+    leaders = buckets.select("bucket", "nid", "n").withColumn("nth", F.row_number().over(draw)).where(F.col("nth") <= s.leaders).select(
+        "bucket", F.col("nid").alias("lead"), F.col("n").alias("lead_n"))
+    met = buckets.join(leaders, "bucket").where((F.col("nid") != F.col("lead")) & similar_sizes(F.col("n"), F.col("lead_n"), s.percent))
+    pairs = stored(ordered_pair(met.select(F.col("nid").alias("p"), F.col("lead").alias("q"))), "pairs")
+    grouping = merged(None, nodes, stored(confirmed(pairs, sets, s.percent), "confirmed"))
     # All pairs with a leader are settled, so buckets of up to one member more than leaders are, too.
-    rest = buckets.where(F.col("members") > done + 1).join(grouping.of, "nid")
-    mixed = rest.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    open_nodes = stored(rest.join(mixed, "bucket", "left_semi").select("nid", "component").distinct(), "open")
-    if not open_nodes.isEmpty():
-        pairs = stored(prefix_pairs(open_nodes.join(sets, "nid"), s.percent), "pairs")
-        grouping.merge(stored(confirmed(pairs, sets, s.percent), "confirmed"))
+    rest = buckets.where(F.col("members") > s.leaders + 1).join(grouping, "nid")
+    links = stored(open_links(rest.select("bucket", "band", "nid", "n", "component"), sets, bands, s.percent), "confirmed")
+    return grouping if links.isEmpty() else merged(grouping, nodes, links)
 
 
 def without_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """The documents that stay, one per component, with all their columns; of repeated rows one stays."""
-    kept = near_duplicates(docs, key, text, settings).where("kept").select(F.col(key).alias("stays")).distinct()
-    left = docs.join(kept, F.col(key).eqNullSafe(F.col("stays")), "left_semi")
-    return left.withColumn("text_digest", F.xxhash64(text)).dropDuplicates([key, "text_digest"]).select(*docs.columns)
+    kept = grouped(docs, key, text, settings).where("kept").select(F.col("id").alias("stays"), "digest").distinct()
+    whole = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("digest"), F.struct("*").alias("row"))
+    left = whole.join(kept, whole["id"].eqNullSafe(F.col("stays")) & (whole["digest"] == kept["digest"]), "left_semi")
+    return left.dropDuplicates(["id", "digest"]).select("row.*")
