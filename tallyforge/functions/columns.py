@@ -14,11 +14,12 @@ def round_half_up(value: Column, digits: int = 2) -> Column:
     """Decimal rounding away from zero at the half, given back as double.
 
     The value is first taken at 15 significant digits, as databases do when they turn a
-    double into a decimal, so that noise in the last bits cannot flip a half.
+    double into a decimal, so that noise in the last bits cannot flip a half. NaN and infinity stay.
     """
     magnitude = F.pow(F.lit(10.0), 14 - F.floor(F.log10(F.abs(value))))
     clean = F.when(value == 0, 0.0).otherwise(F.rint(value * magnitude) / magnitude)
-    return F.round(clean.cast("decimal(38,10)"), digits).cast("double")
+    rounded = F.round(clean.cast("decimal(38,10)"), digits).cast("double")
+    return F.when(is_finite(value), rounded).otherwise(value.cast("double"))
 
 
 def is_missing(df: DataFrame, name: str) -> Column:

@@ -49,6 +49,20 @@ def normalize_types(df: DataFrame) -> DataFrame:
     return df.select(*[typed(f) for f in df.schema])
 
 
+#: Notations tried after the ISO ones, month first where both orders fit.
+DATE_FORMATS = ("M/d/yyyy[ H:mm[:ss]]", "d/M/yyyy[ H:mm[:ss]]", "yyyy/M/d[ H:mm[:ss]]", "d-M-yyyy[ H:mm[:ss]]")
+
+
+def parsed_datetime(text: Column) -> Column:
+    """Timestamp of a date or time in ISO or one of the usual notations, null for other texts."""
+    return F.coalesce(text.try_cast("timestamp_ntz"), *[F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in DATE_FORMATS])
+
+
+def dated(text: Column) -> Column:
+    """Like `parsed_datetime`, for texts that are not known to be dates: codes without a separator are none."""
+    return F.when(text.rlike("[-/]"), parsed_datetime(text))
+
+
 def apply_types(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """Explicit casts: a bad date becomes null, any other bad value is an error. Absent columns are skipped."""
     casts = {}
@@ -57,7 +71,7 @@ def apply_types(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
             continue
         col = F.col(quoted(name))
         if kind in ("datetime", "datetime64", "datetime64[ns]", "timestamp", "timestamp_ntz"):
-            casts[name] = col.cast("string").try_cast("timestamp_ntz")
+            casts[name] = parsed_datetime(col.cast("string"))
         else:
             casts[name] = col.cast(kind)
     return df.withColumns(casts)
@@ -169,7 +183,7 @@ def datetime_shares(df: DataFrame, columns: list[str] | None = None) -> DataFram
     """Share of rows of each string column that parse as a date or time."""
     cols = columns or string_columns(df)
     cells = F.array(*[F.struct(F.lit(c).alias("column"),
-                               F.col(quoted(c)).try_cast("timestamp_ntz").isNotNull().cast("int").alias("ok"))
+                               dated(F.col(quoted(c))).isNotNull().cast("int").alias("ok"))
                       for c in cols])
     return (df.select(F.inline(cells)).groupBy("column")
             .agg(F.avg("ok").alias("parsed_share")))
@@ -181,4 +195,4 @@ def promote_datetimes(df: DataFrame, min_share: float = 0.5) -> DataFrame:
     if not cols:
         return df
     found = [r["column"] for r in datetime_shares(df, cols).where(F.col("parsed_share") > min_share).collect()]
-    return df.withColumns({c: F.col(quoted(c)).try_cast("timestamp_ntz") for c in found})
+    return df.withColumns({c: dated(F.col(quoted(c))) for c in found})

@@ -75,14 +75,12 @@ def _column_stats(df: DataFrame, columns: Sequence[str], stats: dict, prefix: st
         for i, c in enumerate(columns)])))
 
 
-def ecdf_distances(reference: DataFrame, current: DataFrame, columns: Sequence[str], normalize: bool = True,
-                   rows: int | None = None) -> DataFrame:
+def ecdf_distances(reference: DataFrame, current: DataFrame, columns: Sequence[str], normalize: bool = True) -> DataFrame:
     """Exact Wasserstein-1 distance and Kolmogorov-Smirnov gap of every column in one pass.
 
-    With `normalize` the distance is divided by the reference's population deviation. `rows` is a
-    known bound on the rows of both tables together; it lets small inputs take a shorter plan.
+    With `normalize` the distance is divided by the reference's population deviation.
     """
-    placed = running_counts(_two_sided(reference, current, columns, "double"), ["column"], "value", ["r", "c"], rows=rows)
+    placed = running_counts(_two_sided(reference, current, columns, "double"), ["column"], "value", ["r", "c"])
     gap = F.abs(ratio(F.col("r_before") + F.col("r"), F.col("r_total"))
                 - ratio(F.col("c_before") + F.col("c"), F.col("c_total")))
     area = placed.groupBy("column").agg(
@@ -114,9 +112,9 @@ def quantile_bins(reference: DataFrame, columns: Sequence[str], bins: int = PSI_
 def binned(df: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
     """Replace numeric columns by the text of their bin number; bin i holds values above edge i-1 up to edge i."""
     def bin_of(c):
-        number = F.lit(0)
+        number, x = F.lit(0), F.col(quoted(c)).cast("double")
         for e in edges[c]:
-            number = number + (F.col(quoted(c)).cast("double") > e).cast("int")
+            number = number + (F.when(~F.isnan(x), x) > e).cast("int")
         return number.cast("string").alias(c)
     return df.select(*[bin_of(c) for c in edges])
 
@@ -198,7 +196,6 @@ def value_drift(reference: DataFrame, current: DataFrame, roles: ColumnRoles,
                 options: DriftOptions | None = None) -> DataFrame:
     """(column, kind, method, score, threshold, drifted); columns of one method family share a pass."""
     plan = plan_columns(reference, current, roles, options or DriftOptions())
-    rows = reference.count() + current.count()
     by = lambda kind, *methods: [c for c, (k, m, _) in plan.items() if k == kind and m in methods]
     parts = []
 
@@ -211,7 +208,7 @@ def value_drift(reference: DataFrame, current: DataFrame, roles: ColumnRoles,
     ecdf = by("num", "wasserstein", "ks")
     if ecdf:
         n, m = F.col("n_reference").cast("double"), F.col("n_current").cast("double")
-        add(ecdf_distances(reference, current, ecdf, rows=rows), ecdf,
+        add(ecdf_distances(reference, current, ecdf), ecdf,
             {"wasserstein": F.col("wasserstein"), "ks": F.col("ks")}, F.sqrt(n * m / (n + m)))
     means = by("num", "t_test")
     if means:
@@ -305,8 +302,7 @@ def embedding_drift_ratio(reference: DataFrame, current: DataFrame, column: str,
     """Share of dimensions whose normalised Wasserstein distance reaches `limit`; drift above `share`."""
     width = embedding_width(reference, column)
     dims = [f"d{i}" for i in range(width)]
-    scores = ecdf_distances(_spread(reference, column, width), _spread(current, column, width), dims,
-                            rows=reference.count() + current.count())
+    scores = ecdf_distances(_spread(reference, column, width), _spread(current, column, width), dims)
     one = scores.agg(F.count(F.lit(1)).alias("dimensions"), F.count_if(F.col("wasserstein") >= limit).alias("drifted"))
     return one.select("*", ratio(F.col("drifted"), F.col("dimensions")).alias("drift_ratio"),
                       (ratio(F.col("drifted"), F.col("dimensions")) > share).alias("embedding_drift"))

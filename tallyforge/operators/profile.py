@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyforge.functions.columns import finite_or_null, is_missing, long_form, numeric_columns, quoted, ratio
-from tallyforge.operators.ranks import DEFAULT_RANGES, average_ranks, exact_quantiles, running_counts
+from tallyforge.operators.ranks import average_ranks, exact_quantiles, range_count, running_counts
 
 
 def missing_by_column(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -38,11 +38,13 @@ def table_profile(df: DataFrame) -> DataFrame:
     for c in df.columns:
         nulls = nulls + is_missing(df, c).cast("int")
     width = len(df.columns)
-    distinct = (df.groupBy(*[F.col(quoted(c)) for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
-                .select("__n", nulls.alias("__nulls")))
-    one = distinct.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("total_rows"),
-                       F.count(F.lit(1)).alias("kinds"),
-                       F.coalesce(F.sum(F.col("__n") * F.col("__nulls")), F.lit(0)).alias("missing"))
+    # Equal rows meet by a digest of 128 bits, so that no whole row is shuffled; the mask tells apart where the nulls are.
+    cells = [F.col(quoted(c)) for c in df.columns]
+    mask = F.concat(*[F.when(c.isNull(), "0").otherwise("1") for c in cells])
+    distinct = df.select(F.xxhash64(F.lit(1), mask, *cells).alias("h1"), F.xxhash64(F.lit(2), mask, *cells).alias("h2"),
+                         nulls.alias("nulls")).groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.sum("nulls").alias("nulls"))
+    one = distinct.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"), F.count(F.lit(1)).alias("kinds"),
+                       F.coalesce(F.sum("nulls"), F.lit(0)).alias("missing"))
     return one.select(
         "total_rows", F.lit(width).cast("long").alias("total_columns"),
         (F.col("total_rows") - F.col("kinds")).alias("duplicate_rows_count"),
@@ -145,29 +147,28 @@ def _corr_rows(df, pairs, digits):
 def spearman_matrix(df: DataFrame, columns: list[str] | None = None, digits: int | None = 4) -> DataFrame:
     """Rank correlation with tied ranks averaged, each pair over the rows where both are known."""
     columns = columns or numeric_columns(df)
-    nulls = df.agg(F.count(F.lit(1)).alias("n"),
-                   *[F.count_if(is_missing(df, c)).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    nulls = df.agg(*[F.count_if(is_missing(df, c)).alias(f"c{i}") for i, c in enumerate(columns)]).first()
     full = [c for i, c in enumerate(columns) if nulls[f"c{i}"] == 0]
     parts = []
     if len(full) > 1:
-        parts.append(_spearman_complete(df, full, digits, nulls["n"]))
+        parts.append(_spearman_complete(df, full, digits))
     for a, b in _pairs(columns):
         if a not in full or b not in full:
             both = df.where(~is_missing(df, a) & ~is_missing(df, b))
-            parts.append(_spearman_complete(both, [a, b], digits, nulls["n"]))
+            parts.append(_spearman_complete(both, [a, b], digits))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-def _spearman_complete(df, columns, digits, rows):
+def _spearman_complete(df, columns, digits):
     """Ranks of distinct values joined back by value.
 
     Spark broadcasts the rank table of a column when its measured size allows it; otherwise
     the join is a shuffle whose hot values the adaptive skew join splits.
     """
-    ranks = average_ranks(df, columns, rows)
+    ranks = average_ranks(df, columns)
     ranked = df.select(*[F.col(quoted(c)).cast("double").alias(c) for c in columns])
     for i, c in enumerate(columns):
         one = ranks.where(F.col("column") == c).select(F.col("value").alias(c), F.col("avg_rank").alias(f"__r{i}"))
@@ -177,22 +178,21 @@ def _spearman_complete(df, columns, digits, rows):
 
 
 def kendall_matrix(df: DataFrame, columns: list[str], digits: int | None = 6) -> DataFrame:
-    rows = df.count()
     out = None
     for a, b in _pairs(columns):
-        one = kendall_tau(df, a, b, digits, rows)
+        one = kendall_tau(df, a, b, digits)
         out = one if out is None else out.unionByName(one)
     return out
 
 
-def _places(cells: DataFrame, name: str, rows: int | None) -> DataFrame:
+def _places(cells: DataFrame, name: str) -> DataFrame:
     """Dense 0-based place of every distinct value of a column, and how many values there are."""
     values = cells.groupBy(name).agg(F.lit(1).cast("long").alias("one")).withColumn("column", F.lit(name))
-    return running_counts(values, ["column"], name, ["one"], rows=rows).select(
+    return running_counts(values, ["column"], name, ["one"]).select(
         name, F.col("one_before").alias(f"{name}r"), F.col("one_total").alias(f"{name}n"))
 
 
-def kendall_tau(df: DataFrame, a: str, b: str, digits: int | None = 6, rows: int | None = None) -> DataFrame:
+def kendall_tau(df: DataFrame, a: str, b: str, digits: int | None = 6) -> DataFrame:
     """Exact tau-b without comparing all pairs of rows.
 
     Two rows with different `a` part at exactly one bit of its dense rank. For every bit the
@@ -203,8 +203,8 @@ def kendall_tau(df: DataFrame, a: str, b: str, digits: int | None = 6, rows: int
     known = known.where(F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y"))
     cells = known.groupBy("x", "y").agg(F.count(F.lit(1)).alias("c"))
     levels = F.ceil(F.log2(F.greatest("xn", F.lit(2)))).cast("int")
-    y_range = F.floor(F.col("yr") * DEFAULT_RANGES / F.col("yn")).alias("yr")
-    placed = cells.join(_places(cells, "x", rows), "x").join(_places(cells, "y", rows), "y")
+    y_range = F.floor(F.col("yr") * range_count(df) / F.col("yn")).alias("yr")
+    placed = cells.join(_places(cells, "x"), "x").join(_places(cells, "y"), "y")
     split = placed.select("y", "c", y_range, "xr", F.explode(F.sequence(F.lit(0), levels - 1)).alias("level"))
     node = F.floor(F.col("xr") / F.pow(F.lit(2.0), F.col("level") + 1)).alias("node")
     side = F.floor(F.col("xr") / F.pow(F.lit(2.0), F.col("level"))) % 2
@@ -274,7 +274,7 @@ def flatten_metric_list(df: DataFrame, column: str) -> DataFrame:
 def infer_contract(df: DataFrame, max_values: int = 50) -> DataFrame:
     """Draft rules from the data: type, nullability, numeric range, and the value set of small text columns.
 
-    Value sets are gathered only for columns whose distinct count is at most `max_values`.
+    Value sets are gathered only for columns whose distinct count is at most `max_values`; they are JSON lists.
     """
     nums = numeric_columns(df)
     texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
@@ -299,6 +299,6 @@ def infer_contract(df: DataFrame, max_values: int = 50) -> DataFrame:
         return base.withColumn("allowed_values", F.lit(None).cast("string"))
     counts = _category_counts(df, likely).where(F.col("value").isNotNull())
     sets = (counts.groupBy("column")
-            .agg(F.count(F.lit(1)).alias("n"), F.array_join(F.sort_array(F.collect_list("value")), ",").alias("allowed_values"))
+            .agg(F.count(F.lit(1)).alias("n"), F.to_json(F.sort_array(F.collect_list("value"))).alias("allowed_values"))
             .where(F.col("n") <= max_values).drop("n"))
     return base.join(sets, "column", "left")

@@ -8,46 +8,54 @@ counting passes, so that only a thin slice of the rows is ever shuffled.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions.columns import quoted
+from tallyforge.session import scratch_path
 
-DEFAULT_RANGES = 64
-ONE_TASK_VALUES = 1_000_000
-EXACT_IN_ONE_AGG = 200_000
 SLICE_ROWS = 100_000
 SKETCH_ACCURACY = 2_000
 
 
-def running_counts(counts: DataFrame, by: list[str], value: str, measures: list[str],
-                   ranges: int = DEFAULT_RANGES, rows: int | None = None) -> DataFrame:
+def range_count(df: DataFrame) -> int:
+    """How many value ranges a group is cut into: as many as the session shuffles into, so that they grow with the cluster."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def last_at_most(edges: str, start: Callable[[Column], Column]) -> Column:
+    """The last element of a sorted array of arrays whose `start` is true; blocks are searched first, then inside one."""
+    block = F.element_at(F.filter(edges, lambda part: start(part[0])), -1)
+    return F.element_at(F.filter(block, start), -1)
+
+
+def running_counts(counts: DataFrame, by: list[str], value: str, measures: list[str], ranges: int | None = None) -> DataFrame:
     """Add `<m>_before`, `<m>_total` and `next_<value>` to a table of distinct (by, value) rows.
 
     `<m>_before` sums the measure over all smaller values of the group. The number of
     groups must be small (columns, slots, metrics): one row of range edges per group is
     broadcast. The result does not depend on where the edges fall, only the balance does.
     The edge table carries its own offsets, so a recomputed stage cannot mix two sets of edges.
-    `rows` is a known bound on the rows of `counts`; when one task can sort that many, a plain
-    window does the same in one step.
     """
-    val = F.col(value)
-    if rows is not None and rows <= ONE_TASK_VALUES:
-        whole, sorted_ = Window.partitionBy(*by), Window.partitionBy(*by).orderBy(val)
-        upto = sorted_.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return counts.select(
-            *[F.col(c) for c in counts.columns],
-            *[(F.sum(m).over(upto) - F.col(m)).alias(f"{m}_before") for m in measures],
-            *[F.sum(m).over(whole).alias(f"{m}_total") for m in measures],
-            F.lead(val).over(sorted_).alias(f"next_{value}"))
+    val, ranges = F.col(value), ranges or range_count(counts)
     occurs = F.lit(0)
     for m in measures:
         occurs = occurs + F.col(m)
     probs = [i / ranges for i in range(1, ranges)]
     cuts = counts.where(occurs > 0).groupBy(*by).agg(
-        F.array_distinct(F.percentile_approx(val, probs, 1000)).alias("__cuts"))
-    lower = F.array_max(F.filter("__cuts", lambda c: c < val)).alias("lower")
+        F.array_distinct(F.percentile_approx(val, probs, max(1000, 10 * ranges))).alias("__cuts"))
+    step = max(1, math.isqrt(ranges))
+
+    def blocked(array: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(array) - 1) / step).cast("int")),
+                           lambda i: F.slice(array, i * step + 1, F.lit(step)))
+
+    # A first edge without a value stands for the lowest range.
+    lowest = F.array(F.lit(None).cast(counts.schema[value].dataType))
+    cuts = cuts.select(*by, blocked(F.concat(lowest, F.filter("__cuts", lambda c: c.isNotNull()))).alias("__cuts"))
+    lower = last_at_most("__cuts", lambda c: c.isNull() | (c < val)).alias("lower")
 
     totals = (counts.join(F.broadcast(cuts), by)
               .groupBy(*by, lower)
@@ -61,11 +69,10 @@ def running_counts(counts: DataFrame, by: list[str], value: str, measures: list[
     edges = (totals.select(*by, edge.alias("edge"),
                            *[F.sum(m).over(group).alias(f"{m}_total") for m in measures])
              .groupBy(*by)
-             .agg(F.sort_array(F.collect_list("edge")).alias("__edges"),
+             .agg(blocked(F.sort_array(F.collect_list("edge"))).alias("__edges"),
                   *[F.max(f"{m}_total").alias(f"{m}_total") for m in measures]))
 
-    inside = F.element_at(
-        F.filter("__edges", lambda e: e["lower"].isNull() | (e["lower"] < val)), -1)
+    inside = last_at_most("__edges", lambda e: e["lower"].isNull() | (e["lower"] < val))
     placed = counts.join(F.broadcast(edges), by).withColumn("__edge", inside).drop("__edges")
     in_range = Window.partitionBy(*by, "__edge.lower").orderBy(val)
     upto = in_range.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -76,6 +83,22 @@ def running_counts(counts: DataFrame, by: list[str], value: str, measures: list[
         F.coalesce(F.lead(val).over(in_range), F.col("__edge.next_first")).alias(f"next_{value}"))
 
 
+def numbered(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """Adds the place (from 0) of every row in the given order over the whole table.
+
+    The rows are sorted range by range and written once to the scratch folder, so that a lost executor cannot deal them
+    anew; the table of offsets has one row per written range.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id())
+    path = scratch_path(df.sparkSession, "order")
+    ranged.write.parquet(path)
+    back = df.sparkSession.read.schema(ranged.schema).parquet(path).withColumn("__range", F.shiftright("__id", 33))
+    sizes = back.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+    offsets = sizes.select("__range", (F.sum("__n").over(Window.orderBy("__range")) - F.col("__n")).alias("__before"))
+    place = F.col("__before") + F.col("__id").bitwiseAND((1 << 33) - 1)
+    return back.join(F.broadcast(offsets), "__range").withColumn(name, place).drop("__range", "__id", "__before")
+
+
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """Distinct non-missing numeric values of each column with their counts (column, value, n)."""
     from tallyforge.functions.columns import long_form
@@ -83,21 +106,20 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
             .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
 
 
-def average_ranks(df: DataFrame, columns: list[str], rows: int | None = None) -> DataFrame:
+def average_ranks(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, value, n, avg_rank): 1-based ranks, ties share their mean rank."""
-    ranked = running_counts(value_counts(df, columns), ["column"], "value", ["n"], rows=rows)
+    ranked = running_counts(value_counts(df, columns), ["column"], "value", ["n"])
     return ranked.select("column", "value", "n",
                          (F.col("n_before") + (F.col("n") + 1) / 2.0).alias("avg_rank"))
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
-                    one_agg_rows: int = EXACT_IN_ONE_AGG, slice_rows: int = SLICE_ROWS,
-                    accuracy: int = SKETCH_ACCURACY) -> dict[str, dict[float, float | None]]:
+                    slice_rows: int = SLICE_ROWS, accuracy: int = SKETCH_ACCURACY) -> dict[str, dict[float, float | None]]:
     """Linear-interpolated quantiles of several columns, exact at any size.
 
-    Small inputs use one `percentile` aggregate. Larger ones bracket every wanted rank with
-    a sketch, count the rows under each bracket, and sort only the rows inside it; brackets
-    that are still too wide are narrowed again. Only scalars reach the driver.
+    Every wanted rank is bracketed with a sketch, the rows under each bracket are counted, and
+    only the rows inside it are sorted; brackets that are still too wide are narrowed again.
+    Only scalars reach the driver.
     """
     clean = df.select(*[F.when(~F.isnan(F.col(quoted(c)).cast("double")),
                                F.col(quoted(c)).cast("double")).alias(c) for c in columns])
@@ -106,13 +128,6 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     filled = [c for c in columns if sizes[c]]
     if not filled:
         return out
-    if max(sizes[c] for c in filled) <= one_agg_rows:
-        row = clean.agg(*[F.percentile(F.col(quoted(c)), F.array(*[F.lit(p) for p in probs])).alias(c)
-                          for c in filled]).first()
-        for c in filled:
-            out[c] = dict(zip(probs, row[c]))
-        return out
-
     wanted = {}
     for c in filled:
         for p in probs:
@@ -187,7 +202,7 @@ def _select_ranks(clean: DataFrame, wanted: list[tuple[str, int]], sizes, slice_
              for i, (name, low, high, _, _) in enumerate(slots_of)]
     inside = (clean.select(F.inline(F.array_compact(F.array(*slots))))
               .groupBy("slot", "value").agg(F.count(F.lit(1)).alias("n")))
-    placed = running_counts(inside, ["slot"], "value", ["n"], rows=max(span[4] for span in slots_of))
+    placed = running_counts(inside, ["slot"], "value", ["n"])
     asked = [(slots_of.index((w[0], *spans[w])), w[1] - spans[w][2], w) for w in wanted]
     test = F.lit(False)
     for slot, rank, _ in asked:

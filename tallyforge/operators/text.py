@@ -46,15 +46,15 @@ def text_profile(df: DataFrame, column: str, key: Sequence[str], pattern: str |
 def out_of_vocabulary(df: DataFrame, column: str, key: str, vocabulary: DataFrame) -> DataFrame:
     """Percent of each text's words that the vocabulary (one column `word`) does not hold.
 
-    Words are counted per text first. The join is left to Spark: a vocabulary of measured small
-    size is broadcast, a large one is shuffled and hot words are split by the skew join.
+    The join is left to Spark: a vocabulary of measured small size is broadcast, and then only one
+    pair of counts per text is shuffled; a large one meets the words by shuffle, hot ones split by
+    the skew join.
     """
-    counted = (df.select(key, F.explode(words(F.lower(F.col(quoted(column))))).alias("word"))
-               .groupBy(key, "word").agg(F.count(F.lit(1)).alias("n")))
+    said = df.select(key, F.explode(words(F.lower(F.col(quoted(column))))).alias("word"))
     known = vocabulary.select(F.col("word"), F.lit(True).alias("known")).distinct()
-    missing = F.sum(F.when(F.col("known").isNull(), F.col("n")).otherwise(0))
-    per = (counted.join(known, "word", "left").groupBy(key)
-           .agg((ratio(missing, F.sum("n")) * 100).alias("oov_percent")))
+    missing = F.count_if(F.col("known").isNull())
+    per = (said.join(known, "word", "left").groupBy(key)
+           .agg((ratio(missing, F.count(F.lit(1))) * 100).alias("oov_percent")))
     return df.select(key).join(per, key, "left")
 
 

@@ -4,8 +4,13 @@ from tallyforge.operators import clean, features
 from tallyforge.plans.registry import half_up_sql, query, table
 
 
+SESSIONS = features.SessionNames("moving_avg_7d_calories", "prev_session_calories", "calorie_diff_from_prev", "calorie_burn_rank")
+SUMMARY = features.SummaryNames("total_workouts", "heavy_workout_days", "light_workout_days", "avg_weight")
+
+
 def _sessions(spark, sf):
-    return features.session_features(table(spark, sf, "events"), "user_id", "ts", "value", "event_id")
+    events = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    return features.session_features(events, "user_id", "ts", "value", "event_id", names=SESSIONS)
 
 
 @query("d1_user_summary", f"""
@@ -16,7 +21,7 @@ select o_custkey as user_id, count(*) as total_workouts,
 from orders group by o_custkey having count(*) > 10""")
 def user_summary(spark, sf):
     orders = table(spark, sf, "orders").withColumnRenamed("o_custkey", "user_id")
-    return features.entity_summary(orders, "user_id", "o_totalprice", "o_totalprice", heavy_over=250000)
+    return features.entity_summary(orders, "user_id", "o_totalprice", "o_totalprice", heavy_over=250000, names=SUMMARY)
 
 
 @query("w1_moving_avg", f"""
@@ -60,7 +65,8 @@ select user_id, log_date, calories_burned, {half_up_sql('m')} as moving_avg_7d_c
        round(calories_burned - prev_session_calories, 6) as calorie_diff_from_prev
 from w where calorie_burn_rank <= 3""")
 def top_features(spark, sf):
-    top = features.top_sessions(table(spark, sf, "events"), "user_id", "ts", "value", "event_id")
+    events = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    top = features.top_sessions(events, "user_id", "ts", "value", "event_id", names=SESSIONS)
     return top.select("user_id", F.col("ts").alias("log_date"), F.col("value").alias("calories_burned"),
                       "moving_avg_7d_calories", "prev_session_calories", "calorie_burn_rank",
                       F.round("calorie_diff_from_prev", 6).alias("calorie_diff_from_prev"))

@@ -9,12 +9,16 @@ def _rounded(df, digits=6):
     return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
+_ALL_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_ALL_TEXTS = ["l_returnflag", "l_linestatus"]
+
+
 @query("d2_table_profile", """
-with k as (select l_orderkey, l_linenumber, l_returnflag, count(*) as n from lineitem group by all)
-select cast(sum(n) as bigint) as total_rows, 3::bigint as total_columns, cast(sum(n) - count(*) as bigint) as duplicate_rows_count,
+with k as (select *, count(*) as n from lineitem group by all)
+select cast(sum(n) as bigint) as total_rows, 11::bigint as total_columns, cast(sum(n) - count(*) as bigint) as duplicate_rows_count,
        round((sum(n) - count(*)) / sum(n), 6) as duplicate_rows_ratio, 0.0::double as missing_cells_ratio from k""")
 def table_profile(spark, sf):
-    return _rounded(profile.table_profile(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")))
+    return _rounded(profile.table_profile(table(spark, sf, "lineitem")))
 
 
 @query("d2_table_profile_gaps", f"""
@@ -128,22 +132,22 @@ def cramer_v(spark, sf):
     return profile.cramer_v_matrix(table(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus", "l_linenumber"])
 
 
-@query("d13_almost_constant", """
-select 'l_returnflag' as "column", round(max(n) / sum(n), 6) as top_share, max(n) / sum(n) >= 0.95 as almost_constant
-  from (select count(*)::double as n from lineitem group by l_returnflag)
+@query("d13_almost_constant", " union all ".join(f"""
+select '{c}' as "column", round(max(n) / sum(n), 6) as top_share, max(n) / sum(n) >= 0.95 as almost_constant
+  from (select count(*)::double as n from lineitem group by {c})""" for c in [*_ALL_NUMBERS, *_ALL_TEXTS, "l_shipdate"]) + """
 union all select 'bulk', round(max(n) / sum(n), 6), max(n) / sum(n) >= 0.95
   from (select count(*)::double as n from lineitem group by case when l_quantity = 50 then 'full' else 'part' end)""")
 def almost_constant(spark, sf):
-    lines = table(spark, sf, "lineitem").select(
-        "l_returnflag", F.when(F.col("l_quantity") == 50, "full").otherwise("part").alias("bulk"))
-    return _rounded(profile.almost_constant(lines, ["l_returnflag", "bulk"]))
+    lines = table(spark, sf, "lineitem").withColumn("bulk", F.when(F.col("l_quantity") == 50, "full").otherwise("part"))
+    return _rounded(profile.almost_constant(lines, lines.columns))
+
 
 
-@query("e22_infer_contract", """
-select 'l_quantity' as "column", 'double' as dtype, false as nullable, min(l_quantity) as min_value, max(l_quantity) as max_value,
-       cast(null as varchar) as allowed_values from lineitem
-union all select 'l_discount', 'double', false, min(l_discount), max(l_discount), null from lineitem
-union all select 'l_returnflag', 'string', false, null, null, (select string_agg(f, ',' order by f) from (select distinct l_returnflag as f from lineitem))
-union all select 'l_linestatus', 'string', false, null, null, (select string_agg(f, ',' order by f) from (select distinct l_linestatus as f from lineitem))""")
+@query("e22_infer_contract", " union all ".join(
+    [f"""select '{c}' as "column", 'double' as dtype, false as nullable, min({c})::double as min_value, max({c})::double as max_value,
+         cast(null as varchar) as allowed_values from lineitem""" for c in _ALL_NUMBERS]
+    + [f"""select '{c}', 'string', false, null, null,
+         (select '["' || string_agg(f, '","' order by f) || '"]' from (select distinct {c} as f from lineitem))""" for c in _ALL_TEXTS]
+    + ["select 'l_shipdate', 'string', false, null, null, null"]))
 def infer_contract(spark, sf):
-    return profile.infer_contract(table(spark, sf, "lineitem").select("l_quantity", "l_discount", "l_returnflag", "l_linestatus"))
+    return profile.infer_contract(table(spark, sf, "lineitem"))

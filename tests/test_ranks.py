@@ -2,6 +2,8 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from tallyforge.operators import profile, ranks
 from tallyforge.operators.drift import ecdf_distances
@@ -22,7 +24,7 @@ PROBS = [0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0]
 @pytest.mark.parametrize("slice_rows,accuracy", [(50, 20), (5, 10), (100_000, 2000)])
 def test_bracketed_quantiles_are_exact(sample, slice_rows, accuracy):
     cols = ["hot", "steps", "gaps"]
-    got = ranks.exact_quantiles(sample, cols, PROBS, one_agg_rows=0, slice_rows=slice_rows, accuracy=accuracy)
+    got = ranks.exact_quantiles(sample, cols, PROBS, slice_rows=slice_rows, accuracy=accuracy)
     pdf = sample.toPandas()
     for c in cols:
         for p in PROBS:
@@ -38,9 +40,17 @@ def test_quantiles_of_an_empty_column(spark):
 def test_running_counts_do_not_depend_on_the_ranges(sample, ranges):
     counts = ranks.value_counts(sample, ["hot", "gaps"])
     key = lambda df: sorted(tuple(r) for r in df.collect())
-    spread = ranks.running_counts(counts, ["column"], "value", ["n"], ranges=ranges)
-    plain = ranks.running_counts(counts, ["column"], "value", ["n"], rows=10)
-    assert key(spread) == key(plain)
+    by, order = Window.partitionBy("column"), Window.partitionBy("column").orderBy("value")
+    plain = counts.select("*", (F.sum("n").over(order) - F.col("n")).alias("n_before"), F.sum("n").over(by).alias("n_total"),
+                          F.lead("value").over(order).alias("next_value"))
+    assert key(ranks.running_counts(counts, ["column"], "value", ["n"], ranges=ranges)) == key(plain)
+
+
+def test_rows_are_numbered_in_the_order_asked_for(sample):
+    order = [F.col("hot").desc_nulls_first(), F.col("id").asc()]
+    got = ranks.numbered(sample, order, "place").orderBy("place").collect()
+    assert [r["place"] for r in got] == list(range(4000))
+    assert [r["id"] for r in got] == [r["id"] for r in sample.orderBy(*order).collect()]
 
 
 def test_running_counts_use_no_window_over_a_whole_column(sample):
@@ -93,8 +103,7 @@ def test_kendall_equals_all_pairs(spark):
             ty += dy == 0
     n = len(pts) * (len(pts) - 1) / 2
     want = (con - dis) / ((n - tx) * (n - ty)) ** 0.5
-    for rows in (None, 150):
-        assert profile.kendall_tau(df, "x", "y", 9, rows).first()["correlation"] == pytest.approx(want, abs=1e-8)
+    assert profile.kendall_tau(df, "x", "y", 9).first()["correlation"] == pytest.approx(want, abs=1e-8)
 
 
 def test_auc_with_ties(spark):
