@@ -6,8 +6,9 @@ rows and one array holds their failures, so all rules share a single scan withou
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from typing import Any
 
@@ -18,6 +19,8 @@ from tallyforge.functions.columns import quoted, ratio
 
 CHECKS: dict[str, Callable[..., Column]] = {}
 ROW_CHECKS: dict[str, Callable[..., Column]] = {}
+GROUP_CHECKS: dict[str, Callable[..., Column]] = {}
+CONTRACTS: dict[str, "Contract"] = {}
 FAILURE_HEAD = 100
 
 
@@ -29,6 +32,26 @@ def register_check(name: str):
     return keep
 
 
+def register_group_check(name: str):
+    """Make a check of the whole table, `fn(**params) -> aggregate Column`, available by name."""
+    def keep(fn):
+        GROUP_CHECKS[name] = fn
+        return fn
+    return keep
+
+
+def register_contract(contract: "Contract") -> "Contract":
+    """Make a contract available under its name."""
+    CONTRACTS[contract.name] = contract
+    return contract
+
+
+def contract_named(name: str) -> "Contract":
+    if name not in CONTRACTS:
+        raise ValueError(f"unknown contract {name!r}, registered are {sorted(CONTRACTS)}")
+    return CONTRACTS[name]
+
+
 def register_row_check(name: str):
     """Make a check over several columns, `fn(**params) -> Column`, available by name."""
     def keep(fn):
@@ -84,6 +107,7 @@ class Check:
     params: dict[str, Any] = field(default_factory=dict)
     severity: str = "error"
     message: str = ""
+    target: str = ""  # the column that failures are listed under
 
     @property
     def label(self) -> str:
@@ -120,13 +144,30 @@ class GroupMean:
         return low < high
 
 
+@dataclass(frozen=True)
+class GroupCheck:
+    """A registered check over the whole table: its function gives one aggregate that is true if the table keeps it."""
+    name: str
+    params: Mapping[str, Any] = field(default_factory=dict)
+    message: str = ""
+    target: str = ""  # the column that failures are listed under
+
+    def __post_init__(self) -> None:
+        if self.name not in GROUP_CHECKS:
+            raise ValueError(f"unknown group check {self.name!r}")
+        object.__setattr__(self, "message", self.message or self.name)
+
+    def holds(self) -> Column:
+        return F.coalesce(GROUP_CHECKS[self.name](**self.params), F.lit(False))
+
+
 @dataclass(frozen=True)
 class Contract:
     name: str
     fields: tuple[Field, ...]
     key: tuple[str, ...]
     row_checks: tuple[Check, ...] = ()
-    group_checks: tuple[GroupMean, ...] = ()
+    group_checks: tuple[GroupMean | GroupCheck, ...] = ()
     coerce: bool = True
     strict: bool = False
     ordered: bool = False
@@ -341,7 +382,7 @@ def contract_from_rules(name: str, rules: Sequence[Row], key: Sequence[str], tar
         if r["min_value"] is not None:
             checks.append(Check("in_range", {"min_val": r["min_value"], "max_val": r["max_value"]}))
         if r["allowed_values"] is not None:
-            checks.append(Check("isin", {"values": r["allowed_values"].split(",")}))
+            checks.append(Check("isin", {"values": json.loads(r["allowed_values"])}))
         fields.append(Field(r["column"], r["dtype"], tuple(checks), nullable=r["nullable"]))
     return Contract(name, tuple(fields), tuple(key), strict=True)
 
@@ -363,3 +404,5 @@ WORKOUT_INPUT = Contract(
     key=("User_ID",), strict=True)
 WORKOUT_TRAINING = WORKOUT_INPUT.extend(
     "workout_training", Field("Calories", "double", (Check("in_range", {"min_val": 1.0, "max_val": 5000.0}),)))
+register_contract(WORKOUT_INPUT)
+register_contract(WORKOUT_TRAINING)

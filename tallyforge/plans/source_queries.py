@@ -63,6 +63,27 @@ def bulk_load(spark, sf):
     return spark.read.parquet(f"{folder}/out").withColumn("loaded_rows", F.lit(done[0].rows).cast("long"))
 
 
+@query("a6_failed_load", """
+select s_suppkey, s_name, 'failed' as status from supplier""")
+def failed_load(spark, sf):
+    """A file with a bad line over a table that is there: the load fails, the table keeps its rows."""
+    suppliers, folder = table(spark, sf, "supplier").select("s_suppkey", "s_name"), scratch_path(spark, "bulk")
+    suppliers.write.csv(f"{folder}/in", header=True)
+    writers.bulk_load(spark, f"{folder}/in", f"{folder}/out", suppliers.schema)
+    suppliers.select(F.concat(F.lit("no. "), "s_suppkey").alias("s_suppkey"), "s_name").write.csv(f"{folder}/bad", header=True)
+    (done,) = writers.bulk_load_all(spark, {
+        "bad": {"source_path": f"{folder}/bad", "target": f"{folder}/out", "schema": suppliers.schema, "options": {"mode": "overwrite"}}})
+    return spark.read.parquet(f"{folder}/out").withColumn("status", F.lit(done.status))
+
+
+@query("a3_csv_by_name", "select n_nationkey, n_name, n_regionkey from nation")
+def csv_by_name(spark, sf):
+    """Columns in another order than declared, and one more, are bound by their names."""
+    nations, folder = table(spark, sf, "nation"), scratch_path(spark, "csv")
+    nations.select(F.lit("-").alias("note"), "n_regionkey", "n_name", "n_nationkey").write.csv(folder, header=True)
+    return readers.read_csv(spark, folder, nations.schema)
+
+
 @query("a7_append", """
 select s_suppkey, s_name, s_nationkey, s_acctbal from supplier
 union all select s_suppkey, s_name, s_nationkey, s_acctbal from supplier""")

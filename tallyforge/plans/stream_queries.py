@@ -20,6 +20,17 @@ def stream_load(spark, sf):
                                          F.max("ts").alias("last_ts"))
 
 
+@query("h1_two_streams", """
+select s_suppkey as id from supplier union all select c_custkey from customer""")
+def two_streams(spark, sf):
+    """Two streams with their own progress load into one table."""
+    folder = scratch_path(spark, "stream")
+    for name, key in (("supplier", "s_suppkey"), ("customer", "c_custkey")):
+        rows = jobs.read_files(spark, sf, table(spark, sf, name).schema, f"{name}.parquet")
+        jobs.stream_load(rows.withColumnRenamed(key, "id"), f"{folder}/all", ["id"], f"{folder}/progress-{name}")
+    return spark.read.parquet(f"{folder}/all")
+
+
 @query("h2_stream_validate", """
 select 'scored' as target, count(*) as n_rows from events where value between 5 and 450 and event_type in ('click', 'purchase', 'signup', 'view')
 union all select 'quarantine', count(*) from events where not (value between 5 and 450 and event_type in ('click', 'purchase', 'signup', 'view'))""")

@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tallyforge.functions.columns import quoted
 from tallyforge.operators.clean import apply_types, flatten_json, normalize_types
 
 log = logging.getLogger(__name__)
@@ -55,6 +56,19 @@ def read_jdbc(spark: SparkSession, url: str, query_or_table: str, partition_colu
     return reader.load()
 
 
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """CSV with a header line, bound by column name: the file's order does not matter, columns not asked for are left out."""
+    wanted = spark.createDataFrame([], schema).schema
+    header = spark.read.csv(path, header=True).columns
+    missing = [f.name for f in wanted if f.name not in header]
+    if missing:
+        raise ValueError(f"{path} has no column " + ", ".join(missing))
+    types = {f.name: f.dataType for f in wanted}
+    found = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header])
+    lines = spark.read.schema(found).csv(path, header=True, mode="FAILFAST", enforceSchema=False)
+    return lines.select(*[quoted(f.name) for f in wanted])
+
+
 def read_splits(spark: SparkSession, folder: str, schema: T.StructType | str,
                 names: tuple[str, ...] = ("train", "val", "test")) -> dict[str, DataFrame]:
     """CSV data of every split; all missing ones are named in one error."""
@@ -63,7 +77,7 @@ def read_splits(spark: SparkSession, folder: str, schema: T.StructType | str,
     missing = [f"{folder}/{n}.csv" for n, p in paths.items() if p is None]
     if missing:
         raise FileNotFoundError("missing input data: " + ", ".join(missing))
-    return {n: spark.read.schema(schema).csv(p, header=True, mode="FAILFAST") for n, p in paths.items()}
+    return {n: read_csv(spark, p, schema) for n, p in paths.items()}
 
 
 def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet", fallback: str | None = None,
@@ -73,10 +87,9 @@ def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet", fallback:
         raise ValueError(f"unsupported format {fmt!r}, expected one of {FORMATS}")
 
     def load(where: str) -> DataFrame:
-        reader = spark.read.schema(schema) if schema else spark.read
         if fmt == "csv":
-            return reader.csv(where, header=True, inferSchema=schema is None)
-        return reader.parquet(where)
+            return read_csv(spark, where, schema) if schema else spark.read.csv(where, header=True, inferSchema=True)
+        return (spark.read.schema(schema) if schema else spark.read).parquet(where)
     if fallback is None or path_exists(spark, path):
         return load(path)
     log.warning("%s cannot be read, using %s", path, fallback)

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import logging
 import time
+import uuid
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyforge.sources.readers import path_exists
+from tallyforge.sources.readers import path_exists, read_csv
 
 log = logging.getLogger(__name__)
 
@@ -30,21 +31,60 @@ class LoadResult:
     status: str = "loaded"
 
 
+def publish(spark: SparkSession, staging: str, target: str, mode: str = "append", prefix: str = "") -> None:
+    """Moves finished part files into the table at `target`, which keeps what it has (`append`) or is replaced (`overwrite`).
+
+    With a `prefix` the files are named after it, and files of that name from an earlier try are removed first.
+    """
+    jvm = spark._jvm.org.apache.hadoop.fs
+    source, table = jvm.Path(staging), jvm.Path(target)
+    fs = table.getFileSystem(spark._jsc.hadoopConfiguration())
+    if mode == "overwrite" and fs.exists(table):
+        old = jvm.Path(f"{target.rstrip('/')}-replaced-{uuid.uuid4().hex[:12]}")
+        fs.rename(table, old)
+        fs.rename(source, table)
+        fs.delete(old, True)
+        return
+    if mode not in ("append", "overwrite"):
+        raise ValueError(f"mode must be 'append' or 'overwrite', not {mode!r}")
+    fs.mkdirs(table)
+    if prefix:
+        for status in fs.listStatus(table):
+            if status.getPath().getName().startswith(prefix):
+                fs.delete(status.getPath(), False)
+    for status in fs.listStatus(source):
+        name = status.getPath().getName()
+        if name.startswith("part-"):
+            fs.rename(status.getPath(), jvm.Path(table, prefix + name))
+    fs.delete(source, True)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def bulk_load(spark: SparkSession, source: str, target: str, schema: T.StructType | str, *,
-              delimiter: str = ",", header: bool = True, fmt: str = "CSV", mode: str = "overwrite") -> LoadResult:
-    """Delimited file to parquet at `target`, all or nothing: a malformed line fails the job before commit.
+              delimiter: str = ",", header: bool = True, fmt: str = "CSV", mode: str = "append") -> LoadResult:
+    """Delimited file to parquet at `target`, all or nothing.
 
-    Rows are counted afterwards from the footers of the written files.
+    Rows are written to a folder beside the target and moved there once all are good, so a malformed line leaves the target as
+    it was. They are counted while they are written.
     """
     if fmt.upper() not in ("CSV", "TEXT"):
         raise ValueError(f"unsupported load format {fmt!r}")
     delimiter = "\t" if fmt.upper() == "TEXT" and delimiter == "," else delimiter
     started = time.monotonic()
-    before = spark.read.parquet(target).count() if mode == "append" and path_exists(spark, target) else 0
+    seen, staging = Observation(), f"{target.rstrip('/')}-loading-{uuid.uuid4().hex[:12]}"
     lines = spark.read.schema(schema).csv(source, sep=delimiter, header=header, mode="FAILFAST",
                                           enforceSchema=False)
-    lines.write.mode(mode).parquet(target)
-    result = LoadResult(target, spark.read.parquet(target).count() - before, time.monotonic() - started)
+    try:
+        lines.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(staging)
+    except Exception:
+        discard(spark, staging)
+        raise
+    publish(spark, staging, target, mode)
+    result = LoadResult(target, seen.get["rows"], time.monotonic() - started)
     log.info("loaded %d rows into %s in %.2fs", result.rows, target, result.seconds)
     return result
 
@@ -67,7 +107,7 @@ def bulk_load_all(spark: SparkSession, datasets: dict[str, dict[str, Any]]) -> l
 
 
 def append_csv(spark: SparkSession, source: str, target: str, schema: T.StructType | str) -> None:
-    spark.read.schema(schema).csv(source, header=True, mode="FAILFAST").write.mode("append").parquet(target)
+    read_csv(spark, source, schema).write.mode("append").parquet(target)
 
 
 def append_rows(df: DataFrame, target: str, columns: list[str] | None = None) -> None:

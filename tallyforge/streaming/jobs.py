@@ -1,11 +1,13 @@
 """Streaming loads and streaming validation with scoring.
 
-Each micro-batch owns a folder named after its id and overwrites it, so a batch that is
-replayed after a failure cannot load its rows twice.
+Each micro-batch is written beside the table and then moved into it under names made of the stream and the
+batch, in place of those of an earlier try: a batch that is replayed after a failure cannot load its rows
+twice, and streams with their own checkpoints never touch each other's files.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
@@ -15,6 +17,7 @@ from pyspark.sql import types as T
 
 from tallyforge.functions.columns import is_finite
 from tallyforge.operators.contract import Contract
+from tallyforge.sources.writers import publish
 
 
 def read_files(spark: SparkSession, folder: str, schema: T.StructType, glob: str | None = None,
@@ -23,10 +26,18 @@ def read_files(spark: SparkSession, folder: str, schema: T.StructType, glob: str
     return (reader.option("pathGlobFilter", glob) if glob else reader).parquet(folder)
 
 
+def put_batch(batch: DataFrame, target: str, checkpoint: str, batch_id: int) -> None:
+    """Adds the rows of one micro-batch to the table at `target`, once however often it is tried."""
+    stream = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+    staging = f"{target.rstrip('/')}-batch-{stream}-{batch_id}"
+    batch.write.mode("overwrite").parquet(staging)
+    publish(batch.sparkSession, staging, target, prefix=f"{stream}-{batch_id}-")
+
+
 def stream_load(rows: DataFrame, target: str, columns: Sequence[str], checkpoint: str) -> None:
     """Append the named columns of everything available now to the target."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.select(*columns).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        put_batch(batch.select(*columns), target, checkpoint, batch_id)
     query = (rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
@@ -51,8 +62,8 @@ def stream_validate(rows: DataFrame, contract: Contract, model: PipelineModel |
                 bad = bad.unionByName(scored.where(~is_finite(F.col("prediction"))).select(*good.columns),
                                       allowMissingColumns=True)
                 good = scored.where(is_finite(F.col("prediction"))).select(*keep)
-            good.write.mode("overwrite").parquet(f"{valid}/batch={batch_id}")
-            bad.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+            put_batch(good, valid, checkpoint, batch_id)
+            put_batch(bad, quarantine, checkpoint, batch_id)
         finally:
             judged.unpersist()
     query = (rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

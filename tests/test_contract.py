@@ -104,3 +104,27 @@ def test_gate(spark, share, failing, summaries, passed):
     assert row["passed"] is passed
     missing = drift.gate(validation.where("split <> 'test'"), summary).first()
     assert missing["passed"] is False
+
+
+def test_drafted_values_may_hold_commas(spark):
+    from tallyforge.operators.profile import infer_contract
+    df = spark.createDataFrame([(1, "a,b"), (2, 'c"d')], "id long, kind string")
+    drafted = ct.contract_from_rules("t", infer_contract(df).collect(), ["id"])
+    assert drafted.summary(df).first()["failure_count"] == 0
+
+
+def test_group_checks_and_contracts_by_name(spark):
+    @ct.register_group_check("mean_at_most")
+    def mean_at_most(column, limit):
+        return F.avg(column) <= limit
+
+    df = spark.createDataFrame([(1, 4.0), (2, 8.0)], "id long, x double")
+    for limit, failures in ((6.0, 0), (5.0, 1)):
+        one = ct.register_contract(Contract("small", (), ("id",), group_checks=(ct.GroupCheck("mean_at_most", {"column": "x", "limit": limit}),)))
+        assert ct.contract_named("small") is one
+        assert one.summary(df).first()["failure_count"] == failures
+    with pytest.raises(ValueError, match="unknown group check"):
+        ct.GroupCheck("nothing")
+    with pytest.raises(ValueError, match="unknown contract"):
+        ct.contract_named("nothing")
+    assert ct.contract_named("workout_input") is WORKOUT_INPUT
