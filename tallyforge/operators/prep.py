@@ -12,20 +12,23 @@ from typing import Any
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.columns import is_finite, is_missing, quoted
 from tallyforge.operators.knn import knn_impute
-from tallyforge.operators.ranks import exact_quantiles
+from tallyforge.operators.ranks import exact_quantiles, numbered
+from tallyforge.session import scratch_path
 
 IMPUTERS = ("simple", "knn")
 STRATEGIES = ("mean", "median", "most_frequent", "constant")
 SCALERS = ("robust", "standard", "minmax", "none")
-MAX_CATEGORIES = 10_000
+#: Categories that may become a column each; any number can be encoded by `category_table`.
+MAX_COLUMNS = 10_000
 
 
 def _known(df: DataFrame, name: str) -> Column:
@@ -105,9 +108,9 @@ def fit_categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]
     if not columns:
         return {}
     sizes = df.agg(*[F.approx_count_distinct(F.col(quoted(c))).alias(c) for c in columns]).first()
-    wide = [c for c in columns if sizes[c] > MAX_CATEGORIES]
+    wide = [c for c in columns if sizes[c] > MAX_COLUMNS]
     if wide:
-        raise ValueError(f"too many categories to encode as columns: {wide}")
+        raise ValueError(f"too many categories for a column each, use `category_table`: {wide}")
     row = df.agg(*[F.sort_array(F.collect_set(F.col(quoted(c)).cast("string"))).alias(c) for c in columns]).first()
     return {c: list(row[c]) for c in columns}
 
@@ -123,11 +126,11 @@ def onehot_columns(name: str, categories: list[str], handle_unknown: str = "erro
     if handle_unknown not in ("error", "ignore"):
         raise ValueError(f"unsupported handle_unknown {handle_unknown!r}")
     kept = categories[1:] if drop == "first" or (drop == "if_binary" and len(categories) == 2) else categories
-    out = []
-    for v in kept:
-        hit = F.when(F.col(quoted(name)).cast("string") == v, 1.0).otherwise(0.0)
-        out.append((hit if handle_unknown == "ignore" else _unknown(name, categories, hit)).alias(f"{name}_{v}"))
-    return out
+    hits = [F.when(F.col(quoted(name)).cast("string") == v, 1.0).otherwise(0.0) for v in kept]
+    if handle_unknown == "error" and hits:
+        # All columns are computed together, so one of them checks for all.
+        hits[0] = _unknown(name, categories, hits[0])
+    return [hit.alias(f"{name}_{v}") for hit, v in zip(hits, kept)]
 
 
 def ordinal_column(name: str, categories: list[str], handle_unknown: str = "error", unknown_value: float = -1) -> Column:
@@ -141,6 +144,37 @@ def ordinal_column(name: str, categories: list[str], handle_unknown: str = "erro
     return _unknown(name, categories, code).alias(name)
 
 
+def category_table(df: DataFrame, column: str) -> DataFrame:
+    """(category, place): the distinct known values of a column as text, numbered from 0 in text order, however many there are."""
+    values = df.where(~is_missing(df, column)).select(F.col(quoted(column)).cast("string").alias("category")).distinct()
+    return numbered(values, [F.col("category").asc()], "place")
+
+
+def ordinal_by_table(df: DataFrame, column: str, categories: DataFrame, handle_unknown: str = "error", unknown_value: float = -1) -> DataFrame:
+    """The column replaced by the place of its value as a double; values join the table, which Spark broadcasts if it is small."""
+    if handle_unknown not in ("error", "use_encoded_value"):
+        raise ValueError(f"unsupported handle_unknown {handle_unknown!r}")
+    text = F.col(quoted(column)).cast("string")
+    joined = df.join(categories, text == F.col("category"), "left")
+    missing = F.lit(float(unknown_value)) if handle_unknown == "use_encoded_value" else F.raise_error(
+        F.concat(F.lit(f"unknown category in {column}: "), F.coalesce(text, F.lit("null")))).cast("double")
+    return joined.withColumn(column, F.coalesce(F.col("place").cast("double"), missing)).drop("category", "place")
+
+
+def onehot_by_table(df: DataFrame, column: str, categories: DataFrame, output: str, handle_unknown: str = "error") -> DataFrame:
+    """Adds a sparse vector with a one at the place of the value; unknown values give an empty vector or an error."""
+    if handle_unknown not in ("error", "ignore"):
+        raise ValueError(f"unsupported handle_unknown {handle_unknown!r}")
+    size = categories.count()
+    placed = ordinal_by_table(df.withColumn("__kept", F.col(quoted(column))), column, categories,
+                              "error" if handle_unknown == "error" else "use_encoded_value", size)
+    coded = placed.withColumn(output, F.col(quoted(column))).withColumn(column, F.col("__kept")).drop("__kept")
+    # Places are 0 to size - 1; the place after the last one, dropped by the encoder, stands for unknown values.
+    sizes = df.sparkSession.range(size + 1).select(F.col("id").cast("double").alias(output))
+    encoder = OneHotEncoder(inputCol=output, outputCol="__hot", dropLast=True).fit(sizes)
+    return encoder.transform(coded).drop(output).withColumnRenamed("__hot", output)
+
+
 class _PrepParams(Params):
     numerical = Param(Params._dummy(), "numerical", "numeric feature columns", TypeConverters.toListString)
     categorical = Param(Params._dummy(), "categorical", "category feature columns", TypeConverters.toListString)
@@ -187,7 +221,10 @@ class TabularPreprocessor(Estimator, _PrepParams, DefaultParamsReadable, Default
         if kind == "knn" and num:
             state["knn"] = {"k": imputer.get("n_neighbors", 5), "weights": imputer.get("weights", "uniform"),
                             "key": imputer["donor_key"]}
-            train = knn_impute(train, dataset, num, state["knn"]["key"], state["knn"]["k"], state["knn"]["weights"])
+            # Written once: the scaler's passes would each search again.
+            path = scratch_path(dataset.sparkSession, "imputed")
+            knn_impute(train, dataset, num, state["knn"]["key"], state["knn"]["k"], state["knn"]["weights"]).select(*num).write.parquet(path)
+            train = dataset.sparkSession.read.parquet(path)
         elif num:
             state["fills"] = fit_imputer(dataset, num, imputer.get("strategy", "median"), imputer.get("fill_value", 0.0))
             train = fill(dataset, state["fills"])
@@ -204,8 +241,25 @@ class TabularPreprocessor(Estimator, _PrepParams, DefaultParamsReadable, Default
         return model
 
 
+class _ModelWriter(DefaultParamsWriter):
+    """Parameters as JSON; the donors of nearest-neighbour imputation beside them as parquet."""
+
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        if self.instance.donors is not None:
+            self.instance.donors.write.parquet(f"{path}/donors")
+
+
+class _ModelReader(DefaultParamsReader):
+    def load(self, path: str):
+        model = super().load(path)
+        if model.fitted()["knn"]:
+            model.donors = self.sparkSession.read.parquet(f"{path}/donors")
+        return model
+
+
 class TabularPreprocessorModel(Model, _PrepParams, DefaultParamsReadable, DefaultParamsWritable):
-    """Fitted preprocessor. All it knows is JSON text in `state`; set `donors` again after loading a KNN one."""
+    """Fitted preprocessor. What it knows is JSON text in `state`, and the donors of nearest-neighbour imputation."""
 
     state = Param(Params._dummy(), "state", "fitted values as JSON text", TypeConverters.toString)
 
@@ -214,6 +268,13 @@ class TabularPreprocessorModel(Model, _PrepParams, DefaultParamsReadable, Defaul
         self._setDefault(numerical=[], categorical=[], config="{}", outputCol="features")
         self.donors: DataFrame | None = None
 
+    def write(self) -> _ModelWriter:
+        return _ModelWriter(self)
+
+    @classmethod
+    def read(cls) -> _ModelReader:
+        return _ModelReader(cls)
+
     def fitted(self) -> dict[str, Any]:
         return json.loads(self.getOrDefault("state"))
 

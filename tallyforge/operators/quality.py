@@ -151,6 +151,47 @@ def dummy_classification(df: DataFrame, target: str) -> DataFrame:
     return cells.select(*_confusion(*[F.col(c) for c in ("tp", "fp", "fn", "tn")]), F.lit(0.5).alias("roc_auc"))
 
 
+def class_quality(df: DataFrame, target: str, prediction: str, digits: int | None = None) -> DataFrame:
+    """(class, n_rows, precision, recall, f1) of every class that occurs as target or prediction; shares without cases are 0."""
+    known = df.select(F.col(quoted(target)).cast("string").alias("t"), F.col(quoted(prediction)).cast("string").alias("p"))
+    cells = known.where("t is not null and p is not null").groupBy("t", "p").agg(F.count(F.lit(1)).alias("n"))
+    sides = cells.select(F.inline(F.array(
+        F.struct(F.col("t").alias("class"), F.col("n").alias("is"), F.lit(0).cast("long").alias("said"), F.when(F.col("t") == F.col("p"), F.col("n")).otherwise(0).cast("long").alias("hit")),
+        F.struct(F.col("p").alias("class"), F.lit(0).cast("long").alias("is"), F.col("n").alias("said"), F.lit(0).cast("long").alias("hit")))))
+    per = sides.groupBy("class").agg(F.sum("is").alias("is"), F.sum("said").alias("said"), F.sum("hit").alias("hit"))
+    share = lambda a, b: F.coalesce(ratio(a, b), F.lit(0.0))
+    cut = lambda c: c if digits is None else F.round(c, digits)
+    return per.select("class", F.col("is").alias("n_rows"), cut(share(F.col("hit"), F.col("said"))).alias("precision"),
+                      cut(share(F.col("hit"), F.col("is"))).alias("recall"),
+                      cut(share(2 * F.col("hit"), F.col("is") + F.col("said"))).alias("f1"))
+
+
+def multiclass_quality(df: DataFrame, target: str, prediction: str, probabilities: str | None = None) -> DataFrame:
+    """Accuracy, macro precision, recall and F1 (means over the classes), and the log-loss of a map from class to probability."""
+    t, p = F.col(quoted(target)).cast("string"), F.col(quoted(prediction)).cast("string")
+    known = df.where(t.isNotNull() & p.isNotNull())
+    macro = class_quality(known, target, prediction).agg(
+        F.avg("precision").alias("macro_precision"), F.avg("recall").alias("macro_recall"), F.avg("f1").alias("macro_f1"))
+    aggs = [F.avg((t == p).cast("double")).alias("accuracy")]
+    if probabilities:
+        sure = F.coalesce(F.try_element_at(F.col(quoted(probabilities)), t).cast("double"), F.lit(0.0))
+        aggs.append(F.avg(-F.ln(F.least(F.greatest(sure, F.lit(1e-15)), F.lit(1 - 1e-15)))).alias("log_loss"))
+    one = known.agg(*aggs).withColumn("k", F.lit(0))
+    return one.join(macro.withColumn("k", F.lit(0)), "k").drop("k")
+
+
+def dummy_multiclass(df: DataFrame, target: str) -> DataFrame:
+    """Scores of always saying the most frequent class, the first in text order on a tie."""
+    t = F.col(quoted(target)).cast("string")
+    per = df.where(t.isNotNull()).groupBy(t.alias("class")).agg(F.count(F.lit(1)).alias("n"))
+    one = per.agg(F.sum("n").cast("double").alias("all"), F.count(F.lit(1)).alias("classes"),
+                  F.min(F.struct((-F.col("n")).alias("neg"), F.col("class").alias("class"))).alias("top"))
+    hit, classes = -F.col("top.neg"), F.col("classes")
+    return one.select(F.col("top.class").alias("class"), ratio(hit, F.col("all")).alias("accuracy"),
+                      (ratio(hit, F.col("all")) / classes).alias("macro_precision"), ratio(F.lit(1.0), classes).alias("macro_recall"),
+                      (ratio(2 * hit, F.col("all") + hit) / classes).alias("macro_f1"))
+
+
 # --- test suites ----------------------------------------------------------------------------------------
 
 @dataclass(frozen=True)
@@ -163,6 +204,48 @@ class MetricTest:
     severity: str = "fail"
 
 
+#: Named suites: what a model or table is held to. Bounds are names of other metrics (baselines) or numbers.
+SUITES: dict[str, tuple[tuple[str, str, str | float], ...]] = {
+    "regression": (("rmse", "<", "dummy_rmse"), ("mae", "<", "dummy_mae"), ("r2", ">", 0.0)),
+    "binary": (("accuracy", ">", "dummy_accuracy"), ("precision", ">", "dummy_precision"), ("recall", ">", 0.0),
+               ("f1", ">", "dummy_f1"), ("roc_auc", ">", 0.5)),
+    "multiclass": (("accuracy", ">", "dummy_accuracy"), ("macro_f1", ">", "dummy_macro_f1"), ("log_loss", "<", "dummy_log_loss")),
+    "recsys": (("precision_at_k", ">", 0.0), ("recall_at_k", ">", 0.0), ("ndcg_at_k", ">", 0.0), ("hit_rate_at_k", ">", 0.0)),
+    "stability": (("row_count_ratio", ">=", 0.9), ("row_count_ratio", "<=", 1.1), ("changed_types", "==", 0.0),
+                  ("out_of_range", "==", 0.0), ("out_of_list", "==", 0.0)),
+    "drift": (("dataset_drift_share", "<", 0.5),),
+    "quality": (("dataset_missing_share", "<", 0.1), ("duplicate_rows", "==", 0.0), ("constant_columns", "==", 0.0)),
+    "no_target": (("dataset_drift_share", "<", 0.5), ("dataset_missing_share", "<", 0.1), ("row_count_ratio", ">=", 0.9)),
+}
+
+
+def long_metrics(wide: DataFrame, prefix: str = "") -> DataFrame:
+    """(metric, column, value) rows of the numeric columns of a one-row table."""
+    cells = [F.struct(F.lit(prefix + c).alias("metric"), F.lit("").alias("column"), F.col(quoted(c)).cast("double").alias("value"))
+             for c in numeric_columns(wide)]
+    return wide.select(F.inline(F.array(*cells)))
+
+
+def run_suite(metrics: DataFrame, name: str) -> DataFrame:
+    """(metric, column, value, op, bound, status) of a named suite on a long metric table.
+
+    A test runs once for every column that has its metric. A test whose metric or baseline is absent fails.
+    """
+    if name not in SUITES:
+        raise ValueError(f"unknown suite {name!r}, expected one of {sorted(SUITES)}")
+    rules = metrics.sparkSession.range(1).select(F.inline(F.array(*[F.struct(
+        F.lit(m).alias("metric"), F.lit(op).alias("op"), F.lit(b if isinstance(b, str) else None).cast("string").alias("baseline"),
+        F.lit(None if isinstance(b, str) else float(b)).cast("double").alias("fixed")) for m, op, b in SUITES[name]])))
+    values = metrics.select("metric", "column", F.col("value").cast("double").alias("value"))
+    baselines = values.where(F.col("column") == "").select(F.col("metric").alias("baseline"), F.col("value").alias("measured"))
+    v, b, op = F.col("value"), F.coalesce("fixed", "measured"), F.col("op")
+    holds = (F.when(op == "<", v < b).when(op == "<=", v <= b).when(op == ">", v > b)
+             .when(op == ">=", v >= b).when(op == "==", v == b))
+    return rules.join(baselines, "baseline", "left").join(values, "metric", "left").select(
+        "metric", F.coalesce("column", F.lit("")).alias("column"), "value", "op", b.alias("bound"),
+        F.when(F.coalesce(holds, F.lit(False)), "SUCCESS").otherwise("FAIL").alias("status"))
+
+
 def run_tests(metrics: DataFrame, tests: Sequence[MetricTest]) -> DataFrame:
     """(metric, column, value, op, bound, status) for a long metric table (metric, column, value).
 
@@ -206,8 +289,9 @@ def stability_metrics(reference: DataFrame, current: DataFrame, categories: Sequ
     out = one.select(F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.lit(c).alias("column"), v.alias("value"))
                                         for m, c, v in rows])))
     for c in categories:
-        known = reference.select(quoted(c)).distinct()
-        fresh = current.groupBy(quoted(c)).agg(F.count(F.lit(1)).alias("n")).join(known, c, "left_anti")
+        known = reference.select(F.col(quoted(c)).alias("__known")).distinct()
+        fresh = current.groupBy(F.col(quoted(c)).alias("__value")).agg(F.count(F.lit(1)).alias("n")).join(
+            known, F.col("__value").eqNullSafe(F.col("__known")), "left_anti")
         out = out.unionByName(fresh.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("double").alias("value")).select(
             F.lit("out_of_list").alias("metric"), F.lit(c).alias("column"), "value"))
     return out

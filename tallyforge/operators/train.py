@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import logging
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from threading import Lock
 from typing import Any
 
 import numpy as np
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions.columns import is_finite
 from tallyforge.operators.contract import Contract
 from tallyforge.operators.quality import evaluation_metrics
+from tallyforge.operators.ranks import range_count
 
 log = logging.getLogger(__name__)
 
@@ -59,14 +61,12 @@ def sample_trials(n: int, seed: int, model: str | None = None, space: dict[str,
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use every core for training: iterative fits read the rows dozens of times, so few input files
-    are worth one shuffle. Inputs that already have a partition per core stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    """Rows dealt evenly: iterative fits read them dozens of times, so one shuffle is worth it whatever the files look like."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, range_count(df)))
 
 
 def label_stats(df: DataFrame, label: str) -> tuple[int, float]:
-    row = df.agg(F.count(label).alias("n"), F.stddev_samp(label).alias("s")).first()
+    row = df.agg(F.count(label).alias("n"), F.stddev_pop(label).alias("s")).first()
     return row["n"], row["s"] or 1.0
 
 
@@ -74,12 +74,12 @@ def regressor(name: str, params: dict[str, Any], features: str, label: str, stat
     """Spark ML estimator for a model name.
 
     Ridge's penalty is stated for the sum of squares; Spark's is per row and in units of the
-    label's deviation. Boosted trees of either name use the same estimator.
+    label's deviation. It is solved from the sums of one pass. Boosted trees of either name use the same estimator.
     """
     if name == "ridge":
         n, std = stats
         return LinearRegression(featuresCol=features, labelCol=label, elasticNetParam=0.0, standardization=False,
-                                solver="l-bfgs", maxIter=500, tol=1e-12, regParam=params.get("alpha", 1.0) / n * std)
+                                solver="normal", regParam=params.get("alpha", 1.0) / n * std)
     if name == "random_forest":
         share = params.get("max_features", 1.0)
         return RandomForestRegressor(featuresCol=features, labelCol=label, seed=seed,
@@ -103,11 +103,18 @@ class Search:
 def search(spark: SparkSession, train: DataFrame, val: DataFrame, label: str, *, features: str = "features",
            n_trials: int = 4, seed: int = 42, metrics: Sequence[str] = ("root_mean_squared_error",),
            model: str | None = None, space: dict[str, Any] | None = None, parallelism: int = 2,
-           run_id: str = "run") -> Search:
+           run_id: str = "run", own_metrics: Mapping[str, tuple[str, Callable[[DataFrame, str, str], float]]] | None = None) -> Search:
     """Fit every sampled trial on train, score it on val, keep the best model of each metric.
 
-    All trials read the two persisted feature frames; several fits run side by side.
+    All trials read the two persisted feature frames; several fits run side by side, and only the best model so far of each
+    metric is held. `own_metrics` maps a name to its direction ("minimize" or "maximize") and a function of the scored rows,
+    the label and the prediction column. It is an error if no trial completes.
     """
+    own_metrics = dict(own_metrics or {})
+    if any(way not in ("minimize", "maximize") for way, _ in own_metrics.values()):
+        raise ValueError("the direction of a metric is 'minimize' or 'maximize'")
+    directions = {**{m: METRICS[m] for m in metrics if m in METRICS}, **{m: way for m, (way, _) in own_metrics.items()}}
+    best, held, guard = {}, {}, Lock()
     unknown = [m for m in metrics if m not in METRICS]
     if unknown:
         raise ValueError(f"unsupported metrics {unknown}, choose from {', '.join(METRICS)}")
@@ -120,28 +127,31 @@ def search(spark: SparkSession, train: DataFrame, val: DataFrame, label: str, *,
             number, (name, params) = trial
             try:
                 fitted = regressor(name, params, features, label, stats, seed).fit(fit_on)
-                row = evaluation_metrics(fitted.transform(score_on), label, "prediction").first()
-                if not all(math.isfinite(row[m]) for m in metrics):
+                scored = fitted.transform(score_on)
+                row = evaluation_metrics(scored, label, "prediction").first().asDict()
+                row.update({m: float(of(scored, label, "prediction")) for m, (_, of) in own_metrics.items()})
+                if not all(math.isfinite(row[m]) for m in directions):
                     raise ValueError("non-finite score")
-                return number, name, params, "COMPLETE", row.asDict(), fitted
             except Exception as error:
                 log.error("trial %d (%s) failed: %s", number, name, error)
-                return number, name, params, "FAIL", {}, None
+                return number, name, params, "FAIL", {}
+            with guard:
+                for m, way in directions.items():
+                    mark = (row[m] if way == "minimize" else -row[m], number)
+                    if m not in held or mark < held[m]:
+                        held[m], best[m] = mark, fitted
+            return number, name, params, "COMPLETE", row
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
             done = list(pool.map(run, enumerate(sample_trials(n_trials, seed, model, space))))
     finally:
         fit_on.unpersist()
         score_on.unpersist()
-    rows = [(run_id, number, name, str(params), state, m, METRICS[m], scores.get(m))
-            for number, name, params, state, scores, _ in done for m in metrics]
+    if not best:
+        raise RuntimeError(f"none of {n_trials} trials completed")
+    rows = [(run_id, number, name, str(params), state, m, way, scores.get(m))
+            for number, name, params, state, scores in done for m, way in directions.items()]
     trials = spark.createDataFrame(rows, "run_id string, trial int, model_type string, params string, state string, "
                                          "metric string, direction string, score double")
-    best = {}
-    for m in metrics:
-        scored = [d for d in done if d[3] == "COMPLETE"]
-        if scored:
-            pick = min if METRICS[m] == "minimize" else max
-            best[m] = pick(scored, key=lambda d: d[4][m])[5]
     return Search(trials, best)
 
 

@@ -121,6 +121,28 @@ def ordinal(spark, sf):
     return orders.select("o_orderkey", prep.ordinal_column("o_orderstatus", cats, "use_encoded_value", -1))
 
 
+@query("g10_ordinal_wide", """
+select c_custkey, coalesce(place, -1)::double as c_name from customer left join (
+  select c_name as name, row_number() over (order by c_name) - 1 as place from (select distinct c_name from customer where c_custkey % 9 <> 0)) on c_name = name""")
+def ordinal_wide(spark, sf):
+    people = table(spark, sf, "customer").select("c_custkey", "c_name")
+    names = prep.category_table(people.where(F.col("c_custkey") % 9 != 0), "c_name")
+    return prep.ordinal_by_table(people, "c_name", names, "use_encoded_value", -1)
+
+
+@query("g9_onehot_wide", """
+with t as (select p_name as name, row_number() over (order by p_name) - 1 as place, count(*) over () as size
+  from (select distinct p_name from part where p_partkey % 9 <> 0))
+select p_partkey, (select max(size) from t)::int as size, coalesce(place, -1)::int as place from part left join t on p_name = name""")
+def onehot_wide(spark, sf):
+    """The sparse vector as its length and the place of its one (-1: none)."""
+    parts = table(spark, sf, "part").select("p_partkey", "p_name")
+    names = prep.category_table(parts.where(F.col("p_partkey") % 9 != 0), "p_name")
+    coded = prep.onehot_by_table(parts, "p_name", names, "hot", "ignore")
+    inner = F.from_json(F.to_json(F.struct("hot")), "hot struct<size int, indices array<int>>")
+    return coded.select("p_partkey", inner["hot"]["size"].alias("size"), F.coalesce(F.get(inner["hot"]["indices"], F.lit(0)), F.lit(-1)).alias("place"))
+
+
 _PREP = {"numerical": {"imputer": {"type": "simple", "strategy": "median"}, "scaler": {"type": "robust"}},
          "categorical": {"imputer": {"strategy": "most_frequent"}, "encoder": {"type": "onehot", "handle_unknown": "ignore"}}}
 
@@ -166,3 +188,27 @@ def finite_gate(spark, sf):
     path = scratch_path(spark, "matrix")
     prep.write_matrix(lines, ["l_quantity", "inverse"], "l_extendedprice", path)
     return prep.finite_report(spark.read.parquet(path), ["l_quantity", "inverse", "l_extendedprice"])
+
+
+@query("g21_knn_roundtrip", """
+select event_id, 2 + (select count(distinct event_type) from events where event_type <> 'view') as n_features, 0.0::double as gap,
+       (event_type = 'view')::int as n_unknown from events""")
+def knn_roundtrip(spark, sf):
+    """Nearest-neighbour, robust and one-hot preparation, fitted without one category, saved, reloaded and compared."""
+    gaps = fx.event_gaps(spark, sf).select("event_id", "value", F.hour("ts").cast("double").alias("h"))
+    gaps = gaps.join(table(spark, sf, "events").select("event_id", "event_type"), "event_id")
+    config = {"numerical": {"imputer": {"type": "knn", "n_neighbors": 5, "donor_key": "event_id"}, "scaler": {"type": "robust"}},
+              "categorical": {"imputer": {"strategy": "most_frequent"}, "encoder": {"type": "onehot", "handle_unknown": "ignore"}}}
+    fitted = prep.TabularPreprocessor(numerical=["value", "h"], categorical=["event_type"], config=config).fit(
+        gaps.where(F.col("event_type") != "view"))
+    path = scratch_path(spark, "prep")
+    fitted.save(path)
+    back = prep.TabularPreprocessorModel.load(path)
+    names = back.feature_names()
+    first, second = fitted.flat(gaps, ["event_id"]), back.flat(gaps, ["event_id"])
+    both = first.join(second.toDF("event_id", *[f"b{i}" for i in range(len(names))]), "event_id")
+    gap = F.greatest(*[F.abs(F.col(f"`{c}`") - F.col(f"b{i}")) for i, c in enumerate(names)])
+    known = F.lit(0)
+    for c in names[2:]:
+        known = known + F.col(f"`{c}`").cast("int")
+    return both.select("event_id", F.lit(len(names)).cast("long").alias("n_features"), gap.alias("gap"), (1 - known).alias("n_unknown"))

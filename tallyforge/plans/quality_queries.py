@@ -123,6 +123,105 @@ def dummy_classification(spark, sf):
     return _rounded(quality.dummy_classification(table(spark, sf, "labels"), "toxic"))
 
 
+_SAID = """(select event_type as actual, case when value < 100 then 'click' when value < 200 then 'purchase' when value < 300 then 'view'
+    when value < 400 then 'signup' else 'other' end as said from events)"""
+_CLASSES = f"""(select class, sum(n)::bigint as n_rows, sum(said)::double as said, sum(hit)::double as hit from (
+    select actual as class, 1 as n, 0 as said, (actual = said)::int as hit from {_SAID}
+    union all select said, 0, 1, 0 from {_SAID}) group by class)"""
+_PER_CLASS = f"""(select class, n_rows, coalesce(hit / nullif(said, 0), 0) as precision, coalesce(hit / nullif(n_rows, 0), 0) as recall,
+    coalesce(2 * hit / nullif(n_rows + said, 0), 0) as f1 from {_CLASSES})"""
+_TYPES = ("click", "purchase", "view", "signup", "other")
+
+
+def _said(spark, sf):
+    v = F.col("value")
+    said = F.when(v < 100, "click").when(v < 200, "purchase").when(v < 300, "view").when(v < 400, "signup").otherwise("other")
+    chances = F.create_map(*[x for t in _TYPES for x in (F.lit(t), F.when(said == t, 0.6).otherwise(0.1))])
+    return table(spark, sf, "events").select(F.col("event_type").alias("actual"), said.alias("said"), chances.alias("chances"))
+
+
+@query("f23_per_class", f"""
+select class, n_rows, round(precision, 6) as precision, round(recall, 6) as recall, round(f1, 6) as f1 from {_PER_CLASS}""")
+def per_class(spark, sf):
+    return quality.class_quality(_said(spark, sf), "actual", "said", 6)
+
+
+@query("f23_multiclass", f"""
+select round(a.accuracy, 6) as accuracy, round(a.log_loss, 6) as log_loss, round(m.p, 6) as macro_precision, round(m.r, 6) as macro_recall,
+       round(m.f, 6) as macro_f1 from (
+  select avg((actual = said)::int::double) as accuracy,
+         avg(-ln(case when actual not in {_TYPES} then 1e-15 when actual = said then 0.6::double else 0.1::double end)) as log_loss from {_SAID}) a,
+  (select avg(precision) as p, avg(recall) as r, avg(f1) as f from {_PER_CLASS}) m""")
+def multiclass(spark, sf):
+    return _rounded(quality.multiclass_quality(_said(spark, sf), "actual", "said", "chances"))
+
+
+@query("f24_dummy_multiclass", """
+with c as (select event_type as class, count(*) as n from events group by 1),
+     t as (select class, n, (select sum(n) from c)::double as total, (select count(*) from c) as k from c order by n desc, class limit 1)
+select class, round(n / total, 6) as accuracy, round(n / total / k, 6) as macro_precision, round(1.0::double / k, 6) as macro_recall,
+       round(2.0::double * n / (total + n) / k, 6) as macro_f1 from t""")
+def dummy_multiclass(spark, sf):
+    return _rounded(quality.dummy_multiclass(table(spark, sf, "events"), "event_type"))
+
+
+@query("f29_suite_multiclass", f"""
+with m as (select avg((actual = said)::int::double) as accuracy from {_SAID}),
+     f as (select avg(f1) as f from {_PER_CLASS}),
+     c as (select event_type as class, count(*) as n from events group by 1),
+     t as (select n, (select sum(n) from c)::double as total, (select count(*) from c) as k from c order by n desc, class limit 1),
+     rules as (select 'accuracy' as metric, accuracy as value, n / total as bound from m, t
+       union all select 'macro_f1', f, 2.0::double * n / (total + n) / k from f, t)
+select metric, '' as "column", round(value, 6) as value, '>' as op, round(bound, 6) as bound, case when value > bound then 'SUCCESS' else 'FAIL' end as status from rules
+union all select 'log_loss', '', (select round(avg(-ln(case when actual not in {_TYPES} then 1e-15 when actual = said then 0.6::double else 0.1::double end)), 6) from {_SAID}), '<', null, 'FAIL'""")
+def suite_multiclass(spark, sf):
+    rows = _said(spark, sf)
+    found = quality.long_metrics(quality.multiclass_quality(rows, "actual", "said", "chances")).unionByName(
+        quality.long_metrics(quality.dummy_multiclass(rows, "actual"), "dummy_"))
+    return quality.run_suite(found, "multiclass").withColumns({c: F.round(c, 6) for c in ("value", "bound")})
+
+
+@query("f29_suite_binary", f"""
+with c as (select count(*) filter (where toxic = 1 and s >= 0.5)::double as tp, count(*) filter (where toxic = 0 and s >= 0.5)::double as fp,
+       count(*) filter (where toxic = 1 and s < 0.5)::double as fn, count(*) filter (where toxic = 0 and s < 0.5)::double as tn from {_SCORED}),
+     r as (select toxic, rank() over (order by s) + (count(*) over (partition by s) - 1) / 2.0::double as r from {_SCORED}),
+     a as (select (sum(r) filter (where toxic = 1) - p * (p + 1) / 2) / (p * n) as auc from r,
+       (select count(*) filter (where toxic = 1)::double as p, count(*) filter (where toxic = 0)::double as n from {_SCORED}) group by p, n),
+     d as (select count(*) filter (where toxic = 1)::double as p, count(*) filter (where toxic = 0)::double as n from {_SCORED}),
+     rules as (
+       select 'accuracy' as metric, (tp + tn) / (tp + fp + fn + tn) as value, greatest(p, n) / (p + n) as bound from c, d
+       union all select 'precision', coalesce(tp / nullif(tp + fp, 0), 0), case when p > n then p / (p + n) else 0 end from c, d
+       union all select 'recall', coalesce(tp / nullif(tp + fn, 0), 0), 0 from c
+       union all select 'f1', coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), case when p > n then 2 * p / (2 * p + n) else 0 end from c, d
+       union all select 'roc_auc', auc, 0.5 from a)
+select metric, '' as "column", round(value, 6) as value, '>' as op, round(bound, 6)::double as bound, case when value > bound then 'SUCCESS' else 'FAIL' end as status from rules""")
+def suite_binary(spark, sf):
+    rows = _scored(spark, sf)
+    found = quality.long_metrics(quality.classification_quality(rows, "toxic", "score")).unionByName(
+        quality.long_metrics(quality.dummy_classification(rows, "toxic"), "dummy_"))
+    return quality.run_suite(found, "binary").withColumns({c: F.round(c, 6) for c in ("value", "bound")})
+
+
+@query("f29_suite_stability", """
+with r as (select * from events where ts < timestamp '2024-01-16'), c as (select * from events where ts >= timestamp '2024-01-16'),
+     n as (select (select count(*) from c)::double / (select count(*) from r) as ratio),
+     b as (select min(value) as lo, max(value) as hi, min(user_id) as ulo, max(user_id) as uhi from r),
+     rules as (
+       select 'row_count_ratio' as metric, '' as "column", ratio as value, '>=' as op, 0.9::double as bound from n
+       union all select 'row_count_ratio', '', ratio, '<=', 1.1 from n
+       union all select 'changed_types', '', 0, '==', 0
+       union all select 'out_of_range', 'value', (select count(*) from c where value not between lo and hi)::double, '==', 0 from b
+       union all select 'out_of_range', 'user_id', (select count(*) from c where user_id not between ulo and uhi)::double, '==', 0 from b
+       union all select 'out_of_list', 'event_type', (select count(*) from c where event_type not in (select event_type from r))::double, '==', 0)
+select metric, "column", round(value, 6) as value, op, bound, case when (op = '>=' and value >= bound) or (op = '<=' and value <= bound)
+       or (op = '==' and value = bound) then 'SUCCESS' else 'FAIL' end as status from rules""")
+def suite_stability(spark, sf):
+    events = table(spark, sf, "events").select("ts", "value", "user_id", "event_type")
+    old = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    found = quality.stability_metrics(events.where(old), events.where(~old), ["event_type"])
+    return quality.run_suite(found, "stability").withColumn("value", F.round("value", 6))
+
+
 # --- recommendations ---------------------------------------------------------------------------------
 
 K = 10

@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
 
 from tallyforge.operators import prep, train
 from tallyforge.operators.knn import knn_impute
@@ -125,11 +126,23 @@ def test_knn_preprocessor_survives_saving(spark):
     path = scratch_path(spark, "prep")
     model.save(path)
     back = type(model).load(path)
-    back.donors = model.donors
     query = spark.createDataFrame([(100, 3.2, None)], "id long, a double, b double")
     assert back.flat(query).first()["numerical__b"] == 6.0
 
 
+def test_wide_categories_by_table(spark):
+    df = spark.createDataFrame([(i, f"v{i:05d}") for i in range(12_000)] + [(12_000, None)], "id int, c string")
+    names = prep.category_table(df.where("id % 2 = 0"), "c")
+    got = prep.ordinal_by_table(df, "c", names, "use_encoded_value", -1).collect()
+    assert {r["id"]: r["c"] for r in got} == {i: (i / 2 if i % 2 == 0 and i < 12_000 else -1.0) for i in range(12_001)}
+    hot = {r["id"]: r["hot"] for r in prep.onehot_by_table(df.where("id < 6"), "c", names, "hot", "ignore").collect()}
+    assert all(v.size == 6_000 for v in hot.values()) and list(hot[4].indices) == [2] and list(hot[5].indices) == []
+    with pytest.raises(Exception, match="unknown category in c"):
+        prep.ordinal_by_table(df, "c", names).collect()
+    with pytest.raises(Exception, match="unknown category in c"):
+        prep.onehot_by_table(df, "c", names, "hot").collect()
+
+
 def test_gates(spark):
     df = spark.createDataFrame([("train", 1.0, 1.0), ("val", 1.0, None)], "split string, x double, y double")
     with pytest.raises(ValueError, match="missing required"):
@@ -170,6 +183,30 @@ def test_search_finds_the_line(spark):
         train.sample_trials(1, 1, "oracle")
 
 
+def test_own_metrics_and_failed_searches(spark):
+    worst = lambda df, label, prediction: df.agg(F.max(F.abs(F.col(label) - F.col(prediction)))).first()[0]
+    found = train.search(spark, line(spark, range(20)), line(spark, (20, 21, 22)), "y", n_trials=3, seed=7, model="ridge",
+                         metrics=[], own_metrics={"largest_gap": ("minimize", worst)})
+    scores = [r["score"] for r in found.trials.collect()]
+    assert set(found.best) == {"largest_gap"} and len(scores) == 3
+    assert worst(found.best["largest_gap"].transform(line(spark, (20, 21, 22))), "y", "prediction") == pytest.approx(min(scores))
+    with pytest.raises(RuntimeError, match="none of 2 trials"):
+        train.search(spark, line(spark, range(20)), line(spark, (20, 21)), "y", n_trials=2, model="ridge", metrics=[],
+                     own_metrics={"none": ("maximize", lambda *_: float("nan"))})
+
+
+def test_ridge_with_several_features_equals_the_closed_form(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(200, 3)) * [1, 10, 0.1]
+    y = x @ [2, -1, 5] + 3 + rng.normal(size=200)
+    data = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(
+        spark.createDataFrame([(*map(float, r), float(t)) for r, t in zip(x, y)], "a double, b double, c double, y double"))
+    model = train.regressor("ridge", {"alpha": 3.0}, "features", "y", train.label_stats(data, "y")).fit(data)
+    centred = x - x.mean(axis=0)
+    want = np.linalg.solve(centred.T @ centred + 3.0 * np.eye(3), centred.T @ (y - y.mean()))
+    assert list(model.coefficients) == pytest.approx(list(want), abs=1e-6)
+
+
 def test_samples_stay_in_the_space():
     for name, params in train.sample_trials(40, 3):
         for p, (kind, lo, hi, *_) in train.SPACE[name].items():
