@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.common import pick, stored
 
-BINS = 1 << 16
+#: Draws are told apart by this many leading bits, as many at a time, before single documents are put in order.
+STEP, STEPS = 10, 2
 
 
 def word_count(text: str | Column) -> Column:
@@ -62,54 +63,66 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], max_epochs: float
     return weighed.select(source, "source_size", F.least("limit", F.col("weight") * level).alias("target"))
 
 
+def narrowed(rows: DataFrame, plan: DataFrame, source: str, step: int) -> DataFrame:
+    """The plan with `prefix` and `short` one step finer: the leading bits of the draws where a source's missing words are reached.
+
+    `short` is what is still missing before that prefix. Each source adds up at most 2^STEP sums per step. A source whose
+    documents do not reach the mark has a null prefix.
+    """
+    own = F.col(source).eqNullSafe(F.col("of"))
+    digit = F.shiftrightunsigned("draw", 64 - STEP * (step + 1))
+    inside = rows.select(source, "size", digit.alias("digit"))
+    if step:
+        inside = inside.join(plan.select("of", "prefix"), own & (F.shiftrightunsigned("digit", STEP) == F.col("prefix"))).drop("of", "prefix")
+    sums = inside.groupBy(source, "digit").agg(F.sum("size").alias("words"))
+    sums = sums.withColumn("before", F.sum("words").over(Window.partitionBy(source).orderBy("digit")) - F.col("words"))
+    reached = sums.join(plan.select("of", "short"), own).where("before <= short and short < before + words")
+    marks = reached.groupBy("of").agg(F.min("digit").alias("next"), F.min("before").alias("before"))
+    return stored(plan.alias("p").join(marks.alias("m"), F.col("p.of").eqNullSafe(F.col("m.of")), "left").select(
+        "p.of", "source_size", "target", "whole", "missing", (F.col("short") - F.col("before")).alias("short"),
+        F.col("next").alias("prefix")), "plan")
+
+
 def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epochs: float = 3.0, seed: int = 11,
-                key: str = "doc_id", text: str = "text", source: str = "source", bins: int = BINS,
-                carry: Sequence[str] = ()) -> DataFrame:
+                key: str = "doc_id", text: str = "text", source: str = "source", carry: Sequence[str] = ()) -> DataFrame:
     """One row per document: key, source, size (words), source_size, target, copies, taken = size * copies; and the `carry` columns.
 
     A source whose target is f times its size takes floor(f) copies of each document, and one more of those whose seeded hash is
-    lowest, up to the words still missing: hash bins are filled whole, and only the one bin that crosses the mark is put in order.
-    The last document is taken if that brings the sum nearer to the target. Equal rows differ by nothing but are told apart by
-    their order, so any of them may be the one taken; the rows returned are the same in every run.
+    lowest, up to the words still missing. The place of that mark among the hashes is found digit by digit from sums per source;
+    only the documents that share all its digits are put in order. The last document is taken if that brings the sum nearer to
+    the target. Equal rows are told apart by their order alone, so the rows returned are the same in every run.
 
-    Null texts and texts without words have size 0 and are never taken beyond the whole copies; null sources form one source;
-    a table without words has targets of 0. Every row of the input is returned once.
+    Null texts and texts without words have size 0 and never change a sum; null sources form one source; a table without words
+    has targets of 0. Every row of the input is returned once.
     """
-    spark = docs.sparkSession
     kept = list(dict.fromkeys([key, source, *carry]))
     rows = pick(docs, *dict.fromkeys([*kept, text])).select(
         *kept, word_count(text).alias("size"), F.xxhash64(F.lit(seed), F.col(key), F.hash(text)).alias("draw"))
-    rows = rows.withColumn("bin", F.pmod(F.col("draw"), F.lit(bins)).cast("int"))
     if not carry:
         rows = stored(rows, "sizes")
-    targets = stored(source_targets(rows.select(source, "size"), weights, max_epochs, source), "targets").select(
-        F.col(source).alias("of"), "source_size", "target",
-        F.floor(F.try_divide("target", "source_size")).alias("whole"))
-    plan = targets.withColumn("missing", F.col("target") - F.col("whole") * F.col("source_size"))
-    filled = rows.groupBy(source, "bin").agg(F.sum("size").alias("bin_size")).withColumn(
-        "before", F.sum("bin_size").over(Window.partitionBy(source).orderBy("bin")) - F.col("bin_size"))
-    marks = filled.join(plan, F.col(source).eqNullSafe(F.col("of"))).where(
-        (F.col("before") <= F.col("missing")) & (F.col("missing") < F.col("before") + F.col("bin_size")))
-    marks = marks.groupBy("of").agg(F.min("bin").alias("mark"), F.min_by("before", "bin").alias("mark_before"))
-    plan = stored(plan.alias("p").join(marks.alias("m"), F.col("p.of").eqNullSafe(F.col("m.of")), "left").select(
-        "p.*", "mark", "mark_before"), "plan")
-
-    placed = rows.join(plan, F.col(source).eqNullSafe(F.col("of"))).drop("of")
-    crossing = F.coalesce(F.col("bin") == F.col("mark"), F.lit(False))
-    order = Window.partitionBy(source).orderBy("draw", key, "size")
-    done = F.col("mark_before") + F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    settled = placed.where(crossing).withColumn("extra", (done - F.col("size") / 2 <= F.col("missing")).cast("int"))
+    narrow = stored(rows.select(source, "size", "draw"), "draws") if carry else rows.select(source, "size", "draw")
+    targets = source_targets(narrow.select(source, "size"), weights, max_epochs, source).select(
+        F.col(source).alias("of"), "source_size", "target", F.floor(F.try_divide("target", "source_size")).alias("whole"))
+    missing = F.col("target") - F.col("whole") * F.col("source_size")
+    plan = stored(targets.select("*", missing.alias("missing"), missing.alias("short"), F.lit(None).cast("long").alias("prefix")), "plan")
+    for step in range(STEPS):
+        plan = narrowed(narrow, plan, source, step)
+
+    placed = rows.join(plan, F.col(source).eqNullSafe(F.col("of"))).drop("of").withColumn(
+        "lead", F.shiftrightunsigned("draw", 64 - STEP * STEPS))
+    crossing = F.coalesce(F.col("lead") == F.col("prefix"), F.lit(False))
+    upto = F.sum("size").over(Window.partitionBy(source).orderBy("draw", key, "size").rowsBetween(Window.unboundedPreceding, 0))
+    settled = placed.where(crossing).withColumn("extra", (upto - F.col("size") / 2 <= F.col("short")).cast("int"))
     # Without a mark a source is either taken up to its last word or, having no words, not at all.
     plain = placed.where(~crossing).withColumn(
-        "extra", F.when(F.col("mark").isNull(), (F.col("missing") > 0).cast("int")).otherwise((F.col("bin") < F.col("mark")).cast("int")))
-    out = plain.unionByName(settled)
+        "extra", F.when(F.col("prefix").isNull(), (F.col("missing") > 0).cast("int")).otherwise((F.col("lead") < F.col("prefix")).cast("int")))
     copies = F.coalesce(F.col("whole"), F.lit(0)) + F.coalesce(F.col("extra"), F.lit(0))
-    return out.select(*kept, "size", "source_size", "target", copies.cast("long").alias("copies"),
-                      (F.col("size") * copies).cast("long").alias("taken"))
+    return plain.unionByName(settled).select(
+        *kept, "size", "source_size", "target", copies.cast("long").alias("copies"), (F.col("size") * copies).cast("long").alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The documents of the mix with their own columns, each as often as it is taken."""
-    names = docs.columns
-    marked = mix_sources(docs, carry=names, **options)
-    return marked.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*names)
+    whole = docs.select(*dict.fromkeys([key, text, source]), F.struct("*").alias("row"))
+    marked = mix_sources(whole, key=key, text=text, source=source, carry=["row"], **options)
+    return marked.select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("row.*")
