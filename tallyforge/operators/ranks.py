@@ -202,7 +202,12 @@ def _select_ranks(clean: DataFrame, wanted: list[tuple[str, int]], sizes, slice_
              for i, (name, low, high, _, _) in enumerate(slots_of)]
     inside = (clean.select(F.inline(F.array_compact(F.array(*slots))))
               .groupBy("slot", "value").agg(F.count(F.lit(1)).alias("n")))
-    placed = running_counts(inside, ["slot"], "value", ["n"])
+    if max(span[4] for span in slots_of) <= slice_rows:
+        # The narrowing leaves no more than a slice of rows per slot, which one task sorts.
+        upto = Window.partitionBy("slot").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        placed = inside.withColumn("n_before", F.sum("n").over(upto) - F.col("n"))
+    else:
+        placed = running_counts(inside, ["slot"], "value", ["n"])
     asked = [(slots_of.index((w[0], *spans[w])), w[1] - spans[w][2], w) for w in wanted]
     test = F.lit(False)
     for slot, rank, _ in asked:
