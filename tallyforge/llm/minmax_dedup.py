@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import LOWER, SpanHasher, blocks, mix, packed, pick, stored
+from tallyforge.llm.common import LOWER, SpanHasher, blocks, mix, packed, pick, stored, word_spans
 
 
 @dataclass(frozen=True)
@@ -39,7 +39,7 @@ class Shingler:
         """Hashes of all rows end to end, and n + 1 bounds. A text with fewer words is one shingle; one without words has none."""
         n = len(offsets) - 1
         low = LOWER[data]
-        starts, ends, owner = word_spans_of(low, offsets)
+        starts, ends, owner = word_spans(low, offsets)
         word = self.hasher(low, starts, ends)
         per_row = np.bincount(owner, minlength=n)
         k = self.words
@@ -72,12 +72,6 @@ class Shingler:
         return hashes, np.searchsorted(rows, np.arange(n + 1))
 
 
-def word_spans_of(data: np.ndarray, offsets: np.ndarray):
-    from tallyforge.llm.common import word_spans
-
-    return word_spans(data, offsets)
-
-
 def set_digests(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit digests of each set, the same for equal sets; 0 for empty ones."""
     out = []
