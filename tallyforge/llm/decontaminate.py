@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tallyforge.llm.common import blocks, mix, pick
 
 FOUND = "item_id long, start long, end long, edits int"
+ALIGNED_AT_ONCE = 8192
 
 
 @dataclass(frozen=True)
@@ -84,49 +85,66 @@ def gram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
 
 
 class Passages:
-    """Windows of the benchmark items with their edit budgets, and where each q-gram stands in them."""
+    """The benchmark items, the edit budget of their stretches, and where each q-gram stands in them.
+
+    A stretch is `window` characters of an item in a row, from any start, or all of a shorter item.
+    """
 
     def __init__(self, items: list[tuple[int, str]], s: Settings) -> None:
         self.s = s
-        self.item, self.codes, self.budget, self.need = [], [], [], []
-        grams, windows, places = [], [], []
+        keys, lines, grams = [], [], []
         for item, text in items:
             codes, _, _ = normal_codes([text])
             codes = codes[:-1] if len(codes) and codes[-1] == 32 else codes
             if len(codes) < s.least:
                 continue
-            last = max(0, len(codes) - s.window)
-            for start in sorted({*range(0, last, s.window // 2), last}):
-                window = codes[start:start + s.window]
-                budget = min(len(window) // s.per_edit, (len(window) - s.q + 1 - s.floor) // s.q)
-                hashes = gram_hashes(window, s.q)
-                grams.append(hashes)
-                windows.append(np.full(len(hashes), len(self.item)))
-                places.append(np.arange(len(hashes)))
-                self.item.append(item)
-                self.codes.append(window)
-                self.budget.append(budget)
-                self.need.append(len(hashes) - budget * s.q)
-        self.item, self.budget, self.need = (np.array(x, np.int64) for x in (self.item, self.budget, self.need))
-        self.length = np.array([len(c) for c in self.codes], np.int64)
-        if not len(self.item):
+            keys.append(item)
+            lines.append(codes)
+            grams.append(gram_hashes(codes, s.q))
+        self.key = np.array(keys, np.int64)
+        if not len(self.key):
             return
-        grams, windows, places = map(np.concatenate, (grams, windows, places))
+        size = np.array([len(c) for c in lines], np.int64)
+        self.line, self.base = np.concatenate(lines), np.cumsum(size) - size
+        #: Of each item: characters and q-grams of a stretch, edits it may have, q-grams it must keep, and the last start.
+        self.width = np.minimum(size, s.window)
+        self.grams = self.width - s.q + 1
+        self.allowed = np.minimum(self.width // s.per_edit, (self.grams - s.floor) // s.q)
+        self.need = self.grams - self.allowed * s.q
+        self.last = size - self.width
+        counts = np.array([len(g) for g in grams], np.int64)
+        item_of = np.repeat(np.arange(len(counts)), counts)
+        place_of = np.arange(len(item_of)) - np.repeat(np.cumsum(counts) - counts, counts)
+        grams = np.concatenate(grams)
         order = np.argsort(grams, kind="stable")
-        self.window_of, self.place_of = windows[order], places[order]
+        self.item_of, self.place_of = item_of[order], place_of[order]
         self.known, self.first, self.times = np.unique(grams[order], return_index=True, return_counts=True)
         self.sieve = np.zeros(1 << 22, bool)
         self.sieve[self.known >> np.uint64(42)] = True
-        self.step = int(self.budget.max()) + 1
-        self.widest = int(self.length.max())
+        self.step = int(self.allowed.max()) + 1
+        self.widest = int(self.width.max())
+        # Texts are set apart so far that no band holds grams of two of them.
+        self.apart = int(size.max()) + 4 * self.step
+
+    # All stretches one by one, for looking at small benchmarks.
+    @property
+    def item(self) -> np.ndarray:
+        return np.repeat(self.key, self.last + 1)
+
+    @property
+    def budget(self) -> np.ndarray:
+        return np.repeat(self.allowed, self.last + 1)
 
-    def candidates(self, codes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Windows and lowest diagonals of the bands that share enough q-grams; bands overlap by half.
+    @property
+    def codes(self) -> list[np.ndarray]:
+        return [self.line[b + i:b + i + w] for b, w, last in zip(self.base, self.width, self.last) for i in range(last + 1)]
 
-        An occurrence with at most k edits keeps all but k * q of a window's q-grams, on diagonals that lie within k of each
-        other, and so within one band. Stretches with too few known q-grams for any window are left out before that.
+    def posts(self, codes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Item, place in it and diagonal of every q-gram that stands in a text and in an item.
+
+        Stretches of text with too few known q-grams for any stretch of an item are left out.
         """
-        none = np.empty(0, np.int64), np.empty(0, np.int64)
+        none = (np.empty(0, np.int64),) * 3
         hashes = gram_hashes(codes, self.s.q)
         met = np.flatnonzero(self.sieve[hashes >> np.uint64(42)])
         met = met[owner[met] == owner[met + self.s.q - 1]]
@@ -151,51 +169,104 @@ class Passages:
         times = self.times[slot]
         nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
         post = np.repeat(self.first[slot], times) + nth
-        window = self.window_of[post]
-        # Texts are set apart so far that no band holds grams of two of them.
-        apart = self.widest + 4 * self.step
-        diagonal = np.repeat(met + (owner[met].astype(np.int64) + 1) * apart, times) - self.place_of[post]
-        band = diagonal // self.step
-        keys = np.concatenate([window * (1 << 40) + band, window * (1 << 40) + band - 1])
-        keys, counts = np.unique(keys, return_counts=True)
-        keys = keys[counts >= self.need[keys >> 40]]
-        return keys >> 40, (keys & ((1 << 40) - 1)) * self.step
+        place = self.place_of[post]
+        return self.item_of[post], place, np.repeat(met + (owner[met].astype(np.int64) + 1) * self.apart, times) - place
+
+    def runs(self, item: np.ndarray, place: np.ndarray, diagonal: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Item, first and last start, and diagonal of runs of stretches that stand in a text letter by letter."""
+        order = np.lexsort((place, diagonal, item))
+        item, place, diagonal = item[order], place[order], diagonal[order]
+        fresh = np.ones(len(item), bool)
+        fresh[1:] = (item[1:] != item[:-1]) | (diagonal[1:] != diagonal[:-1]) | (place[1:] != place[:-1] + 1)
+        at = np.flatnonzero(fresh)
+        count = np.diff(np.append(at, len(item)))
+        whole = count >= self.grams[item[at]]
+        at, count = at[whole], count[whole]
+        return item[at], place[at], place[at] + count - self.grams[item[at]], diagonal[at]
+
+    def candidates(self, item: np.ndarray, place: np.ndarray, diagonal: np.ndarray,
+                   runs: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Items, starts and lowest diagonals of the stretches that share enough q-grams with a band, without those in `runs`.
+
+        An occurrence with at most k edits keeps all but k * q of a stretch's q-grams, on diagonals that lie within k of each
+        other, and so within one band; bands overlap by half. The q-grams are counted for the stretch from every start.
+        """
+        band = item * (1 << 40) + diagonal // self.step
+        keys, group, counts = np.unique(np.concatenate([band, band - 1]), return_inverse=True, return_counts=True)
+        # A band without grams in its lower half has no more than the next one.
+        full = np.bincount(group[:len(band)], minlength=len(keys)) > 0
+        full &= counts >= self.need[keys >> 40]
+        held = full[group]
+        hits = np.unique((group << 32 | np.concatenate([place, place]))[held])
+        of, place = hits >> 32, hits & ((1 << 32) - 1)
+        item = keys[of] >> 40
+        grams, need = self.grams[item], self.need[item]
+        opens = np.flatnonzero(np.searchsorted(hits, hits + grams) - np.arange(len(hits)) >= need)
+        # The starts of which this hit is the first.
+        before = np.full(len(hits), -1)
+        before[1:] = np.where(of[1:] == of[:-1], place[:-1], -1)
+        low = np.maximum(np.maximum(before + 1, place - grams + 1), 0)[opens]
+        many = np.maximum(np.minimum(place, self.last[item])[opens] - low + 1, 0)
+        hit = np.repeat(opens, many)
+        start = np.repeat(low, many) + np.arange(len(hit)) - np.repeat(np.cumsum(many) - many, many)
+        enough = np.searchsorted(hits, (of[hit] << 32) + start + grams[hit]) - hit >= need[hit]
+        hit, start = hit[enough], start[enough]
+        mine = of[hit] << 32 | start
+        for shift in (0, 1):
+            whole, first, final, along = runs
+            key = whole * (1 << 40) + along // self.step - shift
+            many = final - first + 1
+            starts = np.repeat(first, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            left = ~np.isin(mine, np.repeat(np.searchsorted(keys, key), many) << 32 | starts)
+            hit, start, mine = hit[left], start[left], mine[left]
+        key = keys[of[hit]]
+        return key >> 40, start, (key & ((1 << 40) - 1)) * self.step
 
     def search(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
         """Occurrences (text number, item, start, end, edits) in code points of the texts."""
-        if not len(self.item):
+        if not len(self.key):
             return []
         codes, owner, origin = normal_codes(texts)
         if len(codes) < self.s.q:
             return []
-        window, diagonal = self.candidates(codes, owner)
-        if not len(window):
+        posts = self.posts(codes, owner)
+        if not len(posts[0]):
             return []
-        # Back from spread diagonals to places: the text whose share of the line holds the band.
-        apart = self.widest + 4 * self.step
         begins = np.searchsorted(owner, np.arange(len(texts)), side="left")
         ends = np.searchsorted(owner, np.arange(len(texts)), side="right")
-        spread_from = begins + (np.arange(len(texts)) + 1) * apart - self.widest - 2 * self.step
-        text = np.searchsorted(spread_from, diagonal, side="right") - 1
-        low = diagonal - (text + 1) * apart
+        spread_from = begins + (np.arange(len(texts)) + 1) * self.apart - self.apart + 2 * self.step
+
+        def texts_of(diagonal: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Back from spread diagonals to places: the text whose share of the line holds the band."""
+            text = np.searchsorted(spread_from, diagonal, side="right") - 1
+            return text, diagonal - (text + 1) * self.apart
+
         out = []
-        for length in np.unique(self.length[window]):
-            of = np.flatnonzero(self.length[window] == length)
-            out += self._aligned(codes, origin, text[of], window[of], low[of], begins, ends, int(length))
+        runs = self.runs(*posts)
+        text, low = texts_of(runs[3])
+        for t, item, first, final, d in zip(text, *runs[:3], low):
+            out.append((int(t), int(self.key[item]), int(origin[d + first]), int(origin[d + final + self.width[item] - 1]) + 1, 0))
+        item, start, diagonal = self.candidates(*posts, runs)
+        text, low = texts_of(diagonal)
+        for width in np.unique(self.width[item]):
+            of = np.flatnonzero(self.width[item] == width)
+            for at in range(0, len(of), ALIGNED_AT_ONCE):
+                some = of[at:at + ALIGNED_AT_ONCE]
+                out += self._aligned(codes, origin, text[some], item[some], start[some], low[some], begins, ends, int(width))
         return out
 
-    def _aligned(self, codes, origin, text, window, low, begins, ends, length):
-        """Confirms candidates of one window length by alignments that stay in the band, with free ends in the text."""
-        slackness = int(self.budget[window].max())
+    def _aligned(self, codes, origin, text, item, place, low, begins, ends, length):
+        """Confirms candidates of one stretch length by alignments that stay in the band, with free ends in the text."""
+        slackness = int(self.allowed[item].max())
         band = 2 * self.step + 2 * slackness + 1
-        start = low - slackness
+        start = low + place - slackness
         # Row i of the band meets text places start + i + d; places outside the text never match.
         at = start[:, None] + np.arange(length + band)
         inside = (at >= begins[text][:, None]) & (at < ends[text][:, None])
         letters = np.where(inside, codes[np.clip(at, 0, len(codes) - 1)].astype(np.int64), -1)
-        pattern = np.stack([self.codes[w] for w in window]).astype(np.int64)
+        pattern = self.line[(self.base[item] + place)[:, None] + np.arange(length)].astype(np.int64)
         edits, stop = band_align(pattern, letters, band)
-        good = np.flatnonzero(edits <= self.budget[window])
+        good = np.flatnonzero(edits <= self.allowed[item])
         if not len(good):
             return []
         # The start is where the mirrored alignment of the part up to the stop ends.
@@ -210,7 +281,7 @@ class Passages:
         for k, row in enumerate(good):
             last = int(np.clip(start[row] + reach[k] - 1, begins[text[row]], ends[text[row]] - 1))
             first = int(np.clip(start[row] + reach[k] - (begun[k] - slackness), begins[text[row]], last))
-            out.append((int(text[row]), int(self.item[window[row]]), int(origin[first]), int(origin[last]) + 1, int(edits[row])))
+            out.append((int(text[row]), int(self.key[item[row]]), int(origin[first]), int(origin[last]) + 1, int(edits[row])))
         return out
 
 

@@ -58,6 +58,39 @@ def test_every_passage_within_its_budget_is_found_and_nothing_else():
     assert 0 < len(got & set(planted)) < len(planted)
 
 
+def stretches(item, s):
+    """Every stretch of the item that the settings promise to find, each with its edits."""
+    line = normal(item)
+    width = min(len(line), s.window)
+    return [(line[i:i + width], min(width // s.per_edit, (width - s.q + 1 - s.floor) // s.q)) for i in range(len(line) - width + 1)]
+
+
+def test_a_verbatim_stretch_is_found_from_every_start():
+    rng = random.Random(11)
+    s = dc.Settings()
+    item = prose(rng, 90)[:300].strip()
+    passages = dc.Passages([(1, item)], s)
+    line = normal(item)
+    texts = [prose(rng, 30) + " " + line[at:at + s.window] + " " + prose(rng, 30) for at in range(len(line) - s.window + 1)]
+    assert {t for t, *_ in dc.find_in_texts(texts, passages)} == set(range(len(texts)))
+
+
+def test_stretches_of_long_items_are_found_like_by_brute_force():
+    rng = random.Random(12)
+    s = dc.Settings(window=40, per_edit=10, q=4, floor=5)
+    items = [(i, prose(rng, rng.randint(12, 30))) for i in range(4)]
+    texts = []
+    for n in range(50):
+        item = normal(rng.choice(items)[1])
+        at = rng.randrange(max(1, len(item) - 36))
+        passage = edited(rng, item[at:at + rng.randint(36, 60)], rng.randint(0, 6))
+        texts.append(prose(rng, rng.randint(0, 8)) + " " + passage + " " + prose(rng, rng.randint(0, 8)))
+    got = {(t, i) for t, i, *_ in dc.find_in_texts(texts, dc.Passages(items, s))}
+    want = {(n, i) for n, text in enumerate(texts) for i, body in items
+            if any(distance_inside(part, normal(text)) <= k for part, k in stretches(body, s))}
+    assert got == want and 10 < len(want) < 50
+
+
 def test_spans_and_edits_are_those_of_the_text():
     item = "the quick brown fox jumps over the lazy dog near the river bank"
     passages = dc.Passages([(7, item)], dc.Settings())
