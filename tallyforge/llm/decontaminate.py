@@ -222,19 +222,17 @@ class Passages:
         key = keys[of[hit]]
         return key >> 40, start, (key & ((1 << 40) - 1)) * self.step
 
-    def search(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
-        """Occurrences (text number, item, start, end, edits) in code points of the texts."""
-        if not len(self.key):
-            return []
-        codes, owner, origin = normal_codes(texts)
-        if len(codes) < self.s.q:
+    def search(self, codes: np.ndarray, owner: np.ndarray, origin: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        """Occurrences (text number, item, start, end, edits) in code points of the texts, given as by `normal_codes`."""
+        if not len(self.key) or len(codes) < self.s.q:
             return []
         posts = self.posts(codes, owner)
         if not len(posts[0]):
             return []
-        begins = np.searchsorted(owner, np.arange(len(texts)), side="left")
-        ends = np.searchsorted(owner, np.arange(len(texts)), side="right")
-        spread_from = begins + (np.arange(len(texts)) + 1) * self.apart - self.apart + 2 * self.step
+        texts = np.arange(owner[-1] + 1)
+        begins = np.searchsorted(owner, texts, side="left")
+        ends = np.searchsorted(owner, texts, side="right")
+        spread_from = begins + texts * self.apart + 2 * self.step
 
         def texts_of(diagonal: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             """Back from spread diagonals to places: the text whose share of the line holds the band."""
@@ -316,25 +314,50 @@ def regions(found: Iterable[tuple[int, int, int, int, int]]) -> list[tuple[int,
     return [tuple(r) for r in out]
 
 
+def pieces_of(text: str, size: int, overlap: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Normalised codes and their places, in pieces of `size` characters after the last `overlap` codes before them.
+
+    The flag says whether codes of the text are left out before those.
+    """
+    codes, origin, cut = np.empty(0, np.uint32), np.empty(0, np.int64), False
+    for at in range(0, max(1, len(text)), size):
+        more, _, places = normal_codes([text[at:at + size]])
+        cut |= len(codes) > overlap
+        codes, origin = codes[-overlap:], origin[-overlap:]
+        # Separators in front are dropped from a text, but not from a piece that goes on after a letter.
+        if len(codes) and codes[-1] != 32 and not (len(places) and places[0] == 0):
+            codes, origin = np.append(codes, np.uint32(32)), np.append(origin, at)
+        codes, origin = np.concatenate([codes, more]), np.concatenate([origin, places + at])
+        yield codes, origin, cut
+
+
 def find_in_texts(texts: list[str], passages: Passages) -> list[tuple[int, int, int, int, int]]:
-    """Regions in whole texts; very long ones are searched in overlapping pieces, so memory stays bounded."""
-    size, overlap = passages.s.piece, 4 * passages.s.window
-    pieces, row, shift, found, held = [], [], [], [], 0
+    """Regions in whole texts; very long ones are searched in pieces, so memory stays bounded.
+
+    Pieces overlap by normalised characters, so every occurrence and the letters its alignment looks at are whole in one of
+    them; from the others, where it may be cut, it is not taken.
+    """
+    size, margin = passages.s.piece, passages.s.window
+    whole, row, found, held = [], [], [], 0
 
     def flush() -> None:
-        for piece, item, start, end, edits in passages.search(pieces):
-            found.append((row[piece], item, start + shift[piece], end + shift[piece], edits))
+        found.extend((row[text], *rest) for text, *rest in passages.search(*normal_codes(whole)))
 
     for number, text in enumerate(texts):
-        for at in range(0, max(1, len(text) - overlap), size):
-            part = text[at:at + size + overlap]
-            pieces.append(part)
-            row.append(number)
-            shift.append(at)
-            held += len(part)
-            if held >= 2 * size:
-                flush()
-                pieces, row, shift, held = [], [], [], 0
+        if len(text) > size:
+            last = ceil(len(text) / size) - 1
+            for part, (codes, origin, cut) in enumerate(pieces_of(text, size, 4 * margin)):
+                low = origin[margin] if cut else 0
+                high = len(text) if part == last else origin[-1 - margin] + 1 if len(origin) > margin else 0
+                found += [(number, item, start, end, edits) for _, item, start, end, edits
+                          in passages.search(codes, np.zeros(len(codes), np.int32), origin) if start >= low and end <= high]
+            continue
+        whole.append(text)
+        row.append(number)
+        held += len(text)
+        if held >= 2 * size:
+            flush()
+            whole, row, held = [], [], 0
     flush()
     return regions(found)
 

@@ -112,6 +112,22 @@ def test_long_texts_are_searched_in_pieces():
     assert found == dc.find_in_texts([text], dc.Passages([(1, item)], dc.Settings()))
 
 
+def test_pieces_are_cut_by_normalised_characters():
+    rng = random.Random(9)
+    item = prose(rng, 30)
+    passages, small = dc.Passages([(1, item)], dc.Settings()), dc.Passages([(1, item)], dc.Settings(piece=1000))
+    for gap in (1, 30, 700, 2500):
+        for before in range(0, 1000, 83):
+            text = prose(rng, 400)[:before] + " # " + item.replace(" ", " " + "-" * gap + " ") + " # " + prose(rng, 300)
+            found = dc.find_in_texts([text], small)
+            assert len(found) == 1 and found == dc.find_in_texts([text], passages), (gap, before)
+    text = "".join(rng.choices("ab -.", k=3000))
+    codes, _, origin = dc.normal_codes([text])
+    for size in (1, 7, 500):
+        parts = list(dc.pieces_of(text, size, 5000))
+        assert (parts[-1][0] == codes).all() and (parts[-1][1] == origin).all() and not parts[-1][2]
+
+
 def test_band_alignment_equals_the_full_table():
     rng = np.random.default_rng(3)
     for _ in range(50):
