@@ -180,16 +180,20 @@ def multiclass_quality(df: DataFrame, target: str, prediction: str, probabilitie
     return one.join(macro.withColumn("k", F.lit(0)), "k").drop("k")
 
 
-def dummy_multiclass(df: DataFrame, target: str) -> DataFrame:
-    """Scores of always saying the most frequent class, the first in text order on a tie."""
+def dummy_multiclass(df: DataFrame, target: str, log_loss: bool = False) -> DataFrame:
+    """Scores of always saying the most frequent class, the first in text order on a tie.
+
+    With `log_loss` also that of giving every row the class shares as probabilities, which is their entropy.
+    """
     t = F.col(quoted(target)).cast("string")
     per = df.where(t.isNotNull()).groupBy(t.alias("class")).agg(F.count(F.lit(1)).alias("n"))
-    one = per.agg(F.sum("n").cast("double").alias("all"), F.count(F.lit(1)).alias("classes"),
+    one = per.agg(F.sum("n").cast("double").alias("all"), F.count(F.lit(1)).alias("classes"), F.sum(F.col("n") * F.ln("n")).alias("n_ln_n"),
                   F.min(F.struct((-F.col("n")).alias("neg"), F.col("class").alias("class"))).alias("top"))
     hit, classes = -F.col("top.neg"), F.col("classes")
     return one.select(F.col("top.class").alias("class"), ratio(hit, F.col("all")).alias("accuracy"),
                       (ratio(hit, F.col("all")) / classes).alias("macro_precision"), ratio(F.lit(1.0), classes).alias("macro_recall"),
-                      (ratio(2 * hit, F.col("all") + hit) / classes).alias("macro_f1"))
+                      (ratio(2 * hit, F.col("all") + hit) / classes).alias("macro_f1"),
+                      *([F.greatest(F.ln("all") - F.col("n_ln_n") / F.col("all"), F.lit(0.0)).alias("log_loss")] if log_loss else []))
 
 
 # --- test suites ----------------------------------------------------------------------------------------

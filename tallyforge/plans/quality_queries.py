@@ -177,7 +177,7 @@ union all select 'log_loss', '', (select round(avg(-ln(case when actual not in {
 def suite_multiclass(spark, sf):
     rows = _said(spark, sf)
     found = quality.long_metrics(quality.multiclass_quality(rows, "actual", "said", "chances")).unionByName(
-        quality.long_metrics(quality.dummy_multiclass(rows, "actual"), "dummy_"))
+        quality.long_metrics(quality.dummy_multiclass(rows, "actual", log_loss=True), "dummy_"))
     return quality.run_suite(found, "multiclass").withColumns({c: F.round(c, 6) for c in ("value", "bound")})
 
 

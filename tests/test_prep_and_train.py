@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from tallyforge.operators import prep, train
+from tallyforge.operators import prep, quality, train
 from tallyforge.operators.knn import knn_impute
 from tallyforge.operators.prep import TabularPreprocessor
 from tallyforge.operators.quality import evaluation_metrics
@@ -229,3 +229,16 @@ def test_non_finite_predictions_are_an_error(spark):
     df = spark.createDataFrame([(1.0, float("nan"))], "y double, p double")
     with pytest.raises(Exception, match="non-finite"):
         evaluation_metrics(df, "y", "p").collect()
+
+
+def test_multiclass_suite_holds_log_loss_against_the_class_shares(spark):
+    rows = [(c, c, {c: 0.8}) for c in "aaabbc"]
+    df = spark.createDataFrame(rows, "t string, p string, chances map<string,double>")
+    found = quality.long_metrics(quality.multiclass_quality(df, "t", "p", "chances")).unionByName(
+        quality.long_metrics(quality.dummy_multiclass(df, "t", log_loss=True), "dummy_"))
+    got = {r["metric"]: r for r in quality.run_suite(found, "multiclass").collect()}
+    entropy = -sum(n / 6 * math.log(n / 6) for n in (3, 2, 1))
+    assert got["log_loss"]["bound"] == pytest.approx(entropy) and got["log_loss"]["status"] == "SUCCESS"
+    poor = found.withColumn("value", F.expr("if(metric = 'log_loss', 1.2, value)"))
+    assert {r["metric"]: r["status"] for r in quality.run_suite(poor, "multiclass").collect()}["log_loss"] == "FAIL"
+    assert "log_loss" not in quality.dummy_multiclass(df, "t").columns
