@@ -17,6 +17,10 @@ _PREP = {"numerical": {"imputer": {"type": "simple"}, "scaler": {"type": "robust
 _CHARGE = "l_extendedprice * (1 - l_discount) * (1 + l_tax)"
 
 
+#: Trials of a search, and trees or rounds of a single fit: the sizes of the full job, see "Full-size training" in the README.
+TRIALS, TREES = 20, 200
+
+
 def _lines(spark, sf):
     lines = table(spark, sf, "lineitem")
     return lines.withColumn("charge", F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax")))
@@ -68,28 +72,23 @@ def ridge_multi(spark, sf):
 
 @query("g14_rf")
 def random_forest(spark, sf):
-    return _fitted(spark, sf, "random_forest", {"n_estimators": 20, "max_depth": 6, "max_features": 0.8})
+    return _fitted(spark, sf, "random_forest", {"n_estimators": TREES, "max_depth": 6, "max_features": 0.8})
 
 
 @query("g15_gbt")
 def gradient_boosting(spark, sf):
-    return _fitted(spark, sf, "gradient_boosting", {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.3})
+    return _fitted(spark, sf, "gradient_boosting", {"n_estimators": TREES, "max_depth": 4, "learning_rate": 0.3})
 
 
 @query("g16_xgb")
 def boosted_second_name(spark, sf):
-    return _fitted(spark, sf, "xgboost", {"n_estimators": 8, "max_depth": 5, "learning_rate": 0.3, "subsample": 0.8})
-
-
-_SMALL = {"ridge": train.SPACE["ridge"],
-          "random_forest": {"n_estimators": ("step", 5, 15, 5), "max_depth": ("step", 3, 6, 1)},
-          "gradient_boosting": {"n_estimators": ("step", 3, 6, 1), "max_depth": ("step", 2, 4, 1), "learning_rate": ("log", 0.1, 0.3)}}
+    return _fitted(spark, sf, "xgboost", {"n_estimators": TREES, "max_depth": 5, "learning_rate": 0.3, "subsample": 0.8})
 
 
 def _search(spark, sf):
     parts = _features(spark, sf)
     return train.search(spark, parts.where(F.col("split") == "train"), parts.where(F.col("split") == "val"), "charge",
-                        n_trials=3, seed=7, metrics=["root_mean_squared_error", "r2_score"], space=_SMALL)
+                        n_trials=TRIALS, seed=7, metrics=["root_mean_squared_error", "r2_score"], space=train.SPACE)
 
 
 @query("g17_search")

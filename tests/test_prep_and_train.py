@@ -10,6 +10,7 @@ from tallyforge.operators.knn import knn_impute
 from tallyforge.operators.prep import TabularPreprocessor
 from tallyforge.operators.quality import evaluation_metrics
 from tallyforge.operators.split import exact_split, hashed_split, split_sizes
+from tallyforge.plans import train_queries
 from tallyforge.session import scratch_path
 
 
@@ -242,3 +243,22 @@ def test_multiclass_suite_holds_log_loss_against_the_class_shares(spark):
     poor = found.withColumn("value", F.expr("if(metric = 'log_loss', 1.2, value)"))
     assert {r["metric"]: r["status"] for r in quality.run_suite(poor, "multiclass").collect()}["log_loss"] == "FAIL"
     assert "log_loss" not in quality.dummy_multiclass(df, "t").columns
+
+
+def test_registered_training_has_the_full_size(monkeypatch):
+    seen = {}
+    monkeypatch.setattr(train_queries, "_features", lambda spark, sf: spark_free)
+    monkeypatch.setattr(train_queries.train, "search", lambda *a, **k: seen.update(k))
+    monkeypatch.setattr(train_queries, "_fitted", lambda spark, sf, name, params: seen.update({name: params}))
+
+    class spark_free:
+        where = staticmethod(lambda *a: None)
+
+    monkeypatch.setattr(train_queries.F, "col", lambda name: name)
+    train_queries._search(None, "")
+    assert seen["n_trials"] == 20 and seen["space"] is train.SPACE and set(train.SPACE) == set(train.MODELS)
+    for fit in (train_queries.random_forest, train_queries.gradient_boosting, train_queries.boosted_second_name):
+        fit(None, "")
+    for name in ("random_forest", "gradient_boosting", "xgboost"):
+        kind, low, high, _ = train.SPACE[name]["n_estimators"]
+        assert low <= seen[name]["n_estimators"] <= high
