@@ -27,6 +27,13 @@ NO_HITS = pd.DataFrame({"combo": pd.Series(dtype="int32"), "qid": pd.Series(dtyp
                         "donor": pd.Series(dtype=object), "y": pd.Series(dtype=float)})
 
 
+def middle_cut(values: np.ndarray) -> float:
+    """The median, or the largest value under it where nothing lies above it, so that both sides hold some of unequal values."""
+    cut = np.median(values)
+    below = values[values < cut]
+    return float(below.max()) if len(below) and not (values > cut).any() else float(cut)
+
+
 @dataclass(frozen=True)
 class Tree:
     """Complete binary tree in heap order: split dimension and cut of every inner node."""
@@ -43,7 +50,7 @@ class Tree:
             part = groups.pop(node)
             if len(part):
                 dims[node] = int(np.argmax(part.max(axis=0) - part.min(axis=0)))
-                cuts[node] = np.median(part[:, dims[node]])
+                cuts[node] = middle_cut(part[:, dims[node]])
             above = part[:, dims[node]] > cuts[node]
             groups[2 * node + 1], groups[2 * node + 2] = part[~above], part[above]
         return Tree(dims, cuts, depth)

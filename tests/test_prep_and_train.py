@@ -6,7 +6,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from tallyforge.operators import prep, quality, train
-from tallyforge.operators.knn import knn_impute
+from tallyforge.operators.knn import Tree, knn_impute
 from tallyforge.operators.prep import TabularPreprocessor
 from tallyforge.operators.quality import evaluation_metrics
 from tallyforge.operators.split import exact_split, hashed_split, split_sizes
@@ -262,3 +262,13 @@ def test_registered_training_has_the_full_size(monkeypatch):
     for name in ("random_forest", "gradient_boosting", "xgboost"):
         kind, low, high, _ = train.SPACE[name]["n_estimators"]
         assert low <= seen[name]["n_estimators"] <= high
+
+
+def test_boxes_of_a_capped_feature_are_divided():
+    rng = np.random.default_rng(4)
+    points = np.column_stack([np.minimum(rng.uniform(0, 1000, 4000), 300.0), rng.uniform(0, 10, 4000)])
+    tree = Tree.build(points, 4)
+    counts = np.bincount(tree.leaf(points), minlength=16)
+    assert counts.max() <= 2 * len(points) / 16
+    with_equal = np.zeros((50, 2))
+    assert np.bincount(Tree.build(with_equal, 2).leaf(with_equal)).max() == 50
