@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.llm import (
+    chat_format,
     decontaminate,
     hash_ring,
+    importance,
+    merkle,
     minmax_dedup,
     mixing,
     pii_crf,
@@ -17,6 +20,7 @@ from tallyforge.llm import (
     quality_vote,
     token_count,
     toxicity_pu,
+    twins,
     url_automaton,
 )
 from tallyforge.llm.common import fold
@@ -121,3 +125,30 @@ def decontamination(spark, sf):
 @query("op10_near_duplicates")
 def near_duplicates(spark, sf):
     return minmax_dedup.near_duplicates(table(spark, sf, "documents"))
+
+
+@query("op11_resampling", twins.RESAMPLING)
+def resampling(spark, sf):
+    return importance.importance_resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op12_chat_format", twins.FORMATTING)
+def chat_formatting(spark, sf):
+    import public_tokenizers
+
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    staged = spark.range(2).select(F.lit(-1).cast("long"), "id", F.element_at(F.array(F.lit("user"), F.lit("assistant")), F.col("id").cast("int") + 1),
+                                   F.lit("</s>[INST] ok [/INST]"))
+    return chat_format.read_back(chat_format.format_conversations(turns.union(staged), public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@query("op13_manifest", twins.MANIFEST)
+def manifest(spark, sf):
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    other = merkle.leaf_digest([F.translate(c, upper, lower) if c == "text" else F.col(c) for c in columns])
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, other)
+    made = merkle.merkle_manifest(table(spark, sf, "documents"), columns, extra={"tampered": tampered})
+    folded = made.select("*", merkle.fold_path(F.coalesce("tampered", "leaf"), F.col("path")).alias("folded_root"))
+    return folded.select("doc_id", "leaf", "subroot", "root", merkle.path_digest(F.col("path")).alias("proof_sha256"), "folded_root",
+                         (F.col("folded_root") == F.col("root")).alias("verified"))
