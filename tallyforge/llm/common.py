@@ -23,6 +23,16 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return plain.select(*[F.col(f"c{df.columns.index(n)}").alias(n) for n in names])
 
 
+def as_rows(df: DataFrame, *names: str) -> DataFrame:
+    """The first columns of the exact names, and `row`, a struct of all columns by place.
+
+    Names that differ in case only do not disturb each other; `.select("row.*").toDF(*df.columns)` gives the table back.
+    """
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    first = [F.col(f"c{df.columns.index(n)}").alias(n) for n in dict.fromkeys(names)]
+    return plain.select(*first, F.struct(*plain.columns).alias("row"))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written once to the shared scratch folder and read back: a cut in the lineage that survives lost executors."""
     path = scratch_path(df.sparkSession, name)

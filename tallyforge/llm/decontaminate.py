@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from tallyforge.llm.common import blocks, mix, pick
 
 FOUND = "item_id long, start long, end long, edits int"
+#: Stands for a null item id inside the search.
+NO_ID = -(1 << 63)
 ALIGNED_AT_ONCE = 8192
 
 
@@ -22,7 +24,7 @@ class Settings:
     """A passage is found if `window` characters of it in a row (all of a shorter item) occur with at most one edit per `per_edit`.
 
     Characters count after normalising: lower case, and every run of other characters than letters and digits as one blank.
-    Items of fewer than `least` characters say too little to be told from chance and are not searched.
+    Items of fewer than `least` characters say too little to be told from chance inside a text: they are found where they are all of it.
     """
 
     q: int = 8
@@ -93,10 +95,14 @@ class Passages:
     def __init__(self, items: list[tuple[int, str]], s: Settings) -> None:
         self.s = s
         keys, lines, grams = [], [], []
+        self.short: dict[bytes, list[int]] = {}
         for item, text in items:
+            item = NO_ID if item is None else item
             codes, _, _ = normal_codes([text])
             codes = codes[:-1] if len(codes) and codes[-1] == 32 else codes
             if len(codes) < s.least:
+                if len(codes):
+                    self.short.setdefault(codes.tobytes(), []).append(item)
                 continue
             keys.append(item)
             lines.append(codes)
@@ -222,6 +228,19 @@ class Passages:
         key = keys[of[hit]]
         return key >> 40, start, (key & ((1 << 40) - 1)) * self.step
 
+    def whole_matches(self, codes: np.ndarray, owner: np.ndarray, origin: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        """Short items that are all of a text, as occurrences without edits."""
+        if not self.short or not len(codes):
+            return []
+        out, sizes = [], np.bincount(owner)
+        begins = np.cumsum(sizes) - sizes
+        for text in np.flatnonzero((sizes > 0) & (sizes <= self.s.least)):
+            at, end = begins[text], begins[text] + sizes[text]
+            end -= codes[end - 1] == 32
+            for item in self.short.get(codes[at:end].tobytes(), ()):
+                out.append((int(text), item, int(origin[at]), int(origin[end - 1]) + 1, 0))
+        return out
+
     def search(self, codes: np.ndarray, owner: np.ndarray, origin: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """Occurrences (text number, item, start, end, edits) in code points of the texts, given as by `normal_codes`."""
         if not len(self.key) or len(codes) < self.s.q:
@@ -341,7 +360,8 @@ def find_in_texts(texts: list[str], passages: Passages) -> list[tuple[int, int,
     whole, row, found, held = [], [], [], 0
 
     def flush() -> None:
-        found.extend((row[text], *rest) for text, *rest in passages.search(*normal_codes(whole)))
+        given = normal_codes(whole)
+        found.extend((row[text], *rest) for text, *rest in passages.search(*given) + passages.whole_matches(*given))
 
     for number, text in enumerate(texts):
         if len(text) > size:
@@ -349,8 +369,11 @@ def find_in_texts(texts: list[str], passages: Passages) -> list[tuple[int, int,
             for part, (codes, origin, cut) in enumerate(pieces_of(text, size, 4 * margin)):
                 low = origin[margin] if cut else 0
                 high = len(text) if part == last else origin[-1 - margin] + 1 if len(origin) > margin else 0
+                owner = np.zeros(len(codes), np.int32)
                 found += [(number, item, start, end, edits) for _, item, start, end, edits
-                          in passages.search(codes, np.zeros(len(codes), np.int32), origin) if start >= low and end <= high]
+                          in passages.search(codes, owner, origin) if start >= low and end <= high]
+                if part == last and not cut:
+                    found += [(number, *rest) for _, *rest in passages.whole_matches(codes, owner, origin)]
             continue
         whole.append(text)
         row.append(number)
@@ -364,11 +387,11 @@ def find_in_texts(texts: list[str], passages: Passages) -> list[tuple[int, int,
 
 def passage_blocks(benchmark: DataFrame, s: Settings, key: str, text: str) -> Iterator[Passages]:
     """The benchmark in as many blocks of bounded size as it takes; each is one pass over the documents."""
-    items = pick(benchmark, key, text).where(F.col(key).isNotNull() & F.col(text).isNotNull())
+    items = pick(benchmark, key, text).where(F.col(text).isNotNull())
     chars = items.agg(F.sum(F.length(text))).first()[0] or 0
     count = max(1, ceil(chars / s.block_chars))
     for part in range(count):
-        rows = items.where(F.pmod(F.xxhash64(key), F.lit(count)) == part)
+        rows = items.where(F.pmod(F.xxhash64(key, text), F.lit(count)) == part)
         yield Passages([(r[0], r[1]) for r in rows.collect()], s)
 
 
@@ -376,8 +399,9 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
                   item_text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """One row per document and region that holds a benchmark passage: key, item_id, start, end (code points), edits.
 
-    Documents without such a passage give no rows. Null and empty texts hold nothing, null or short items are never found; equal
-    items are each reported, repeated documents each searched. The benchmark is gathered block by block of bounded size and
+    Documents without such a passage give no rows. Null and empty texts hold nothing, and items without letters and digits are in
+    no text; an item with a null id is found like others and reported with a null item_id; equal items are each reported, repeated
+    documents each searched. The benchmark is gathered block by block of bounded size and
     sent to the tasks; a larger one takes more passes over the documents, never more memory.
     """
     rows = pick(docs, key, text)
@@ -391,7 +415,8 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
                     found = find_in_texts([t or "" for t in batch.column(text).to_pylist()], passages)
                     columns = list(zip(*found)) if found else [[]] * 5
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(key).take(pa.array(columns[0], pa.int64())), *(pa.array(c, pa.int64()) for c in columns[1:4]),
+                        [batch.column(key).take(pa.array(columns[0], pa.int64())), pa.array([None if c == NO_ID else c for c in columns[1]], pa.int64()),
+                         *(pa.array(c, pa.int64()) for c in columns[2:4]),
                          pa.array(columns[4], pa.int32())], names=[key, "item_id", "start", "end", "edits"])
 
         part = rows.mapInArrow(searched, f"`{key}` {kind}, {FOUND}")
@@ -402,7 +427,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
 def without_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
                      settings: Settings = Settings()) -> DataFrame:
     """The documents that hold no benchmark passage, with all their columns."""
-    place = docs.columns.index(text)
+    plain, place = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]), docs.columns.index(text)
     for passages in passage_blocks(benchmark, settings, item, item_text):
 
         def clean(batches: Iterable[pa.RecordBatch], passages: Passages = passages) -> Iterator[pa.RecordBatch]:
@@ -411,5 +436,5 @@ def without_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                 bad = {row for row, *_ in find_in_texts([t or "" for t in texts], passages)}
                 yield whole.filter(pa.array([row not in bad for row in range(len(texts))], pa.bool_()))
 
-        docs = docs.mapInArrow(clean, docs.schema)
-    return docs
+        plain = plain.mapInArrow(clean, plain.schema)
+    return plain.toDF(*docs.columns)

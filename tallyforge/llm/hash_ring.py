@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyforge.llm.common import pick, stored
+from tallyforge.llm.common import as_rows, pick, stored
 
 SLOTS = 1 << 12
+#: Documents of an arc, on average at most: their keys and sizes fit a task many times.
+ARC_BYTES = 8 << 30
 PIECE = T.StructType([T.StructField("arc", T.IntegerType()), T.StructField("piece", T.IntegerType()),
                       T.StructField("low", T.LongType()), T.StructField("high", T.LongType()),
                       T.StructField("shard", T.IntegerType())])
@@ -79,38 +81,45 @@ def bounded_loads(arcs: Sequence[tuple[int, int, int]], shards: int, slack: floa
     return [(arc, k, low, high, shard) for k, (arc, low, high, shard) in enumerate(pieces) if high > low]
 
 
-def shard_documents(docs: DataFrame, shards: int = 40, vnodes: int = 64, slack: float = 0.001, key: str = "doc_id",
+def ring_nodes(total: int, shards: int) -> int:
+    """Virtual nodes of a shard: a power of two, 64 at least, so that an arc holds `ARC_BYTES` of documents on average at most."""
+    nodes = 64
+    while total > nodes * shards * ARC_BYTES:
+        nodes *= 2
+    return nodes
+
+
+def shard_documents(docs: DataFrame, shards: int = 40, vnodes: int | None = None, slack: float = 0.001, key: str = "doc_id",
                     text: str = "text", carry: Sequence[str] = ()) -> DataFrame:
-    """One row per document: key, size, text_crc32, shard, slot; and the `carry` columns.
+    """One row per document: key, size, text_crc32, shard, slot; and the `carry` columns, which should be narrow.
 
     A document's place on the ring is the hash of its key and text checksum. Walking clockwise, each shard takes the documents of
     its arcs until `slack` over the mean number of bytes; a document that starts beyond the bound goes on to the next shard with
     room. So no shard exceeds the bound by more than one document, and a new shard moves only what its arcs and the shifted
     bounds take. Slots count from 0 without gaps, in ring order.
 
-    Arcs are the unit of work: `vnodes` is to grow with the table, so that an arc fits a task. Nulls: a null text has no bytes and
-    checksum 0, null keys are placed by their text. Equal texts under different keys spread like any others. Rows that are equal
-    in full share a place and take consecutive slots. An empty table gives no rows; every row of the input is returned once.
+    Arcs are the unit of work, and only keys and sizes are walked; unless `vnodes` says otherwise there are as many arcs as keep
+    them short (see `ring_nodes`). Nulls: a null text has no bytes and checksum 0, null keys are placed by their text. Equal texts
+    under different keys spread like any others. Rows that are equal in full share a place and take consecutive slots. An empty
+    table gives no rows; every row of the input is returned once.
     """
     spark = docs.sparkSession
     kept = list(dict.fromkeys([key, *carry]))
-    sized = pick(docs, *dict.fromkeys([*kept, text])).select(
+    sized = stored(pick(docs, *dict.fromkeys([*kept, text])).select(
         *kept, document_size(text).alias("size"),
-        F.coalesce(F.crc32(F.encode(F.col(text), "UTF-8")), F.lit(0)).cast("long").alias("text_crc32"))
+        F.coalesce(F.crc32(F.encode(F.col(text), "UTF-8")), F.lit(0)).cast("long").alias("text_crc32")), "sizes")
+    if vnodes is None:
+        vnodes = ring_nodes(sized.agg(F.sum("size")).first()[0] or 0, shards)
     arcs = stored(ring(spark, shards, vnodes), "ring")
     placed = arc_of(sized.withColumn("position", F.xxhash64(key, "text_crc32")), arcs)
-    if not carry:
-        placed = stored(placed, "placed")
     loads = placed.groupBy("arc").agg(F.sum("size").alias("bytes"))
     summary = arcs.join(loads, "arc", "left").select("arc", "shard", F.coalesce("bytes", F.lit(0)).alias("bytes")).orderBy("arc")
     cuts = bounded_loads([tuple(r) for r in summary.collect()], shards, slack)  # one row per arc
     pieces = F.broadcast(spark.createDataFrame(cuts, PIECE))
-    order = Window.partitionBy("arc").orderBy("position", key, "size", "text_crc32")
+    order = Window.partitionBy("arc").orderBy("position", key, "size", "text_crc32", *carry)
     walked = placed.withColumn("begin", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     walked = walked.withColumn("nth", F.row_number().over(order))
-    dealt = walked.join(pieces, "arc").where((F.col("low") <= F.col("begin")) & (F.col("begin") < F.col("high")))
-    if not carry:
-        dealt = stored(dealt, "dealt")
+    dealt = stored(walked.join(pieces, "arc").where((F.col("low") <= F.col("begin")) & (F.col("begin") < F.col("high"))), "dealt")
     counts = dealt.groupBy("piece", "shard").agg(F.count("*").alias("n"), F.min("nth").alias("from_nth"))
     base = F.sum("n").over(Window.partitionBy("shard").orderBy("piece")) - F.col("n")
     bases = F.broadcast(counts.select("piece", (base - F.col("from_nth")).alias("base")))
@@ -118,8 +127,14 @@ def shard_documents(docs: DataFrame, shards: int = 40, vnodes: int = 64, slack:
 
 
 def sharded_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents with their own columns, and shard_bytes, shard and slot, which replace columns of those names."""
-    whole = docs.select(*dict.fromkeys([key, text]), F.struct("*").alias("row"))
-    dealt = shard_documents(whole, key=key, text=text, carry=["row"], **options)
-    own = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("shard_bytes", "shard", "slot")]
-    return dealt.select(*own, F.col("size").alias("shard_bytes"), "shard", "slot")
+    """The documents with their own columns, and shard_bytes, shard and slot, which replace columns of those names.
+
+    Whole rows are written once under a number; keys, sizes and numbers are sharded, and the rows meet their places by number.
+    """
+    numbered = stored(as_rows(docs).withColumn("number", F.monotonically_increasing_id()), "rows")
+    place = {n: F.col(f"row.c{docs.columns.index(n)}").alias(n) for n in (key, text)}
+    dealt = shard_documents(numbered.select(*place.values(), "number"), key=key, text=text, carry=["number"], **options)
+    rows = numbered.join(dealt.select("number", "size", "shard", "slot"), "number")
+    own = [(i, c) for i, c in enumerate(docs.columns) if c not in ("shard_bytes", "shard", "slot")]
+    out = rows.select(*[F.col(f"row.c{i}").alias(f"c{i}") for i, _ in own], "size", "shard", "slot")
+    return out.toDF(*[c for _, c in own], "shard_bytes", "shard", "slot")

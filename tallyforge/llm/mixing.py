@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import pick, stored
+from tallyforge.llm.common import as_rows, pick, stored
 
 #: Draws are told apart by this many leading bits, as many at a time, before single documents are put in order.
 STEP, STEPS = 10, 2
@@ -116,13 +116,16 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epoch
     # Without a mark a source is either taken up to its last word or, having no words, not at all.
     plain = placed.where(~crossing).withColumn(
         "extra", F.when(F.col("prefix").isNull(), (F.col("missing") > 0).cast("int")).otherwise((F.col("lead") < F.col("prefix")).cast("int")))
-    copies = F.coalesce(F.col("whole"), F.lit(0)) + F.coalesce(F.col("extra"), F.lit(0))
+    # Where nothing is missing the whole copies are all there are, for documents without words, too.
+    extra = F.when(F.col("missing") > 0, F.col("extra"))
+    copies = F.coalesce(F.col("whole"), F.lit(0)) + F.coalesce(extra, F.lit(0))
     return plain.unionByName(settled).select(
         *kept, "size", "source_size", "target", copies.cast("long").alias("copies"), (F.col("size") * copies).cast("long").alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The documents of the mix with their own columns, each as often as it is taken."""
-    whole = docs.select(*dict.fromkeys([key, text, source]), F.struct("*").alias("row"))
+    whole = as_rows(docs, key, text, source)
     marked = mix_sources(whole, key=key, text=text, source=source, carry=["row"], **options)
-    return marked.select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("row.*")
+    repeated = marked.select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
+    return repeated.select("row.*").toDF(*docs.columns)

@@ -143,10 +143,14 @@ def score_toxicity(docs: DataFrame, confirmed: DataFrame, prior: float, held_out
             found = sample_bits(sample, text, place, len(chosen), s)
             weights, bias = fit_nnpu(found[True], found[False], prior, s)
 
+    # By place, so that columns whose names differ in case only do not disturb each other.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]) if keep else pick(docs, key, text)
+    body = f"c{docs.columns.index(text)}" if keep else text
+
     def judged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in blocks(whole, text):
-                seen = presence(*packed(batch.column(text)), place, len(weights))
+            for batch in blocks(whole, body):
+                seen = presence(*packed(batch.column(body)), place, len(weights))
                 score = 1 / (1 + np.exp(-(seen @ weights + bias)))
                 if keep:
                     yield batch.filter(pa.array(score < 0.5))
@@ -155,9 +159,8 @@ def score_toxicity(docs: DataFrame, confirmed: DataFrame, prior: float, held_out
                                                      names=[key, "score", "predicted"])
 
     if keep:
-        return docs.mapInArrow(judged, docs.schema)
-    rows = pick(docs, key, text)
-    return rows.mapInArrow(judged, f"`{key}` {rows.schema[key].dataType.simpleString()}, score double, predicted int")
+        return plain.mapInArrow(judged, plain.schema).toDF(*docs.columns)
+    return plain.mapInArrow(judged, f"`{key}` {plain.schema[key].dataType.simpleString()}, score double, predicted int")
 
 
 def choose_buckets(sample: DataFrame, text: str, n_pos: int, n_all: int, prior: float, s: Settings) -> np.ndarray:

@@ -143,10 +143,26 @@ def test_odd_rows(spark, documents):
     item = prose(rng, 20)
     docs = documents([(1, None), (2, ""), (3, item), (3, item), (None, "x " + item), (4, prose(rng, 60_000)), (5, item[:30])], extra=["item_id", "edits"])
     bench = spark.createDataFrame([(1, item), (2, item), (3, None), (4, ""), (5, "too short"), (None, item)], "item_id long, text string")
-    got = sorted((r.doc_id or 0, r.item_id) for r in dc.find_passages(docs, bench).collect())
-    assert got == [(0, 1), (0, 2), (3, 1), (3, 1), (3, 2), (3, 2)]
+    got = sorted((r.doc_id or 0, r.item_id or 0) for r in dc.find_passages(docs, bench).collect())
+    assert got == [(0, 0), (0, 1), (0, 2), (3, 0), (3, 0), (3, 1), (3, 1), (3, 2), (3, 2)]
     small = dc.Settings(block_chars=100)
-    assert sorted((r.doc_id or 0, r.item_id) for r in dc.find_passages(docs, bench, settings=small).collect()) == got
+    assert sorted((r.doc_id or 0, r.item_id or 0) for r in dc.find_passages(docs, bench, settings=small).collect()) == got
     kept = dc.without_passages(docs, bench)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 4, 5]
     assert dc.find_passages(docs.limit(0), bench).count() == 0 and dc.find_passages(docs, bench.limit(0)).count() == 0
+
+
+def test_items_without_an_id_and_short_items(spark, documents):
+    rng = random.Random(8)
+    passage = prose(rng, 30)
+    bench = spark.createDataFrame([(None, passage), (7, "Short one!"), (8, "short  ONE"), (None, "tiny"), (9, "?!"), (10, None)], "item_id long, text string")
+    rows = [(1, prose(rng, 20) + " " + passage + " end"), (2, " -short one. "), (3, "a short one here"), (4, "Tiny"), (5, "!"), (6, None), (7, ""),
+            (8, " " * 90 + "short" + "." * 200 + "one" + "\n" * 300)]
+    docs = documents(rows).selectExpr("*", "'x' as TEXT")
+    for piece in (1 << 20, 256):
+        s = dc.Settings(piece=piece)
+        got = dc.find_passages(docs, bench, settings=s).collect()
+        assert sorted((r.doc_id, r.item_id or 0) for r in got) == [(1, 0), (2, 7), (2, 8), (4, 0), (8, 7), (8, 8)]
+        assert {(r.start, r.end) for r in got if r.doc_id == 2} == {(2, 11)} and {(r.start, r.end) for r in got if r.doc_id == 8} == {(90, 298)}
+        left = dc.without_passages(docs, bench, settings=s)
+        assert left.columns == docs.columns and sorted(r[0] for r in left.collect()) == [3, 5, 6, 7]

@@ -1,10 +1,12 @@
 import re
 import zlib
 from collections import defaultdict
+from math import ceil
 
 import pytest
+from pyspark.sql import functions as F
 
-from tallyforge.llm.hash_ring import bounded_loads, shard_documents
+from tallyforge.llm.hash_ring import bounded_loads, ring, ring_nodes, shard_documents, sharded_documents
 from tallyforge.llm.mixing import mix_sources, mixed_documents
 
 
@@ -109,3 +111,69 @@ def test_word_pattern_matches_python(documents, spark):
     text = "a b\x0bc\x1cd \t\n e f"
     got = mix_sources(documents([(1, text, "a")])).first()
     assert got.size == len(re.findall(r"[^\x20\x09-\x0D]+", text))
+
+
+def test_wordless_documents_stay_below_the_cap(documents):
+    """In a source at three times its size nothing is missing, so nobody gets a fourth copy."""
+    docs = documents([(i, "w " * 50, "big") for i in range(40)] + [(100 + i, ["", None, "x"][i % 3], "small") for i in range(30)])
+    got = mix_sources(docs, weights=(1, 1)).collect()
+    assert {r.copies for r in got if r.doc_id >= 100} == {3}
+    assert mixed_documents(docs, weights=(1, 1)).where("doc_id >= 100").count() == 90
+
+
+def test_stage_forms_with_names_that_differ_in_case(spark, documents):
+    docs = documents([(i, f"some words {i}", "a") for i in range(30)]).selectExpr("*", "upper(text) as Text", "-doc_id as DOC_ID")
+    mixed = mixed_documents(docs).collect()
+    assert mixed and all(r[1] == f"some words {r[0]}" and r[5] == r[1].upper() and r[6] == -r[0] for r in mixed)
+    sharded = sharded_documents(docs, shards=4)
+    assert sharded.columns == [*docs.columns, "shard_bytes", "shard", "slot"]
+    rows = sharded.collect()
+    assert sorted(r[0] for r in rows) == list(range(30)) and all(r[5] == f"SOME WORDS {r[0]}" and r[6] == -r[0] for r in rows)
+    assert {(r[0], r[-2], r[-1]) for r in rows} == {(r.doc_id, r.shard, r.slot) for r in shard_documents(docs, shards=4).collect()}
+
+
+def brute_ring(rows, arcs, shards, slack):
+    """The whole ring walked document by document: every arc's keys in order, against the bounds of all arcs before."""
+    bound = ceil(sum(size for _, _, size, _ in rows) / shards * (1 + slack))
+    by_arc = defaultdict(list)
+    for row in rows:
+        at = next((a for a in arcs if row[3] <= a[2]), arcs[0])
+        by_arc[at[0]].append(row)
+    loads = [(arc, shard, sum(r[2] for r in by_arc[arc])) for arc, shard, _ in arcs]
+    room, spans, over = [bound] * shards, defaultdict(list), []
+    for place, (arc, shard, load) in enumerate(loads):
+        own = min(load, room[shard])
+        room[shard] -= own
+        spans[arc].append((0, own, shard))
+        over += [(place, arc, own, load)] if load > own else []
+    for place, arc, low, load in over:
+        while low < load:
+            place = (place + 1) % len(loads)
+            part = min(load - low, room[loads[place][1]])
+            room[loads[place][1]] -= part
+            spans[arc].append((low, low + part, loads[place][1]))
+            low += part
+    out = {}
+    for arc, inside in by_arc.items():
+        begin = 0
+        for key, _, size, position in sorted(inside, key=lambda r: (r[3], r[0])):
+            out[key] = next(shard for low, high, shard in spans[arc] if low <= begin < high)
+            begin += size
+    return out
+
+
+def test_shards_equal_a_walk_of_the_whole_ring(spark, documents):
+    docs = documents([(i, "x" * (i * 37 % 500)) for i in range(400)])
+    shards, vnodes, slack = 7, 16, 0.02
+    arcs = [(r.arc, r["shard"], r.upto) for r in ring(spark, shards, vnodes).orderBy("arc").collect()]
+    places = docs.select("doc_id", F.xxhash64("doc_id", F.crc32(F.encode("text", "UTF-8")).cast("long"))).collect()
+    rows = [(d[0], None, len("x" * (d[0] * 37 % 500)) + 16, d[1]) for d in places]
+    got = {r.doc_id: r["shard"] for r in shard_documents(docs, shards, vnodes, slack).collect()}
+    assert got == brute_ring(rows, arcs, shards, slack)
+    assert ring_nodes(0, 40) == 64 and ring_nodes(10**14, 40) * 40 * (8 << 30) >= 10**14
+
+
+def test_a_further_shard_moves_little(documents):
+    docs = documents([(i, f"text {i}") for i in range(4000)])
+    before, after = ({r.doc_id: r["shard"] for r in shard_documents(docs, n).collect()} for n in (40, 41))
+    assert sum(before[k] != after[k] for k in before) < 0.12 * len(before)
