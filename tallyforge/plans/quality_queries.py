@@ -173,7 +173,9 @@ with m as (select avg((actual = said)::int::double) as accuracy from {_SAID}),
      rules as (select 'accuracy' as metric, accuracy as value, n / total as bound from m, t
        union all select 'macro_f1', f, 2.0::double * n / (total + n) / k from f, t)
 select metric, '' as "column", round(value, 6) as value, '>' as op, round(bound, 6) as bound, case when value > bound then 'SUCCESS' else 'FAIL' end as status from rules
-union all select 'log_loss', '', (select round(avg(-ln(case when actual not in {_TYPES} then 1e-15 when actual = said then 0.6::double else 0.1::double end)), 6) from {_SAID}), '<', null, 'FAIL'""")
+union all select 'log_loss', '', round(value, 6), '<', round(bound, 6), case when value < bound then 'SUCCESS' else 'FAIL' end from (
+  select (select avg(-ln(case when actual not in {_TYPES} then 1e-15 when actual = said then 0.6::double else 0.1::double end)) from {_SAID}) as value,
+         (select -sum(n / total * ln(n / total)) from c, (select sum(n)::double as total from c)) as bound)""")
 def suite_multiclass(spark, sf):
     rows = _said(spark, sf)
     found = quality.long_metrics(quality.multiclass_quality(rows, "actual", "said", "chances")).unionByName(

@@ -257,7 +257,7 @@ def test_registered_training_has_the_full_size(monkeypatch):
     monkeypatch.setattr(train_queries.F, "col", lambda name: name)
     train_queries._search(None, "")
     assert seen["n_trials"] == 20 and seen["space"] is train.SPACE and set(train.SPACE) == set(train.MODELS)
-    for fit in (train_queries.random_forest, train_queries.gradient_boosting, train_queries.boosted_second_name):
+    for fit in (train_queries.random_forest, train_queries.gradient_boosting, train_queries.second_order_boosting):
         fit(None, "")
     for name in ("random_forest", "gradient_boosting", "xgboost"):
         kind, low, high, _ = train.SPACE[name]["n_estimators"]
