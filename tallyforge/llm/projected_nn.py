@@ -220,19 +220,25 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, key: s
     # Crowded cells are cut further, so that a block fits a task whatever the tree makes of the data.
     crowd = placed.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(s.block_rows)).cast("int").alias("blocks"))
     crowd = stored(crowd, "crowd")
-    turns = max(1, ceil(facts["queries"] / s.block_queries))
     block = F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int").alias("block")
-    turn = F.pmod(F.xxhash64(F.lit(s.seed), "uid"), F.lit(turns)).cast("int").alias("turn")
-    stock = placed.join(crowd, "cell").select("cell", block, "uid", "first", "v").withColumn(
-        "turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
-    asking = placed.where("asks").select("uid", "v", "cell", turn)
-
-    def searched(visits: DataFrame) -> DataFrame:
-        """visits: uid, v, worst, cell, turn; all blocks of the cell answer."""
-        asked = visits.join(crowd, "cell").select("cell", "turn", "uid", "v", "worst",
-                                                  F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    stock = placed.join(crowd, "cell").select("cell", block, "uid", "first", "v")
+    asking = placed.where("asks").select("uid", "v", "cell")
+
+    def listed(count: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), count - 1))
+
+    def searched(visits: DataFrame, name: str) -> DataFrame:
+        """visits: uid, v, worst, cell; all blocks of the cell answer.
+
+        The queries that visit a cell are dealt into as many turns as their number asks for, and the cell's rows are copied once a
+        turn: cells without visits are not copied at all.
+        """
+        turns = stored(visits.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(s.block_queries)).cast("int").alias("turns")), name)
+        turn = F.pmod(F.xxhash64(F.lit(s.seed), "uid"), F.col("turns")).cast("int").alias("turn")
+        asked = visits.join(crowd, "cell").join(turns, "cell").select("cell", turn, "uid", "v", "worst", listed(F.col("blocks")).alias("block"))
         # Both sides stem from one table; fresh names keep them apart.
         asked = asked.select(*[F.col(c).alias(c) for c in asked.columns])
+        answering = stock.join(turns, "cell").select("cell", "block", "uid", "first", "v", listed(F.col("turns")).alias("turn"))
 
         def answered(key_values, queries: pa.Table, stocked: pa.Table) -> pa.Table:
             names = ["quid", "uid", "first", "score"]
@@ -246,7 +252,7 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, key: s
             return pa.table([pa.array(queries.column("uid").to_numpy()[who]), pa.array(stocked.column("uid").to_numpy()[took]),
                              pa.array(first[took]), pa.array(score[who, place])], names=names)
 
-        return asked.groupBy("cell", "block", "turn").cogroup(stock.groupBy("cell", "block", "turn")).applyInArrow(
+        return asked.groupBy("cell", "block", "turn").cogroup(answering.groupBy("cell", "block", "turn")).applyInArrow(
             answered, "quid long, uid long, first long, score double")
 
     best = Window.partitionBy("quid").orderBy(F.desc("score"), "first")
@@ -254,7 +260,7 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, key: s
     def top(found: DataFrame) -> DataFrame:
         return found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k + 1)
 
-    home = stored(top(searched(asking.withColumn("worst", F.lit(float("-inf"))))), "own-cell")
+    home = stored(top(searched(asking.withColumn("worst", F.lit(float("-inf"))), "home-turns")), "own-cell")
     worst = home.where(F.col("place") == k + 1).select(F.col("quid").alias("uid"), F.col("score").alias("worst"))
 
     def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,12 +272,12 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, key: s
             who, cell = np.nonzero(near)
             at = pa.array(who)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("uid").take(at), batch.column("v").take(at), batch.column("worst").take(at), pa.array(cell.astype(np.int64)),
-                 batch.column("turn").take(at)], names=["uid", "v", "worst", "cell", "turn"])
+                [batch.column("uid").take(at), batch.column("v").take(at), batch.column("worst").take(at), pa.array(cell.astype(np.int64))],
+                names=["uid", "v", "worst", "cell"])
 
     bounded = asking.join(worst, "uid", "left").select(
-        "uid", "v", F.coalesce("worst", F.lit(float("-inf"))).alias("worst"), "cell", "turn")
-    away = searched(bounded.mapInArrow(spread, "uid long, v array<double>, worst double, cell long, turn int"))
+        "uid", "v", F.coalesce("worst", F.lit(float("-inf"))).alias("worst"), "cell")
+    away = searched(bounded.mapInArrow(spread, "uid long, v array<double>, worst double, cell long"), "away-turns")
     merged = stored(top(home.drop("place").unionByName(away)), "neighbours")
 
     # Back from distinct vectors to rows: no more than the k + 1 smallest keys of a vector can count.

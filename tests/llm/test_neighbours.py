@@ -37,6 +37,18 @@ def test_recall_against_brute_force(spark, sf, blocks):
         assert all(abs(s - x[ids == q][0] @ x[ids == v][0]) < 1e-12 for v, s in found)
 
 
+def test_recall_at_default_settings_over_several_cells(spark):
+    """20,000 vectors, half of them in clusters: four cells, some of which a query does not visit."""
+    rng = np.random.default_rng(12)
+    centres = rng.normal(size=(40, 16)) * 3
+    x = np.vstack([rng.normal(size=(10_000, 16)), centres[rng.integers(0, 40, 10_000)] + rng.normal(size=(10_000, 16)) * 0.3])
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = answers(nn.nearest_neighbours(table, F.col("vec_id") % 50 == 0))
+    want = brute(np.arange(20_000), x, np.arange(20_000) % 50 == 0, 20)
+    assert got.keys() == want.keys()
+    assert sum(len({v for v, _ in got[q]} & {v for v, _ in want[q]}) for q in want) >= 0.95 * sum(map(len, want.values()))
+
+
 def test_lengths_count_and_copies_are_whole(spark):
     """Vectors of many lengths and a crowd of copies: the largest inner product wins, equal ones by key."""
     rng = np.random.default_rng(4)

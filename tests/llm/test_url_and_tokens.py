@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tallyforge.llm.token_count import PieceCounter, count_tokens
+from tallyforge.llm.token_count import TokenCounter, count_tokens, parts_of
 from tallyforge.llm.url_automaton import Rule, ShiftAnd, judge_urls
 
 RULES = [Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"), Rule("block", glob=".*spam-*"), Rule("block", glob=".*spam-*/**")]
@@ -52,14 +52,30 @@ def tokenizer_path():
 
 @settings(deadline=None)
 @given(st.lists(st.text(st.sampled_from("ab' \n\t\x1c é1!<|endoftext|>"), max_size=40), max_size=10))
-def test_pieces_add_up_to_whole_texts(texts):
+def test_parts_add_up_to_whole_texts(texts):
     import public_tokenizers
     from tokenizers import Tokenizer
 
     path = public_tokenizers.path("byte_bpe_50k.json")
-    count, whole = PieceCounter(path, known=50), Tokenizer.from_file(path)
-    texts = [*texts, "a <|endoftext|> b<|endoftext|>", "x" * 3000 + " " + " y" * 2000]
-    assert [count(t) for t in texts] == [len(whole.encode(t, add_special_tokens=False)) for t in texts]
+    whole = Tokenizer.from_file(path)
+    texts = [*texts, "a <|endoftext|> b<|endoftext|>", "x" * 3000 + " " + " y" * 2000, "é  日本 " * 500]
+    want = [len(whole.encode(t, add_special_tokens=False)) for t in texts]
+    for most in (7, 64, 1 << 18):
+        assert TokenCounter(path, most)(texts).tolist() == want
+        assert all("".join(p for p, _ in parts_of(t, most)) == t for t in texts if t)
+        assert all(n == len(p.encode()) for t in texts for p, n in parts_of(t, most))
+
+
+def test_long_texts(tokenizer_path):
+    """A text of 5 MB without blanks stays whole; one with blanks is split into parts of about a batch."""
+    from tokenizers import Tokenizer
+
+    solid, loose = "ab1" * 1_700_000, "word é " * 300_000
+    assert [n for _, n in parts_of(solid, 1 << 18)] == [len(solid)]
+    assert max(n for _, n in parts_of(loose, 1 << 18)) < (1 << 18) * 1.01
+    whole = Tokenizer.from_file(tokenizer_path)
+    assert TokenCounter(tokenizer_path)([loose, None, solid]).tolist() == [
+        len(whole.encode(loose, add_special_tokens=False)), 0, len(whole.encode(solid, add_special_tokens=False))]
 
 
 def test_token_counts_of_odd_rows(documents, tokenizer_path):
