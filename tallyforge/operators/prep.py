@@ -12,7 +12,7 @@ from typing import Any
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.feature import OneHotEncoder
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
@@ -27,7 +27,7 @@ from tallyforge.session import scratch_path
 IMPUTERS = ("simple", "knn")
 STRATEGIES = ("mean", "median", "most_frequent", "constant")
 SCALERS = ("robust", "standard", "minmax", "none")
-#: Categories that may become a column each; any number can be encoded by `category_table`.
+#: Categories that may become a column each; more of them are encoded by a joined table.
 MAX_COLUMNS = 10_000
 
 
@@ -102,17 +102,16 @@ def scale(df: DataFrame, scaler: Mapping[str, tuple[float, float]]) -> DataFrame
                            for c, (m, f) in scaler.items()})
 
 
-def fit_categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted distinct values of each column, gathered only after a check of how many there are."""
+def fit_categories(df: DataFrame, columns: Sequence[str], max_columns: int = MAX_COLUMNS) -> tuple[dict[str, list[str]], dict[str, DataFrame]]:
+    """Sorted distinct values of each column with up to `max_columns` of them, and a category table for each other one."""
     columns = list(columns)
     if not columns:
-        return {}
-    sizes = df.agg(*[F.approx_count_distinct(F.col(quoted(c))).alias(c) for c in columns]).first()
-    wide = [c for c in columns if sizes[c] > MAX_COLUMNS]
-    if wide:
-        raise ValueError(f"too many categories for a column each, use `category_table`: {wide}")
-    row = df.agg(*[F.sort_array(F.collect_set(F.col(quoted(c)).cast("string"))).alias(c) for c in columns]).first()
-    return {c: list(row[c]) for c in columns}
+        return {}, {}
+    sizes = df.agg(*[F.count_distinct(F.col(quoted(c)).cast("string")).alias(c) for c in columns]).first()
+    wide = [c for c in columns if sizes[c] > max_columns]
+    narrow = [c for c in columns if c not in wide]
+    row = df.agg(*[F.sort_array(F.collect_set(F.col(quoted(c)).cast("string"))).alias(c) for c in narrow]).first() if narrow else {}
+    return {c: list(row[c]) for c in narrow}, {c: category_table(df, c) for c in wide}
 
 
 def _unknown(name: str, categories: list[str], otherwise: Column) -> Column:
@@ -161,14 +160,23 @@ def ordinal_by_table(df: DataFrame, column: str, categories: DataFrame, handle_u
     return joined.withColumn(column, F.coalesce(F.col("place").cast("double"), missing)).drop("category", "place")
 
 
-def onehot_by_table(df: DataFrame, column: str, categories: DataFrame, output: str, handle_unknown: str = "error") -> DataFrame:
-    """Adds a sparse vector with a one at the place of the value; unknown values give an empty vector or an error."""
+def onehot_by_table(df: DataFrame, column: str, categories: DataFrame, output: str, handle_unknown: str = "error", drop: str | None = None,
+                    size: int | None = None) -> DataFrame:
+    """Adds a sparse vector with a one at the place of the value; unknown values give an empty vector or an error.
+
+    `drop` leaves out the first value, always ("first") or if there are two ("if_binary"), as `onehot_columns` does. `size` is the
+    length of the table, counted if it is not known.
+    """
     if handle_unknown not in ("error", "ignore"):
         raise ValueError(f"unsupported handle_unknown {handle_unknown!r}")
-    size = categories.count()
+    size = categories.count() if size is None else size
     placed = ordinal_by_table(df.withColumn("__kept", F.col(quoted(column))), column, categories,
                               "error" if handle_unknown == "error" else "use_encoded_value", size)
-    coded = placed.withColumn(output, F.col(quoted(column))).withColumn(column, F.col("__kept")).drop("__kept")
+    code = F.col(quoted(column))
+    if drop == "first" or (drop == "if_binary" and size == 2):
+        # The first value goes to the place behind the last one, where unknown values are.
+        size, code = size - 1, F.when((code == 0) | (code == size), float(size - 1)).otherwise(code - 1)
+    coded = placed.withColumn(output, code).withColumn(column, F.col("__kept")).drop("__kept")
     # Places are 0 to size - 1; the place after the last one, dropped by the encoder, stands for unknown values.
     sizes = df.sparkSession.range(size + 1).select(F.col("id").cast("double").alias(output))
     encoder = OneHotEncoder(inputCol=output, outputCol="__hot", dropLast=True).fit(sizes)
@@ -191,7 +199,10 @@ class TabularPreprocessor(Estimator, _PrepParams, DefaultParamsReadable, Default
     config: {"numerical": {"imputer": {"type", "strategy", "fill_value", "n_neighbors", "weights", "donor_key"},
                            "scaler": {"type", ...options}},
              "categorical": {"imputer": {"strategy", "fill_value"},
-                             "encoder": {"type", "handle_unknown", "unknown_value", "drop"}}}
+                             "encoder": {"type", "handle_unknown", "unknown_value", "drop", "max_columns"}}}
+
+    A category column with more than `max_columns` values is kept as a table of its values, saved beside the model and joined by
+    `transform`; its one-hot block is a sparse vector.
     """
 
     @keyword_only
@@ -233,8 +244,11 @@ class TabularPreprocessor(Estimator, _PrepParams, DefaultParamsReadable, Default
         cat_imputer = cat_conf.get("imputer", {})
         state["cat_fills"] = fit_imputer(dataset, cat, cat_imputer.get("strategy", "most_frequent"),
                                          cat_imputer.get("fill_value", "missing_value")) if cat else {}
-        state["categories"] = fit_categories(fill(dataset, state["cat_fills"]), cat)
+        most = cat_conf.get("encoder", {}).get("max_columns", MAX_COLUMNS)
+        state["categories"], tables = fit_categories(fill(dataset, state["cat_fills"]), cat, most)
+        state["wide"] = {c: table.count() for c, table in tables.items()}
         model = TabularPreprocessorModel()
+        model.tables = tables
         model._set(numerical=num, categorical=cat, config=self.getOrDefault("config"),
                    outputCol=self.getOrDefault("outputCol"), state=json.dumps(state))
         model.donors = dataset.select(state["knn"]["key"], *num) if state["knn"] else None
@@ -242,12 +256,14 @@ class TabularPreprocessor(Estimator, _PrepParams, DefaultParamsReadable, Default
 
 
 class _ModelWriter(DefaultParamsWriter):
-    """Parameters as JSON; the donors of nearest-neighbour imputation beside them as parquet."""
+    """Parameters as JSON; the donors of nearest-neighbour imputation and the tables of wide categories beside them as parquet."""
 
     def saveImpl(self, path: str) -> None:
         super().saveImpl(path)
         if self.instance.donors is not None:
             self.instance.donors.write.parquet(f"{path}/donors")
+        for i, column in enumerate(self.instance.fitted().get("wide", {})):
+            self.instance.tables[column].write.parquet(f"{path}/categories-{i}")
 
 
 class _ModelReader(DefaultParamsReader):
@@ -255,6 +271,8 @@ class _ModelReader(DefaultParamsReader):
         model = super().load(path)
         if model.fitted()["knn"]:
             model.donors = self.sparkSession.read.parquet(f"{path}/donors")
+        model.tables = {column: self.sparkSession.read.parquet(f"{path}/categories-{i}")
+                        for i, column in enumerate(model.fitted().get("wide", {}))}
         return model
 
 
@@ -267,6 +285,7 @@ class TabularPreprocessorModel(Model, _PrepParams, DefaultParamsReadable, Defaul
         super().__init__()
         self._setDefault(numerical=[], categorical=[], config="{}", outputCol="features")
         self.donors: DataFrame | None = None
+        self.tables: dict[str, DataFrame] = {}
 
     def write(self) -> _ModelWriter:
         return _ModelWriter(self)
@@ -286,6 +305,9 @@ class TabularPreprocessorModel(Model, _PrepParams, DefaultParamsReadable, Defaul
             shift, factor = state["scaler"][c]
             cols.append(((F.col(quoted(c)).cast("double") - F.lit(float(shift))) * F.lit(float(factor))).alias(f"numerical__{c}"))
         for c in self.getOrDefault("categorical"):
+            if c in state.get("wide", {}):
+                cols.append(F.col(quoted(f"__wide_{c}")).alias(f"categorical__{c}"))
+                continue
             cats = state["categories"][c]
             if enc.get("type", "onehot").lower() == "onehot":
                 cols += [x.alias(f"categorical__{n}") for x, n in zip(
@@ -302,9 +324,13 @@ class TabularPreprocessorModel(Model, _PrepParams, DefaultParamsReadable, Defaul
         return [f"{name}_{v}" for v in kept]
 
     def feature_names(self) -> list[str]:
+        """Names of the columns of `flat`; a wide one-hot block is one vector column."""
         state, enc = self.fitted(), self.conf().get("categorical", {}).get("encoder", {})
         names = [f"numerical__{c}" for c in self.getOrDefault("numerical")]
         for c in self.getOrDefault("categorical"):
+            if c in state.get("wide", {}):
+                names.append(f"categorical__{c}")
+                continue
             onehot = enc.get("type", "onehot").lower() == "onehot"
             names += [f"categorical__{n}" for n in (self._onehot_names(c, state["categories"][c], enc) if onehot else [c])]
         return names
@@ -316,7 +342,15 @@ class TabularPreprocessorModel(Model, _PrepParams, DefaultParamsReadable, Defaul
                 raise ValueError("set `donors` before transforming with nearest neighbours")
             dataset = knn_impute(dataset, self.donors, self.getOrDefault("numerical"), state["knn"]["key"],
                                  state["knn"]["k"], state["knn"]["weights"])
-        return fill(dataset, {**state["fills"], **state["cat_fills"]})
+        out = fill(dataset, {**state["fills"], **state["cat_fills"]})
+        enc = self.conf().get("categorical", {}).get("encoder", {})
+        for c, size in state.get("wide", {}).items():
+            kept, strict = f"__wide_{c}", enc.get("handle_unknown", "error")
+            if enc.get("type", "onehot").lower() == "onehot":
+                out = onehot_by_table(out, c, self.tables[c], kept, strict, enc.get("drop"), size)
+            else:
+                out = ordinal_by_table(out.withColumn(kept, F.col(quoted(c))), kept, self.tables[c], strict, enc.get("unknown_value", -1))
+        return out
 
     def flat(self, dataset: DataFrame, key: Sequence[str] = (), target: str | None = None) -> DataFrame:
         """Key, feature columns and, last, the target; everything else is dropped."""
@@ -324,7 +358,21 @@ class TabularPreprocessorModel(Model, _PrepParams, DefaultParamsReadable, Defaul
         return self._imputed(dataset).select(*[F.col(quoted(c)) for c in key], *self._columns(), *tail)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return self._imputed(dataset).withColumn(self.getOrDefault("outputCol"), array_to_vector(F.array(*self._columns())))
+        out, output = self._imputed(dataset), self.getOrDefault("outputCol")
+        columns, wide = self._columns(), self.fitted().get("wide", {})
+        sparse = {f"categorical__{c}" for c in wide} if self.conf().get("categorical", {}).get("encoder", {}).get("type", "onehot").lower() == "onehot" else set()
+        if not sparse:
+            done = out.withColumn(output, array_to_vector(F.array(*columns)))
+        else:
+            # Dense stretches and sparse blocks in their order, put together by the assembler.
+            blocks: list[tuple[str, list[Column]]] = []
+            for name, column in zip(self.feature_names(), columns):
+                if name in sparse or not blocks or blocks[-1][0]:
+                    blocks.append((name if name in sparse else "", []))
+                blocks[-1][1].append(column)
+            parts = {f"__block{i}": own[0] if name else array_to_vector(F.array(*own)) for i, (name, own) in enumerate(blocks)}
+            done = VectorAssembler(inputCols=list(parts), outputCol=output).transform(out.withColumns(parts)).drop(*parts)
+        return done.drop(*[f"__wide_{c}" for c in wide])
 
 
 # --- gates around features and target -----------------------------------------------------------------

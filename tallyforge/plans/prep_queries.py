@@ -109,7 +109,7 @@ def impute_category(spark, sf):
 select o_orderkey, (o_orderstatus = 'F')::int::double as "o_orderstatus_F", (o_orderstatus = 'O')::int::double as "o_orderstatus_O" from orders""")
 def onehot(spark, sf):
     orders = table(spark, sf, "orders")
-    cats = prep.fit_categories(orders.where(F.col("o_orderstatus") != "P"), ["o_orderstatus"])["o_orderstatus"]
+    cats = prep.fit_categories(orders.where(F.col("o_orderstatus") != "P"), ["o_orderstatus"])[0]["o_orderstatus"]
     return orders.select("o_orderkey", *prep.onehot_columns("o_orderstatus", cats, "ignore"))
 
 
@@ -117,7 +117,7 @@ def onehot(spark, sf):
 select o_orderkey, case o_orderstatus when 'F' then 0 when 'O' then 1 else -1 end::double as o_orderstatus from orders""")
 def ordinal(spark, sf):
     orders = table(spark, sf, "orders")
-    cats = prep.fit_categories(orders.where(F.col("o_orderstatus") != "P"), ["o_orderstatus"])["o_orderstatus"]
+    cats = prep.fit_categories(orders.where(F.col("o_orderstatus") != "P"), ["o_orderstatus"])[0]["o_orderstatus"]
     return orders.select("o_orderkey", prep.ordinal_column("o_orderstatus", cats, "use_encoded_value", -1))
 
 
@@ -212,3 +212,24 @@ def knn_roundtrip(spark, sf):
     for c in names[2:]:
         known = known + F.col(f"`{c}`").cast("int")
     return both.select("event_id", F.lit(len(names)).cast("long").alias("n_features"), gap.alias("gap"), (1 - known).alias("n_unknown"))
+
+
+@query("g11_wide_roundtrip", """
+with names as (select c_name, row_number() over (order by c_name) - 1 as place from (select distinct c_name from customer where c_custkey % 9 <> 0))
+select c_custkey, (select count(*) from names) + 1 + (select count(distinct c_mktsegment) from customer where c_custkey % 9 <> 0) as n_features,
+       1 + place as hot, round(c_acctbal, 6) as balance from customer left join names using (c_name)""")
+def wide_roundtrip(spark, sf):
+    """Preparation over a column with a category for almost every row, kept as a joined table: fitted, saved, reloaded and applied."""
+    people = table(spark, sf, "customer")
+    config = {"numerical": {"scaler": {"type": "none"}},
+              "categorical": {"encoder": {"type": "onehot", "handle_unknown": "ignore", "max_columns": 50}}}
+    fitted = TabularPreprocessor(numerical=["c_acctbal"], categorical=["c_name", "c_mktsegment"], config=config).fit(
+        people.where(F.col("c_custkey") % 9 != 0))
+    path = scratch_path(spark, "wide")
+    fitted.save(path)
+    vector = F.unwrap_udt("features")
+    size = sum(fitted.fitted()["wide"].values())
+    made = prep.TabularPreprocessorModel.load(path).transform(people).select("c_custkey", vector.alias("v"))
+    indices = F.filter("v.indices", lambda i: (i >= 1) & (i <= size))
+    return made.select("c_custkey", F.col("v.size").cast("long").alias("n_features"), F.get(indices, 0).cast("long").alias("hot"),
+                       F.round(F.when(F.get("v.indices", 0) == 0, F.get("v.values", 0)).otherwise(0.0), 6).alias("balance"))

@@ -144,6 +144,39 @@ def test_wide_categories_by_table(spark):
         prep.onehot_by_table(df, "c", names, "hot").collect()
 
 
+@pytest.mark.parametrize("encoder", [{"type": "onehot", "handle_unknown": "ignore"}, {"type": "onehot", "handle_unknown": "ignore", "drop": "first"},
+                                     {"type": "ordinal", "handle_unknown": "use_encoded_value", "unknown_value": -2}])
+def test_wide_categories_equal_narrow_ones(spark, encoder):
+    """The joined table gives the vectors that literal columns give, in the fitted and in the reloaded model."""
+    fit = spark.createDataFrame([(float(i), f"v{i % 7}", "ab"[i % 2]) for i in range(30)], "x double, c string, d string")
+    new = spark.createDataFrame([(1.0, "v3", "a"), (2.0, "new", "b"), (3.0, None, "z"), (4.0, "v0", None)], "x double, c string, d string")
+    vectors = []
+    for most in (100, 3):
+        config = {"numerical": {"scaler": {"type": "none"}}, "categorical": {"encoder": {**encoder, "max_columns": most}}}
+        model = TabularPreprocessor(numerical=["x"], categorical=["c", "d"], config=config).fit(fit)
+        assert set(model.tables) == ({"c"} if most == 3 else set())
+        path = scratch_path(spark, "prep")
+        model.save(path)
+        for m in (model, type(model).load(path)):
+            out = m.transform(new)
+            assert out.columns == [*new.columns, "features"]
+            vectors.append([r["features"].toArray().tolist() for r in out.orderBy("x").collect()])
+    assert all(v == vectors[0] for v in vectors)
+    strict = {"categorical": {"encoder": {"type": "onehot", "max_columns": 3}}}
+    with pytest.raises(Exception, match="unknown category in c"):
+        TabularPreprocessor(categorical=["c"], config=strict).fit(fit).transform(new).collect()
+
+
+def test_wide_pipeline_is_saved_and_scores(spark):
+    fit = spark.createDataFrame([(float(i), f"v{i % 40}", 3.0 * i) for i in range(200)], "x double, c string, y double")
+    config = {"numerical": {"scaler": {"type": "none"}}, "categorical": {"encoder": {"type": "onehot", "handle_unknown": "ignore", "max_columns": 10}}}
+    model = train.fit_pipeline(fit, TabularPreprocessor(numerical=["x"], categorical=["c"], config=config), "ridge", {"alpha": 1e-3}, "y")
+    path = scratch_path(spark, "p")
+    train.save_pipeline(model, path)
+    for r in train.score(train.load_pipeline(path), fit.drop("y").limit(5)).collect():
+        assert r["prediction"] == pytest.approx(3 * r["x"], abs=0.1)
+
+
 def test_gates(spark):
     df = spark.createDataFrame([("train", 1.0, 1.0), ("val", 1.0, None)], "split string, x double, y double")
     with pytest.raises(ValueError, match="missing required"):
