@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions.columns import is_finite, is_missing, numeric_columns, quoted, ratio
@@ -210,7 +210,7 @@ class MetricTest:
 
 #: Named suites: what a model or table is held to. Bounds are names of other metrics (baselines) or numbers.
 SUITES: dict[str, tuple[tuple[str, str, str | float], ...]] = {
-    "regression": (("rmse", "<", "dummy_rmse"), ("mae", "<", "dummy_mae"), ("r2", ">", 0.0)),
+    "regression": (("rmse", "<", "dummy_rmse"), ("mae", "<", "dummy_mae"), ("r2_score", ">", 0.0)),
     "binary": (("accuracy", ">", "dummy_accuracy"), ("precision", ">", "dummy_precision"), ("recall", ">", 0.0),
                ("f1", ">", "dummy_f1"), ("roc_auc", ">", 0.5)),
     "multiclass": (("accuracy", ">", "dummy_accuracy"), ("macro_f1", ">", "dummy_macro_f1"), ("log_loss", "<", "dummy_log_loss")),
@@ -268,6 +268,19 @@ def run_tests(metrics: DataFrame, tests: Sequence[MetricTest]) -> DataFrame:
             .select("metric", "column", "value", "op", "bound", status.alias("status")))
 
 
+def table_metrics(df: DataFrame) -> DataFrame:
+    """Long metric table about one table alone: share of missing cells, rows repeated in full, and columns with one value at most."""
+    rows = df.groupBy(*[F.col(quoted(c)) for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
+    missing = sum((F.when(is_missing(df, c), F.col("__n")).otherwise(0) for c in df.columns), F.lit(0))
+    lows, highs = ([f(quoted(c)).alias(f"{p}{i}") for i, c in enumerate(df.columns)] for p, f in (("l", F.min), ("h", F.max)))
+    one = rows.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("kinds"), F.sum(missing).alias("missing"), *lows, *highs)
+    constant = sum((F.coalesce(F.col(f"l{i}") == F.col(f"h{i}"), F.lit(True)).cast("int") for i in range(len(df.columns))), F.lit(0))
+    cells = [("dataset_missing_share", F.coalesce(ratio(F.col("missing"), F.col("rows") * len(df.columns)), F.lit(0.0))),
+             ("duplicate_rows", F.col("rows") - F.col("kinds")), ("constant_columns", constant)]
+    return one.select(F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.lit("").alias("column"), v.cast("double").alias("value"))
+                                         for m, v in cells])))
+
+
 def summarize_tests(results: DataFrame) -> DataFrame:
     by = lambda s: F.count_if(F.col("status") == s)
     return results.agg(F.count(F.lit(1)).alias("total_tests"), by("SUCCESS").alias("success_tests"),
@@ -318,3 +331,16 @@ def append_history(metrics: DataFrame, run_ts: str, path: str) -> None:
 def latest_metrics(history: DataFrame) -> DataFrame:
     """The most recent value of every metric and column."""
     return history.groupBy("metric", "column").agg(F.max("run_ts").alias("run_ts"), F.max_by("value", "run_ts").alias("value"))
+
+
+def metric_lines(history: DataFrame, metric: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """One line per column over the runs of a history: run_ts, column, value, and how far it moved since the run before.
+
+    Of several values of one run the largest counts; a column that a run does not have is left out of it.
+    """
+    rows = history.where(F.col("metric") == metric)
+    if columns is not None:
+        rows = rows.where(F.col("column").isin(list(columns)))
+    per_run = rows.groupBy("column", "run_ts").agg(F.max("value").alias("value"))
+    before = F.lag("value").over(Window.partitionBy("column").orderBy("run_ts"))
+    return per_run.select("column", "run_ts", "value", (F.col("value") - before).alias("change"))

@@ -142,10 +142,26 @@ def attribute_bias(recs: DataFrame, interactions: DataFrame, attributes: DataFra
     return both.select("side", column, "n", ratio(F.col("n"), F.sum("n").over(Window.partitionBy("side"))).alias("share"))
 
 
-def recommendation_cases(recs: DataFrame, k: int, user_ids: Sequence | None = None, interactions: DataFrame | None = None) -> DataFrame:
-    """Each user's list in rank order, for the chosen users or for all."""
+def recommendation_cases(recs: DataFrame, k: int, user_ids: Sequence | None = None, interactions: DataFrame | None = None,
+                         items: DataFrame | None = None, display_features: Sequence[str] = ()) -> DataFrame:
+    """Each user's list in rank order, for the chosen users or for all.
+
+    With `display_features` the named columns of `items` (one row per item) stand beside the list, one entry per rank, empty where
+    an item has none. With `interactions` the table also says how many different items the user has met before.
+    """
     top = recs.where(F.col("rank") <= k)
     if user_ids is not None:
         top = top.where(F.col("user").isin(list(user_ids)))
-    listed = F.sort_array(F.collect_list(F.struct("rank", "item")))  # at most k entries
-    return top.groupBy("user").agg(F.array_join(F.transform(listed, lambda x: x["item"].cast("string")), ",").alias("items"))
+    shown = list(display_features)
+    if shown:
+        top = top.join(items.select("item", *[F.col(c).cast("string").alias(c) for c in shown]), "item", "left")
+    listed = F.sort_array(F.collect_list(F.struct("rank", "item", *shown)))  # at most k entries
+
+    def joined(column: str) -> Column:
+        return F.array_join(F.transform("list", lambda x: F.coalesce(x[column].cast("string"), F.lit(""))), ",")
+
+    out = top.groupBy("user").agg(listed.alias("list")).select("user", joined("item").alias("items"), *[joined(c).alias(c) for c in shown])
+    if interactions is None:
+        return out
+    met = interactions.groupBy("user").agg(F.count_distinct("item").alias("n_interactions"))
+    return out.join(met, "user", "left").withColumn("n_interactions", F.coalesce("n_interactions", F.lit(0)))

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from tallyforge.operators.contract import Check, Contract, Field, GroupMean, policy_tier
+from tallyforge.operators.contract import Check, Contract, Field, GroupMean, contract_named, policy_tier
 from tallyforge.operators.split import exact_split
 from tallyforge.plans import fixtures as fx
 from tallyforge.plans.registry import query, table
@@ -247,3 +247,27 @@ def quarantine(spark, sf):
     counted = [spark.read.parquet(f"{folder}/{t}").agg(F.lit(t).alias("target"), F.count(F.lit(1)).alias("n_rows"))
                for t in ("valid", "quarantine")]
     return counted[0].unionByName(counted[1])
+
+
+_WORKOUT = """(select event_id as "User_ID", case when user_id % 7 = 0 then 'none' when user_id % 2 = 0 then 'male' else 'female' end as "Gender",
+  user_id as "Age", value as "Height", value / 2 as "Weight", value as "Duration", value / 2 as "Heart_Rate", 36.5::double as "Body_Temp" from events)"""
+
+
+@query("e20_workout_by_name", f"""
+with t as (select * from {_WORKOUT}), f as (
+  select 'User_ID' as "column", 'in_range' as check_rule, count(*) as n from t where "User_ID" < 1
+  union all select 'Gender', 'isin', count(*) from t where "Gender" not in ('male', 'female', 'other')
+  union all select 'Age', 'in_range', count(*) from t where "Age" not between 0 and 200
+  union all select 'Height', 'in_range', count(*) from t where "Height" not between 40 and 255
+  union all select 'Weight', 'in_range', count(*) from t where "Weight" not between 2 and 300
+  union all select 'Duration', 'in_range', count(*) from t where "Duration" not between 0 and 300
+  union all select 'Heart_Rate', 'in_range', count(*) from t where "Heart_Rate" not between 40 and 220)
+select * from f where n > 0""")
+def workout_by_name(spark, sf):
+    """The registered workout contract, looked up by its name, over event rows in the shape of measurements."""
+    events = table(spark, sf, "events")
+    gender = F.when(F.col("user_id") % 7 == 0, "none").when(F.col("user_id") % 2 == 0, "male").otherwise("female")
+    rows = events.select(F.col("event_id").alias("User_ID"), gender.alias("Gender"), F.col("user_id").alias("Age"), F.col("value").alias("Height"),
+                         (F.col("value") / 2).alias("Weight"), F.col("value").alias("Duration"), (F.col("value") / 2).alias("Heart_Rate"),
+                         F.lit(36.5).alias("Body_Temp"))
+    return contract_named("workout_input").failures(rows).groupBy("column", "check_rule").agg(F.count(F.lit(1)).alias("n"))

@@ -93,6 +93,14 @@ def value_drift(spark, sf):
     return scores.withColumn("score", F.round("score", 6))
 
 
+@query("f12_selected_columns", f"""
+select "column", kind, method, round(score, 6) as score, threshold, drifted from {_F2} where "column" in ('o_orderkey', 'o_orderstatus')""")
+def selected_columns(spark, sf):
+    options = DriftOptions(per_column_method=_OPTIONS.per_column_method, per_column_threshold=_OPTIONS.per_column_threshold,
+                           selected=("o_orderkey", "o_orderstatus"))
+    return drift.value_drift(*_orders(spark, sf), _ROLES, options).withColumn("score", F.round("score", 6))
+
+
 @query("f10_dataset_drift", f"""
 select count(*) as number_of_columns, count(*) filter (where drifted) as number_of_drifted_columns,
        round(count(*) filter (where drifted) / count(*)::double, 6) as drift_share, 0.5::double as threshold,

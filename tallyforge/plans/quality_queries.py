@@ -224,6 +224,39 @@ def suite_stability(spark, sf):
     return quality.run_suite(found, "stability").withColumn("value", F.round("value", 6))
 
 
+_STATUS = "case when (op = '<' and value < bound) or (op = '>' and value > bound) or (op = '>=' and value >= bound) or (op = '==' and value = bound) then 'SUCCESS' else 'FAIL' end"
+
+
+def _judged_sql(rules):
+    return f"""select metric, '' as "column", round(value, 6) as value, op, round(bound, 6) as bound, {_STATUS} as status from ({rules})"""
+
+
+def _judged(found, name):
+    return quality.run_suite(found, name).withColumns({c: F.round(c, 6) for c in ("value", "bound")})
+
+
+@query("f29_suite_regression", f"""
+with m as (select avg(abs({_ERR})) as mae, sqrt(avg({_ERR} * {_ERR})) as rmse, 1 - avg({_ERR} * {_ERR}) / var_pop(l_extendedprice) as r2,
+                  stddev_pop(l_extendedprice) as dummy from lineitem),
+     d as (select avg(abs(l_extendedprice - (select quantile_cont(l_extendedprice, 0.5) from lineitem))) as dummy from lineitem)
+{_judged_sql("select 'rmse' as metric, rmse as value, '<' as op, dummy as bound from m union all select 'mae', mae, '<', d.dummy from m, d "
+             "union all select 'r2_score', r2, '>', 0 from m")}""")
+def suite_regression(spark, sf):
+    rows = _predicted(spark, sf)
+    return _judged(quality.long_metrics(quality.regression_quality(rows, "target", "prediction")).unionByName(
+        quality.long_metrics(quality.dummy_regression(rows, "target"))), "regression")
+
+
+@query("f29_suite_quality", f"""
+with k as (select l_quantity, l_returnflag, l_tax, count(*) as n from lineitem group by all)
+{_judged_sql("select 'dataset_missing_share' as metric, 0.0::double as value, '<' as op, 0.1::double as bound "
+             "union all select 'duplicate_rows', (select sum(n) - count(*) from k)::double, '==', 0 "
+             "union all select 'constant_columns', (select (count(distinct l_quantity) < 2)::int + (count(distinct l_returnflag) < 2)::int + "
+             "(count(distinct l_tax) < 2)::int from k)::double, '==', 0")}""")
+def suite_quality(spark, sf):
+    return _judged(quality.table_metrics(table(spark, sf, "lineitem").select("l_quantity", "l_returnflag", "l_tax")), "quality")
+
+
 # --- recommendations ---------------------------------------------------------------------------------
 
 K = 10
@@ -358,6 +391,32 @@ def rec_cases(spark, sf):
     return recsys.recommendation_cases(_recsys(spark, sf)[3], K)
 
 
+@query("f28_display_features", f"""
+with {_RECS}, n as (select "user", count(distinct item) as n_interactions from inter group by 1)
+select "user", string_agg(cast(item as varchar), ',' order by rank) as items, string_agg(p_brand, ',' order by rank) as p_brand,
+       string_agg(cast(p_size as varchar), ',' order by rank) as p_size, coalesce(any_value(n_interactions), 0) as n_interactions
+from recs join part on item = p_partkey left join n using ("user") where "user" % 3 = 0 group by 1""")
+def display_features(spark, sf):
+    interactions, _, part, recs = _recsys(spark, sf)
+    users = recs.where(F.col("user") % 3 == 0)
+    return recsys.recommendation_cases(users, K, None, interactions, part, ["p_brand", "p_size"])
+
+
+@query("f29_suite_recsys", f"""
+with {_RECS},
+hits as (select r."user", r.rank from recs r join relevant v on r."user" = v."user" and r.item = v.item),
+h as (select "user", count(*)::double as hits, sum(1 / log2(rank + 1.0::double)) as dcg from hits group by 1),
+ideal as (select n, sum(1 / log2(i + 1.0::double)) as idcg from range(1, {K + 1}) a(n), range(1, {K + 1}) b(i) where i <= n group by n),
+u as (select coalesce(hits, 0) as hits, n_relevant, coalesce(dcg / idcg, 0) as ndcg
+      from (select "user", count(*) as n_relevant from relevant group by 1) x left join h using ("user") join ideal on n = least(n_relevant, {K})),
+m as (select avg(hits / {K}) as p, avg(hits / n_relevant) as r, avg(ndcg) as g, avg((hits > 0)::int) as h from u)
+{_judged_sql("select 'precision_at_k' as metric, p as value, '>' as op, 0.0::double as bound from m union all select 'recall_at_k', r, '>', 0 from m "
+             "union all select 'ndcg_at_k', g, '>', 0 from m union all select 'hit_rate_at_k', h, '>', 0 from m")}""")
+def suite_recsys(spark, sf):
+    _, relevant, _, recs = _recsys(spark, sf)
+    return _judged(quality.long_metrics(recsys.ranking_quality(recs, relevant, K)), "recsys")
+
+
 # --- test suites and history -----------------------------------------------------------------------------
 
 def _metrics(spark, sf):
@@ -421,6 +480,22 @@ def test_suite_summary(spark, sf):
     return quality.summarize_tests(quality.run_tests(_metrics(spark, sf), _SUITE))
 
 
+_SHARE_RULE = "select 'dataset_drift_share' as metric, (select value from s where metric = 'dataset_drift_share') as value, '<' as op, 0.5::double as bound"
+
+
+@query("f29_suite_drift", f"""with s as (select * from {_suite_sql()}) {_judged_sql(_SHARE_RULE)}""")
+def suite_drift(spark, sf):
+    return _judged(_metrics(spark, sf), "drift")
+
+
+@query("f29_suite_no_target", f"""
+with s as (select * from {_suite_sql()})
+{_judged_sql(_SHARE_RULE + " union all select 'dataset_missing_share', 0.0, '<', 0.1 union all select 'row_count_ratio', "
+             "(select max(value) from s where metric = 'row_count_ratio'), '>=', 0.9")}""")
+def suite_no_target(spark, sf):
+    return _judged(_metrics(spark, sf), "no_target")
+
+
 @query("f30_metric_row", f"""
 with t as (select * from {_suite_sql()})
 select timestamp '2024-02-01' as run_ts, max(value) filter (where metric = 'dataset_drift_share') as dataset_drift_share,
@@ -444,6 +519,20 @@ def latest_metrics(spark, sf):
     return quality.latest_metrics(spark.read.parquet(path))
 
 
+@query("f31_score_lines", """
+with runs as (select date_trunc('day', ts) as run_ts, event_type as "column", avg(value) as value from events
+              where event_type <> 'signup' or ts < timestamp '2024-01-10' group by 1, 2)
+select "column", run_ts, round(value, 6) as value, round(value - lag(value) over (partition by "column" order by run_ts), 6) as change
+from runs where "column" in ('view', 'click', 'signup')""")
+def score_lines(spark, sf):
+    """A history with one run a day, one type of which is no longer measured after some runs, as lines per column."""
+    events, path = table(spark, sf, "events"), scratch_path(spark, "history")
+    kept = events.where((F.col("event_type") != "signup") | (F.col("ts") < F.lit("2024-01-10").cast("timestamp_ntz")))
+    daily = kept.groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("run_ts"), F.col("event_type").alias("column")).agg(F.avg("value").alias("value"))
+    daily.select("run_ts", F.lit("mean_value").alias("metric"), "column", "value").write.parquet(path)
+    return _rounded(quality.metric_lines(spark.read.parquet(path), "mean_value", ["view", "click", "signup"]))
+
+
 # --- text --------------------------------------------------------------------------------------------------
 
 @query("f32_text_profile", r"""

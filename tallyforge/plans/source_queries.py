@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from tallyforge.operators.prep import TabularPreprocessor
 from tallyforge.operators.split import exact_split
 from tallyforge.plans import fixtures as fx
 from tallyforge.plans.registry import query, table
@@ -135,6 +136,37 @@ def ingest_report(spark, sf):
     return spark.read.schema(report.schema).json(path)
 
 
+@query("a13_validation_report", f"""
+with f as (select split, count(*) as n, cast(sum(cast(o_orderstatus not in ('F', 'O') as int) + cast(not (o_totalprice between 1000 and 450000) as int)) as bigint) as e
+           from {fx.SPLIT_ORDERS} group by split)
+select case when max(e) > 0 then 'FAILED' else 'PASSED' end as status, sum(n)::bigint as total_records, sum(e)::bigint as error_count,
+       coalesce(sum(e) filter (where split = 'train'), 0)::bigint as train_errors, coalesce(sum(e) filter (where split = 'val'), 0)::bigint as val_errors,
+       coalesce(sum(e) filter (where split = 'test'), 0)::bigint as test_errors from f""")
+def validation_report(spark, sf):
+    from tallyforge.plans.contract_queries import _ORDER_CONTRACT
+
+    report = writers.validation_report(_ORDER_CONTRACT.split_gate(exact_split(table(spark, sf, "orders"), "o_orderkey")))
+    path = scratch_path(spark, "report")
+    writers.write_report(report, path)
+    return spark.read.schema(report.schema).json(path)
+
+
+@query("a13_transformation_report", f"""
+select count(*) filter (where split = 'train') as train_rows, count(*) filter (where split = 'val') as val_rows,
+       count(*) filter (where split = 'test') as test_rows, count(*) filter (where o_orderpriority = '5-LOW') as missing_o_orderstatus,
+       1 + (select count(distinct o_orderstatus) from orders) as feature_count,
+       'numerical__o_custkey,' || (select string_agg('categorical__o_orderstatus_' || s, ',' order by s) from (select distinct o_orderstatus as s from orders)) as feature_names,
+       'o_orderkey' as dropped_identifier from {fx.SPLIT_ORDERS}""")
+def transformation_report(spark, sf):
+    parts = exact_split(fx.order_gaps(spark, sf), "o_orderkey")
+    config = {"categorical": {"encoder": {"type": "onehot", "handle_unknown": "ignore"}}}
+    model = TabularPreprocessor(numerical=["o_custkey"], categorical=["o_orderstatus"], config=config).fit(parts.where(F.col("split") == "train"))
+    report = writers.transformation_report(parts, model.feature_names(), "o_orderkey", ["o_orderstatus"])
+    path = scratch_path(spark, "report")
+    writers.write_report(report, path)
+    return spark.read.schema(report.schema).json(path)
+
+
 @query("a16_flatten", """
 select 'event_' || event_type as metric_name, avg_k as "value.mean", n as "value.count" from (
   select event_type, round(avg(cast(json_extract(props, '$.k') as bigint)), 6) as avg_k, count(*) as n

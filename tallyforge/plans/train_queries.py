@@ -8,7 +8,7 @@ from tallyforge.operators.split import exact_split
 from tallyforge.plans.drift_queries import _rounded
 from tallyforge.plans.registry import query, table
 from tallyforge.session import scratch_path
-from tallyforge.sources.writers import export_splits
+from tallyforge.sources.writers import export_splits, training_report
 
 _KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"]
 _NUM = ["l_extendedprice", "l_discount", "l_tax", "l_quantity"]
@@ -105,6 +105,23 @@ def best_trial(spark, sf):
     return train.best_trials(_search(spark, sf).trials)
 
 
+@query("g19_own_metric", f"""
+with t as (select l_extendedprice / 1000 as x, {_CHARGE} / 1000 as y from lineitem), m as (select avg(x) as mx, avg(y) as my from t),
+s as (select sum((x - mx) * (y - my)) / (sum((x - mx) * (x - mx)) + 50.0) as slope, max(mx) as mx, max(my) as my from t, m)
+select 'run' as run_id, 'largest_gap' as metric, 'minimize' as direction, round(max(abs(y - (s.my - slope * s.mx + slope * x))), 4) as best_score,
+       'ridge' as model_type, 2::bigint as total, 2::bigint as completed, 2::bigint as n_reported, count(*) as train_rows from t, s""")
+def own_metric(spark, sf):
+    """A search by a metric of the caller's own, and its report."""
+    lines = _lines(spark, sf).select((F.col("l_extendedprice") / 1000).alias("x"), (F.col("charge") / 1000).alias("y"))
+    data = VectorAssembler(inputCols=["x"], outputCol="features").transform(lines)
+    gap = lambda df, label, said: df.agg(F.max(F.abs(F.col(label) - F.col(said)))).first()[0]
+    found = train.search(spark, data, data, "y", n_trials=2, model="ridge", space={"ridge": {"alpha": ("real", 50.0, 50.0)}}, metrics=[],
+                         own_metrics={"largest_gap": ("minimize", gap)})
+    report = training_report(train.best_trials(found.trials), data, data, 1)
+    return report.select("run_id", "metric", "direction", F.round("best_score", 4).alias("best_score"), "model_type", "total", "completed",
+                         F.lit(found.trials.count()).cast("long").alias("n_reported"), "train_rows")
+
+
 def _pipeline(spark, sf):
     parts = _split_lines(spark, sf)
     prep = TabularPreprocessor(numerical=_NUM, categorical=["l_returnflag"], config=_PREP)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyforge.functions.columns import is_missing
 from tallyforge.sources.readers import path_exists, read_csv
 
 log = logging.getLogger(__name__)
@@ -122,6 +123,28 @@ def ingest_report(df: DataFrame, key: list[str], split: str = "split") -> DataFr
     return df.agg(F.count(F.lit(1)).alias("total_rows"), F.lit(features).cast("long").alias("feature_count"), *sizes)
 
 
+def validation_report(gate: DataFrame) -> DataFrame:
+    """One row from the table of a split gate: the overall status, all records and failures, and the failures of each split."""
+    sizes = [F.coalesce(F.sum(F.when(F.col("split") == s, F.col("error_count"))), F.lit(0)).alias(f"{s}_errors") for s in ("train", "val", "test")]
+    return gate.agg(F.coalesce(F.max("overall_status"), F.lit("FAILED")).alias("status"), F.sum("total_records").alias("total_records"),
+                    F.sum("error_count").alias("error_count"), *sizes)
+
+
+def transformation_report(raw: DataFrame, features: list[str], dropped: str | None, missing: list[str], split: str = "split") -> DataFrame:
+    """One row: shape of each split after preparation, the names of its features, missing cells before it, and the identifier left out."""
+    sizes = [F.count_if(F.col(split) == s).alias(f"{s}_rows") for s in ("train", "val", "test")]
+    holes = [F.count_if(is_missing(raw, c)).alias(f"missing_{c}") for c in missing]
+    return raw.agg(*sizes, *holes).select("*", F.lit(len(features)).cast("long").alias("feature_count"),
+                                          F.lit(",".join(features)).alias("feature_names"), F.lit(dropped).cast("string").alias("dropped_identifier"))
+
+
+def training_report(best: DataFrame, train: DataFrame, val: DataFrame, features: int) -> DataFrame:
+    """One row per metric of a search: its best score, model and parameters, trial counts, and the sizes of the data."""
+    rows = [df.agg(F.count(F.lit(1)).alias(f"{name}_rows")) for name, df in (("train", train), ("validation", val))]
+    sizes = rows[0].join(rows[1], F.lit(True))  # one row each
+    return best.join(sizes, F.lit(True)).withColumn("feature_count", F.lit(features).cast("long"))
+
+
 def write_report(report: DataFrame, path: str) -> None:
     """Small report as JSON lines."""
     report.coalesce(1).write.mode("overwrite").json(path)
