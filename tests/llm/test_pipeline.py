@@ -44,14 +44,17 @@ def test_run_equals_the_stages(spark, sf, steps):
         map(str, steps[-1].select("doc_id", "text").collect()))
 
 
-def test_the_rest_works_without_the_subpackage(tmp_path):
-    """A copy without the subpackage and the pipeline still lists the other queries."""
+@pytest.mark.parametrize("with_pipeline", [False, True])
+def test_the_rest_works_without_the_subpackage(tmp_path, with_pipeline):
+    """A copy without the subpackage and its tests, with and without the pipeline, still lists the other queries."""
     import pathlib
     import subprocess
     import sys
 
     home = pathlib.Path(corpus_pipeline.__file__).parent
-    shutil.copytree(home / "tallyforge", tmp_path / "tallyforge", ignore=shutil.ignore_patterns("llm", "__pycache__"))
-    shutil.copy(home / "__spark_entry__.py", tmp_path)
+    for folder in ("tallyforge", "tests"):
+        shutil.copytree(home / folder, tmp_path / folder, ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ("__spark_entry__.py", *(["corpus_pipeline.py"] if with_pipeline else [])):
+        shutil.copy(home / name, tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 100 and 'pipeline' not in q; e.oracle_sql()"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)
