@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tallyforge.llm.common import pick, stored
 
@@ -126,7 +127,7 @@ def format_conversations(turns: DataFrame, tokenizer: str, key: str = "conv_id",
     s = settings
     rows = pick(turns, key, turn, role, text).select(
         F.col(key).alias("conv"), F.col(turn).alias("turn"), F.coalesce(role, F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
-    kind = rows.schema["conv"].dataType.simpleString()
+    kind, key_type = rows.schema["conv"].dataType.simpleString(), to_arrow_type(rows.schema["conv"].dataType)
     short, long = ordered_turns(rows, s.whole_bytes)
 
     def formatted(whole: bool):
@@ -139,10 +140,10 @@ def format_conversations(turns: DataFrame, tokenizer: str, key: str = "conv_id",
                 ready.append((conv, *render(said, s.learned)))
                 size += len(ready[-1][1])
                 if size >= s.batch_chars:
-                    yield packed_rows(ready, encode, whole, number)
+                    yield packed_rows(ready, encode, whole, number, key_type)
                     number, ready, size = number + len(ready), [], 0
             if ready:
-                yield packed_rows(ready, encode, whole, number)
+                yield packed_rows(ready, encode, whole, number, key_type)
         return work
 
     schema = f"conv {kind}, {FORMATTED}"
@@ -167,7 +168,7 @@ def runs(batches: Iterable[pa.RecordBatch], most: int | None) -> Iterator[tuple[
         yield conv, turns
 
 
-def packed_rows(ready: list, encode: Encoder, whole: bool, number: int) -> pa.RecordBatch:
+def packed_rows(ready: list, encode: Encoder, whole: bool, number: int, key_type: pa.DataType) -> pa.RecordBatch:
     encoded = encode([text for _, text, _ in ready])
     masks = [token_mask(spans, offsets) for (_, _, spans), (_, offsets) in zip(ready, encoded)]
     ends = np.cumsum([0, *[len(ids) for ids, _ in encoded]]).astype(np.int32)
@@ -177,7 +178,7 @@ def packed_rows(ready: list, encode: Encoder, whole: bool, number: int) -> pa.Re
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
 
     return pa.RecordBatch.from_arrays([
-        pa.array([conv for conv, _, _ in ready]), pa.array([0] * len(ready) if whole else range(number, number + len(ready)), pa.int64()),
+        pa.array([conv for conv, _, _ in ready], key_type), pa.array([0] * len(ready) if whole else range(number, number + len(ready)), pa.int64()),
         pa.array([text for _, text, _ in ready]), lists(np.concatenate([ids for ids, _ in encoded])),
         lists(np.ascontiguousarray(offsets[:, 0])), lists(np.ascontiguousarray(offsets[:, 1])), lists(np.concatenate(masks))],
         names=["conv", "piece", "formatted", "token_ids", "token_starts", "token_ends", "loss_mask"])
@@ -216,9 +217,13 @@ def read_back(formatted: DataFrame, key: str = "conv_id") -> DataFrame:
     mask without its escapes. Rows that hold a whole conversation are read where they are; pieces of long ones are brought
     together in order and streamed through the digests, a batch at a time.
     """
-    kind = formatted.schema[key].dataType.simpleString()
+    kind, key_type = formatted.schema[key].dataType.simpleString(), to_arrow_type(formatted.schema[key].dataType)
     schema = (f"`{key}` {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
+    def rows_of(done: list[tuple]) -> pa.RecordBatch:
+        first, *rest = zip(*done)
+        return pa.RecordBatch.from_arrays([pa.array(first, key_type), *map(pa.array, rest)], names=names)
+
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         conv, open_digest, done = None, None, []
         for batch in batches:
@@ -234,10 +239,10 @@ def read_back(formatted: DataFrame, key: str = "conv_id") -> DataFrame:
                     done.append((conv, *open_digest.row()))
                     open_digest = None
             if done:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done)], names=names)
+                yield rows_of(done)
                 done = []
         if open_digest is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([v]) for v in (conv, *open_digest.row())], names=names)
+            yield rows_of([(conv, *open_digest.row())])
 
     names = [key, "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
     narrow = formatted.select(key, "piece", "last", "formatted", "token_starts", "token_ends", "loss_mask")
