@@ -17,6 +17,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.operators.ranks import range_count
 from tallyforge.session import scratch_path
 
 #: Bins of a feature; a bin is one byte.
@@ -29,6 +30,8 @@ TASK_ROWS = 100_000
 SMALL_ROWS = 50_000
 #: Cells (node, feature, bin) that a task gathers before it passes them on.
 CELLS = 1 << 18
+#: Cells of the histograms that a node grown out in one task holds at once.
+DENSE_CELLS = 1 << 21
 FOUND = "model int, node int, feature int, cut int, gain double, left_sum double, left_n double, sum double, n double"
 
 
@@ -218,6 +221,21 @@ def worth(gain: float, sums: float) -> bool:
     return gain > 1e-12 * max(1.0, sums**2)
 
 
+def dense_splits(sums: np.ndarray, counts: np.ndarray, plan: Plan) -> Iterator[list]:
+    """Per node of histograms (node, column, bin) the split that `best_splits` gives: column, cut, gain, and sums and rows left and whole."""
+    left_sum, left_n = sums.cumsum(axis=2), counts.cumsum(axis=2)
+    whole_sum, whole_n = left_sum[:, :, -1:], left_n[:, :, -1:]
+    right_sum, right_n = whole_sum - left_sum, whole_n - left_n
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = 0.5 * (left_sum**2 / (left_n + plan.penalty) + right_sum**2 / (right_n + plan.penalty) - whole_sum**2 / (whole_n + plan.penalty))
+    least = max(plan.min_rows, 1)
+    gain[(left_n < least) | (right_n < least) | ~np.isfinite(gain)] = 0
+    best = gain.reshape(len(gain), -1).argmax(axis=1)
+    node, column, cut = np.arange(len(gain)), best // gain.shape[2], best % gain.shape[2]
+    return (x.tolist() for x in (column, cut, gain[node, column, cut], left_sum[node, column, cut], left_n[node, column, cut],
+                                 whole_sum[node, column, 0], whole_n[node, column, 0]))
+
+
 def grown_out(bins: np.ndarray, pull: np.ndarray, columns: Sequence[int], depth: int, plan: Plan) -> Tree:
     """The tree of up to `depth` levels over rows that are all here, by the same histograms and splits."""
     tree, open_nodes = Tree(), [0]
@@ -226,15 +244,14 @@ def grown_out(bins: np.ndarray, pull: np.ndarray, columns: Sequence[int], depth:
         slot_of = np.full(len(tree.feature), -1)
         slot_of[open_nodes] = np.arange(len(open_nodes))
         slot = slot_of[tree.nodes(bins)]
-        use = np.flatnonzero(slot >= 0)
-        sums, counts = histogram_cells(bins[use], pull[use], slot[use], len(open_nodes), columns)
-        at, column, cell = np.nonzero(counts)
-        found = best_splits(np.zeros(len(at), np.int64), np.array(open_nodes)[at], np.array(columns)[column], cell, sums[at, column, cell],
-                            counts[at, column, cell], np.array([plan.penalty]), np.array([plan.min_rows]))
-        grown: list[int] = []
-        for _, node, feature, cut, gain, left_sum, left_n, whole, n in zip(*(x.tolist() for x in found)):
-            if worth(gain, whole):
-                grown += tree.split(node, feature, cut, (leaf_value(plan, left_sum, left_n), leaf_value(plan, whole - left_sum, n - left_n)))
+        step, grown = max(1, DENSE_CELLS // (len(columns) * BINS)), []
+        for low in range(0, len(open_nodes), step):
+            some = open_nodes[low:low + step]
+            use = np.flatnonzero((slot >= low) & (slot < low + step))
+            sums, counts = histogram_cells(bins[use], pull[use], slot[use] - low, len(some), columns)
+            for node, column, cut, gain, left_sum, left_n, whole, n in zip(some, *dense_splits(sums, counts, plan)):
+                if worth(gain, whole):
+                    grown += tree.split(node, columns[column], cut, (leaf_value(plan, left_sum, left_n), leaf_value(plan, whole - left_sum, n - left_n)))
         open_nodes = grown
         if not open_nodes:
             break
@@ -485,7 +502,9 @@ class Booster:
                              pa.array([tree.cut], pa.list_(pa.int32())), pa.array([tree.left], pa.list_(pa.int32())), pa.array([tree.value])],
                             names=["model", "node", "feature", "cut", "left", "value"])
 
-        rows = self.written.mapInArrow(sent, kind).groupBy("model", "node").applyInArrow(
+        # As many tasks as there are nodes, so that those of several models grow side by side.
+        spread = max(1, min(sum(len(m.small) for m in models), range_count(self.base)))
+        rows = self.written.mapInArrow(sent, kind).repartition(spread, "model", "node").groupBy("model", "node").applyInArrow(
             grown, "model int, node int, feature array<int>, cut array<int>, left array<int>, value array<double>")
         errors: dict[int, dict[int, float]] = {}
         for r in rows.collect():  # one row a small node, as long as its tree
