@@ -1,84 +1,35 @@
 """Exact nearest-neighbour imputation without comparing all rows.
 
-Donors are cut into boxes by a k-d tree over a sample. Every row to fill searches its own
-box first; the distance of its k-th donor then tells which other boxes can still hold a
-nearer one, and only those are searched. Equal rows to fill are searched once, of equal
-donors only the first k can matter, and crowded boxes are shared out over several tasks.
+Donors are cut into boxes level by level: grouped quantiles of every box find its cuts, in Spark, and the cuts and the
+boxes' bounds stay tables. Every row to fill searches its own box first; the distance of its k-th donor then tells which
+other boxes can still hold a nearer one, and only those are searched, walking down from the whole table through joins of
+boxes with their parts. A row whose own box holds fewer than k donors takes the furthest corner of the smallest box
+around it that holds k. Equal rows to fill are searched once, of equal donors only the first k can matter, and both the
+rows and the donors of a crowded box are shared out over several tasks, whose best k are merged.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions.columns import is_missing, quoted
 from tallyforge.session import checkpoint_root
 
 BOX_ROWS = 20_000
-SAMPLE_PER_BOX = 32
+FAN_OUT = 16
 CELLS_AT_ONCE = 4_000_000
 HITS = "combo int, qid string, d2 double, donor string, y double"
 NO_HITS = pd.DataFrame({"combo": pd.Series(dtype="int32"), "qid": pd.Series(dtype=object), "d2": pd.Series(dtype=float),
                         "donor": pd.Series(dtype=object), "y": pd.Series(dtype=float)})
 
 
-def middle_cut(values: np.ndarray) -> float:
-    """The median, or the largest value under it where nothing lies above it, so that both sides hold some of unequal values."""
-    cut = np.median(values)
-    below = values[values < cut]
-    return float(below.max()) if len(below) and not (values > cut).any() else float(cut)
-
-
-@dataclass(frozen=True)
-class Tree:
-    """Complete binary tree in heap order: split dimension and cut of every inner node."""
-    dims: np.ndarray
-    cuts: np.ndarray
-    depth: int
-
-    @staticmethod
-    def build(points: np.ndarray, depth: int) -> "Tree":
-        inner = 2 ** depth - 1
-        dims, cuts = np.zeros(inner, dtype=int), np.zeros(inner)
-        groups = {0: points}
-        for node in range(inner):
-            part = groups.pop(node)
-            if len(part):
-                dims[node] = int(np.argmax(part.max(axis=0) - part.min(axis=0)))
-                cuts[node] = middle_cut(part[:, dims[node]])
-            above = part[:, dims[node]] > cuts[node]
-            groups[2 * node + 1], groups[2 * node + 2] = part[~above], part[above]
-        return Tree(dims, cuts, depth)
-
-    def leaf(self, x: np.ndarray) -> np.ndarray:
-        node = np.zeros(len(x), dtype=int)
-        for _ in range(self.depth):
-            node = 2 * node + 1 + (x[np.arange(len(x)), self.dims[node]] > self.cuts[node])
-        return node - (2 ** self.depth - 1)
-
-    def leaves_within(self, x: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, leaf) for every box no further than the row's squared limit."""
-        row, node = np.arange(len(x)), np.zeros(len(x), dtype=int)
-        off = np.zeros_like(x)
-        for _ in range(self.depth):
-            dim = self.dims[node]
-            gap = x[row, dim] - self.cuts[node]
-            near = 2 * node + 1 + (gap > 0)
-            far = 2 * node + 1 + (gap <= 0)
-            moved = off.copy()
-            moved[np.arange(len(row)), dim] = gap
-            reach = (moved * moved).sum(axis=1) <= limit[row]
-            row = np.concatenate([row, row[reach]])
-            node = np.concatenate([near, far[reach]])
-            off = np.concatenate([off, moved[reach]])
-        return row, node - (2 ** self.depth - 1)
-
-
 @dataclass(frozen=True)
 class Combo:
     """Rows that miss `target` and know `known`, against donors of one pattern; `shared` are their common features."""
@@ -153,40 +104,38 @@ def _combos(features: list[str], have: list[int], given: list[int]) -> list[Comb
     return out
 
 
-def _points(df: DataFrame, combos: list[Combo], which: str, extra: list) -> DataFrame:
+def _combo_table(spark, combos: list[Combo], features: list[str]) -> DataFrame:
+    """One row per combo: which rows and donors it joins, the places of their common features, the scale of its distances."""
+    rows = [(i, c.pattern, c.donor_pattern, c.target, [features.index(s) for s in c.shared], len(features) / len(c.shared))
+            for i, c in enumerate(combos)]
+    return spark.createDataFrame(rows, "combo int, pattern int, donor_pattern int, target string, shared array<int>, scale double")
+
+
+def _points(df: DataFrame, combos: DataFrame, which: str, features: list[str], *extra: Column) -> DataFrame:
     """One row per (row, combo) with the coordinates both sides know."""
-    items = [F.when(F.col("__pattern") == getattr(c, which), F.struct(
-        F.lit(i).alias("combo"), F.array(*[F.col(quoted(s)) for s in c.shared]).alias("x"),
-        F.col(quoted(c.target)).alias("y"))) for i, c in enumerate(combos)]
-    return df.select(*extra, F.inline(F.array_compact(F.array(*items))))
+    known = df.select("__pattern", F.array(*[F.col(quoted(f)) for f in features]).alias("__all"), *extra)
+    value = F.element_at(F.create_map(*[v for i, f in enumerate(features) for v in (F.lit(f), F.get("__all", i))]), F.col("target"))
+    return known.join(combos, F.col("__pattern") == F.col(which)).select(
+        "combo", F.transform("shared", lambda i: F.get("__all", i)).alias("x"), value.alias("y"),
+        *[c for c in known.columns if not c.startswith("__")])
 
 
 def _fill(typed, known, combos, features, k, weights, box_rows):
-    queries = (_points(typed, combos, "pattern", [_qid(features).alias("qid")])
+    combos = _combo_table(typed.sparkSession, combos, features)
+    scales = combos.select("combo", "scale")
+    queries = (_points(typed, combos, "pattern", features, _qid(features).alias("qid"))
                .groupBy("combo", "qid").agg(F.any_value("x").alias("x")))
     first = Window.partitionBy("combo", "x").orderBy("donor")
-    pool = (_points(known, combos, "donor_pattern", [F.col("donor")])
+    pool = (_points(known, combos, "donor_pattern", features, F.col("donor"))
             .withColumn("__n", F.row_number().over(first)).where(F.col("__n") <= k).drop("__n")).checkpoint()
-    sizes = {r["combo"]: r["count"] for r in pool.groupBy("combo").count().collect()}
-    trees = _trees(pool, sizes, box_rows)
-    scale = {i: len(features) / len(c.shared) for i, c in enumerate(combos)}
-
-    placed = _route(pool, trees, "donor string, combo int, x array<double>, y double, leaf int")
-    own = _route(queries, trees, "combo int, qid string, x array<double>, leaf int")
-    near = _search(own, placed, k, scale, box_rows)
-    if max(t.depth for t in trees.values()) == 0:
-        best = near
-    else:
-        near = near.checkpoint()
-        reach = near.groupBy("combo", "qid").agg(F.count(F.lit(1)).alias("n"), F.max("d2").alias("d2"))
-        asked = own.join(reach, ["combo", "qid"], "left").select(
-            "combo", "qid", "x", "leaf", F.when(F.col("n") >= k, F.col("d2")).alias("limit"))
-        more = _search(_spread(asked, trees, scale), placed, k, scale, box_rows)
-        best = near.unionByName(more)
-    label = F.create_map(*[F.lit(v) for i, c in enumerate(combos) for v in (i, f"{c.pattern}|{c.target}")])
+    placed, levels = _boxes(pool, box_rows)
+    own = _own_box(queries, levels).checkpoint()
+    near = _search(own, placed, scales, k, box_rows).checkpoint()
+    asked = _limits(own, near, levels, scales, k)
+    best = reduce(DataFrame.unionByName, [near] + [_search(o, placed, scales, k, box_rows) for o in _others(asked, levels)])
+    slots = combos.select("combo", F.concat_ws("|", "pattern", "target").alias("slot"))
     order = Window.partitionBy("slot", "qid").orderBy("d2", "donor")
-    top = (best.withColumn("slot", label[F.col("combo")])
-           .withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= k))
+    top = best.join(slots, "combo").withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= k)
     y = F.avg("y")
     if weights == "distance":
         inverse = F.when(F.col("d2") > 0, 1 / F.sqrt("d2"))
@@ -196,64 +145,117 @@ def _fill(typed, known, combos, features, k, weights, box_rows):
             .select(F.substring_index("slot", "|", -1).alias("target"), "qid", "y"))
 
 
-def _trees(pool: DataFrame, sizes: dict[int, int], box_rows: int) -> dict[int, Tree]:
-    """A tree per combo from a sample whose size follows the number of boxes."""
-    depths = {c: max(0, int(np.ceil(np.log2(max(1.0, n / box_rows))))) for c, n in sizes.items()}
-    trees = {c: Tree(np.zeros(0, dtype=int), np.zeros(0), 0) for c in sizes}
-    shares = {c: SAMPLE_PER_BOX * 2 ** d / sizes[c] for c, d in depths.items() if d}
-    if not shares:
-        return trees
-    share = F.create_map(*[F.lit(float(v)) if i else F.lit(c) for c, v in shares.items() for i in (0, 1)])[F.col("combo")]
-    unit = F.pmod(F.xxhash64("x", "donor"), F.lit(1_000_000)) / 1_000_000
-    points: dict[int, list] = {}
-    for r in pool.where(unit < share).select("combo", "x").collect():  # a few points per box
-        points.setdefault(r["combo"], []).append(r["x"])
-    for c, pts in points.items():
-        trees[c] = Tree.build(np.asarray(pts, dtype=float), depths[c])
-    return trees
-
-
-def _route(df: DataFrame, trees: dict[int, Tree], schema: str) -> DataFrame:
-    def place(batches):
-        for b in batches:
-            for combo, part in b.groupby("combo"):
-                x = np.asarray(part["x"].tolist(), dtype=float)
-                tree = trees.get(int(combo))
-                yield part.assign(leaf=tree.leaf(x) if tree is not None else 0)
-    return df.mapInPandas(place, schema)
-
-
-def _spread(asked: DataFrame, trees: dict[int, Tree], scale: dict[int, float]) -> DataFrame:
-    """A row per other box that can still hold a nearer donor."""
-    def place(batches):
-        for b in batches:
-            for combo, part in b.groupby("combo"):
-                x = np.asarray(part["x"].tolist(), dtype=float)
-                tree = trees.get(int(combo))
-                if tree is None:
-                    continue
-                limit = part["limit"].fillna(np.inf).to_numpy() / scale[int(combo)] * (1 + 1e-12)
-                row, leaf = tree.leaves_within(x, limit)
-                other = leaf != part["leaf"].to_numpy()[row]
-                out = part.iloc[row[other]][["combo", "qid", "x"]].assign(leaf=leaf[other])
-                if len(out):
-                    yield out
-    return asked.mapInPandas(place, "combo int, qid string, x array<double>, leaf int")
-
-
-def _search(queries: DataFrame, pool: DataFrame, k: int, scale: dict[int, float], box_rows: int) -> DataFrame:
-    """The k nearest donors of each query inside its box, nothing more leaves a task."""
-    loads = (queries.groupBy("combo", "leaf").agg(F.ceil(F.count(F.lit(1)) / box_rows).cast("int").alias("shares")))
-    salted_q = queries.join(loads, ["combo", "leaf"]).select(
-        "combo", "leaf", F.pmod(F.xxhash64("qid"), F.col("shares")).cast("int").alias("salt"), "qid", "x")
-    copies = loads.select("combo", "leaf", F.sequence(F.lit(0), F.col("shares") - 1).alias("salts"))
-    salted_d = pool.join(copies, ["combo", "leaf"]).select("combo", "leaf", F.explode("salts").alias("salt"), "donor", "x", "y")
-    box = ["combo", "leaf", "salt"]
+def _box_table(donors: DataFrame, box_rows: int) -> DataFrame:
+    """Every box with its rows, bounds, and the feature and values it is cut at (null: it stays whole).
+
+    A box is cut at its quantiles into as many parts as it holds `box_rows`, 16 at most, along the feature that offers
+    the most different quantiles, the widest of those. Cuts lie below the largest value, so no part is empty; a box whose
+    quantiles agree in every feature holds nearly equal donors and stays whole.
+    """
+    probs = [i / FAN_OUT for i in range(1, FAN_OUT)]
+    sides = (donors.select("combo", "node", F.posexplode("x").alias("dim", "v")).groupBy("combo", "node", "dim")
+             .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
+                  F.percentile_approx("v", probs).alias("q")))
+    parts = F.least(F.lit(FAN_OUT), F.ceil(F.col("n") / box_rows)).cast("int")
+    # the cuts between equal parts, below the top; where a value repeats, the next lower quantile cuts instead
+    below = F.array_distinct(F.filter("q", lambda c: c < F.col("hi")))
+    wanted = F.transform(F.sequence(F.lit(1), F.col("parts") - 1), lambda j: F.element_at("q", F.round(j * FAN_OUT / F.col("parts")).cast("int")))
+    cuts = F.when(F.size(F.array_distinct("q")) > 1, F.array_distinct(F.transform(
+        wanted, lambda w: F.coalesce(F.array_max(F.filter(F.col("below"), lambda c: c <= w)), F.get("below", 0)))))
+    sides = sides.withColumn("parts", parts).withColumn("below", below).withColumn("cuts", F.when(F.col("parts") > 1, cuts))
+    offer = F.when(F.col("cuts").isNotNull(), F.struct(
+        F.size("cuts").alias("many"), (F.col("hi") - F.col("lo")).alias("width"), (-F.col("dim")).alias("order"), "cuts"))
+    return (sides.groupBy("combo", "node")
+            .agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("dim", "lo", "hi"))).alias("bounds"), F.max(offer).alias("offer"))
+            .select("combo", "node", "n", "bounds", (-F.col("offer.order")).alias("dim"), F.col("offer.cuts").alias("cuts")))
+
+
+def _part(node: Column) -> Column:
+    """The box a point moves into: one hexadecimal digit per level says which part."""
+    return F.concat(node, F.lower(F.hex(F.size(F.filter("cuts", lambda c: c < F.get("x", F.col("dim")))))))
+
+
+def _boxes(pool: DataFrame, box_rows: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Donors with their final box, and one table of boxes per level; the driver learns only whether a level has cuts."""
+    open_rows, whole, levels = pool.withColumn("node", F.lit("")), [], []
+    while True:
+        boxes = _box_table(open_rows, box_rows).checkpoint()
+        levels.append(boxes)
+        if boxes.where(F.col("cuts").isNotNull()).isEmpty():
+            return reduce(DataFrame.unionByName, [*whole, open_rows]), levels
+        moved = open_rows.join(boxes.select("combo", "node", "dim", "cuts"), ["combo", "node"]).select(
+            *pool.columns, F.coalesce(_part(F.col("node")), F.col("node")).alias("node"), F.col("cuts").isNull().alias("__whole")).checkpoint()
+        whole.append(moved.where("__whole").drop("__whole"))
+        open_rows = moved.where(~F.col("__whole")).drop("__whole")
+
+
+def _own_box(queries: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    at = queries.withColumn("node", F.lit(""))
+    for boxes in levels[:-1]:
+        cut = boxes.where(F.col("cuts").isNotNull()).select("combo", "node", "dim", "cuts")
+        at = at.join(cut, ["combo", "node"], "left").select(
+            *queries.columns, F.coalesce(_part(F.col("node")), F.col("node")).alias("node"))
+    return at
+
+
+def _gap(x: str, bounds: str, nearest: bool) -> Column:
+    """Squared distance to the nearest point of a box, or to its furthest corner."""
+    def side(v: Column, b: Column) -> Column:
+        return F.greatest(b["lo"] - v, v - b["hi"], F.lit(0.0)) if nearest else F.greatest(v - b["lo"], b["hi"] - v)
+    return F.aggregate(F.zip_with(x, bounds, lambda v, b: side(v, b) * side(v, b)), F.lit(0.0), lambda total, g: total + g)
+
+
+def _limits(own: DataFrame, near: DataFrame, levels: list[DataFrame], scales: DataFrame, k: int) -> DataFrame:
+    """Rows with the distance beyond which no donor can matter: of their k-th hit, else of a box that holds k donors for sure."""
+    reach = near.withColumn("__n", F.row_number().over(Window.partitionBy("combo", "qid").orderBy("d2"))).where(F.col("__n") <= k)
+    reach = reach.groupBy("combo", "qid").agg(F.count(F.lit(1)).alias("n"), F.max("d2").alias("d2"))
+    asked = own.join(scales, "combo").join(reach, ["combo", "qid"], "left").select(
+        "combo", "qid", "x", "scale", F.col("node").alias("own"), F.when(F.col("n") >= k, F.col("d2")).alias("limit"))
+    around = reduce(DataFrame.unionByName, levels).where(F.col("n") >= k).select("combo", "node", "bounds")
+    short = (asked.where(F.col("limit").isNull())
+             .select("combo", "qid", "x", "scale", F.explode(F.transform(
+                 F.sequence(F.lit(0), F.length("own")), lambda i: F.substring(F.col("own"), F.lit(1), i))).alias("node"))
+             .join(around, ["combo", "node"])
+             .groupBy("combo", "qid").agg(F.min(_gap("x", "bounds", False) * F.col("scale")).alias("corner")))
+    return asked.join(short, ["combo", "qid"], "left").withColumn(
+        "limit", F.coalesce("limit", "corner", F.lit(float("inf"))) * (1 + 1e-9)).drop("corner")
+
+
+def _others(asked: DataFrame, levels: list[DataFrame]) -> list[DataFrame]:
+    """A row per other box that can still hold a nearer donor: one table, none where the whole table is one box."""
+    at, found = asked.withColumn("node", F.lit("")), []
+    for boxes in levels[1:]:
+        parts = boxes.select("combo", F.expr("left(node, length(node) - 1)").alias("node"), F.col("node").alias("part"), "bounds",
+                             F.col("cuts").isNull().alias("whole"))
+        at = (at.join(parts, ["combo", "node"]).where(_gap("x", "bounds", True) * F.col("scale") <= F.col("limit"))
+              .select(*asked.columns, F.col("part").alias("node"), "whole")).checkpoint()
+        found.append(at.where(F.col("whole") & (F.col("node") != F.col("own"))).select("combo", "qid", "x", "node"))
+        at = at.where(~F.col("whole")).drop("whole")
+    return [reduce(DataFrame.unionByName, found)] if found else []
+
+
+def _search(queries: DataFrame, pool: DataFrame, scales: DataFrame, k: int, box_rows: int) -> DataFrame:
+    """The k nearest donors of each query in every share of its box; nothing more leaves a task.
+
+    A box of many queries or many donors (near-equal ones that no cut divides) is dealt out by both: every share of the
+    queries meets every share of the donors, and who merges the hits takes the best k of all shares.
+    """
+    def shares(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("combo", "node").agg(F.ceil(F.count(F.lit(1)) / box_rows).cast("int").alias(name))
+    loads = shares(queries, "q_shares").join(shares(pool, "d_shares"), ["combo", "node"]).join(scales, "combo")
+
+    def dealt(df: DataFrame, key: str, mine: str, other: str, columns: list[str]) -> DataFrame:
+        salt = F.pmod(F.xxhash64(key), F.col(f"{mine}_shares")).cast("int").alias(mine)
+        copies = F.explode(F.sequence(F.lit(0), F.col(f"{other}_shares") - 1)).alias(other)
+        return df.join(loads, ["combo", "node"]).select("combo", "node", salt, copies, *columns)
+    box = ["combo", "node", "q", "d"]
+    left = dealt(queries, "qid", "q", "d", ["qid", "x", "scale"])
+    right = dealt(pool, "donor", "d", "q", ["donor", "x", "y"])
+    right = right.toDF(*right.columns)  # columns of its own: both sides come from one table of loads
 
     def nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return NO_HITS
-        factor = scale[int(left["combo"].iloc[0])]
         right = right.sort_values("donor", kind="stable")
         q = np.asarray(left["x"].tolist(), dtype=float)
         d = np.asarray(right["x"].tolist(), dtype=float)
@@ -274,6 +276,6 @@ def _search(queries: DataFrame, pool: DataFrame, k: int, scale: dict[int, float]
             dist.append(g[place < keep])
         r, c = np.concatenate(rows), np.concatenate(cols)
         return pd.DataFrame({"combo": left["combo"].to_numpy()[r], "qid": left["qid"].to_numpy()[r],
-                             "d2": np.concatenate(dist) * factor, "donor": right["donor"].to_numpy()[c],
+                             "d2": np.concatenate(dist) * left["scale"].iloc[0], "donor": right["donor"].to_numpy()[c],
                              "y": right["y"].to_numpy()[c]})
-    return salted_q.groupBy(*box).cogroup(salted_d.groupBy(*box)).applyInPandas(nearest, HITS)
+    return left.groupBy(*box).cogroup(right.groupBy(*box)).applyInPandas(nearest, HITS)

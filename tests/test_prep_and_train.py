@@ -5,13 +5,13 @@ import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from tallyforge.operators import prep, quality, train
-from tallyforge.operators.knn import Tree, knn_impute
+from tallyforge.operators import knn, prep, quality, train
+from tallyforge.operators.knn import knn_impute
 from tallyforge.operators.prep import TabularPreprocessor
 from tallyforge.operators.quality import evaluation_metrics
 from tallyforge.operators.split import exact_split, hashed_split, split_sizes
 from tallyforge.plans import train_queries
-from tallyforge.session import scratch_path
+from tallyforge.session import checkpoint_root, scratch_path
 
 
 @pytest.mark.parametrize("n", [0, 1, 7, 1000, 15000])
@@ -297,11 +297,36 @@ def test_registered_training_has_the_full_size(monkeypatch):
         assert low <= seen[name]["n_estimators"] <= high
 
 
-def test_boxes_of_a_capped_feature_are_divided():
+def pool_of(spark, points):
+    rows = [(0, [float(v) for v in p], 0.0, str(i)) for i, p in enumerate(points)]
+    return spark.createDataFrame(rows, "combo int, x array<double>, y double, donor string")
+
+
+def test_boxes_of_a_capped_feature_are_divided(spark):
+    checkpoint_root(spark)
     rng = np.random.default_rng(4)
     points = np.column_stack([np.minimum(rng.uniform(0, 1000, 4000), 300.0), rng.uniform(0, 10, 4000)])
-    tree = Tree.build(points, 4)
-    counts = np.bincount(tree.leaf(points), minlength=16)
-    assert counts.max() <= 2 * len(points) / 16
-    with_equal = np.zeros((50, 2))
-    assert np.bincount(Tree.build(with_equal, 2).leaf(with_equal)).max() == 50
+    placed, levels = knn._boxes(pool_of(spark, points), 250)
+    counts = [r["count"] for r in placed.groupBy("node").count().collect()]
+    assert sum(counts) == 4000 and max(counts) <= 2 * len(points) / 16 and len(levels) <= 4
+    leaves = {r["node"]: r for boxes in levels for r in boxes.where("cuts is null").collect()}
+    for r in placed.collect():  # every donor lies inside its box, and boxes know their rows
+        assert all(b["lo"] <= v <= b["hi"] for v, b in zip(r["x"], leaves[r["node"]]["bounds"]))
+    assert sum(r["n"] for r in leaves.values()) == 4000
+    placed, levels = knn._boxes(pool_of(spark, np.zeros((50, 2))), 20)
+    assert len(levels) == 1 and placed.where("node = ''").count() == 50
+
+
+def test_knn_with_short_boxes_and_donors_that_no_cut_divides(spark):
+    """Nine tenths of the donors agree in every quantile; boxes smaller than k; both sides of a box dealt over tasks."""
+    rng = np.random.default_rng(7)
+    data = []
+    for i in range(200):
+        a, b = (5.0, 5.0) if i % 10 else (float(np.round(rng.normal() * 50, 2)), float(np.round(rng.normal() * 3, 2)))
+        a, b = (a + (i % 7) * 1e-9, b) if i % 3 else (a, b)
+        data.append((i, a, b, None if i % 4 == 0 else float(np.round(rng.normal(), 3))))
+    df = spark.createDataFrame(data, "id long, a double, b double, c double")
+    for box_rows, k in ((3, 7), (16, 4), (3, 1000)):
+        got = {r["id"]: r["c"] for r in knn_impute(df, df, ["a", "b", "c"], "id", k, "uniform", box_rows).collect()}
+        for want in brute(data, data, 3, k, "uniform"):
+            assert got[want[0]] == pytest.approx(want[3], abs=1e-9)
