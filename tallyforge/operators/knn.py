@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions.columns import is_missing, quoted
 from tallyforge.session import checkpoint_root
 
-BOX_ROWS = 20_000
+BOX_ROWS = 4_000
 FAN_OUT = 16
 CELLS_AT_ONCE = 4_000_000
 HITS = "combo int, qid string, d2 double, donor string, y double"
@@ -252,6 +252,9 @@ def _search(queries: DataFrame, pool: DataFrame, scales: DataFrame, k: int, box_
     left = dealt(queries, "qid", "q", "d", ["qid", "x", "scale"])
     right = dealt(pool, "donor", "d", "q", ["donor", "x", "y"])
     right = right.toDF(*right.columns)  # columns of its own: both sides come from one table of loads
+    # few bytes mean much work here, so the partitions are named and adaptive execution leaves them apart
+    parts = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left, right = left.repartition(parts, *box), right.repartition(parts, *box)
 
     def nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
