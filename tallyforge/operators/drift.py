@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions.columns import is_finite, long_form, quoted, ratio
 from tallyforge.functions.pvalues import p_value
 from tallyforge.operators.ranks import exact_quantiles, running_counts
+from tallyforge.operators.text_drift import content_drift
 
 log = logging.getLogger(__name__)
 
@@ -21,6 +23,7 @@ DISTANCES = ("wasserstein", "jensenshannon", "psi")  # drift when score >= thres
 TESTS = ("ks", "chisquare", "z", "t_test")  # drift when p < threshold
 NUMERIC_METHODS = ("wasserstein", "ks", "psi", "t_test")
 CATEGORY_METHODS = ("jensenshannon", "psi", "chisquare", "z")
+TEXT_METHODS = ("domain",)  # area of a classifier of the two sides; drift above the threshold
 # Default limits, share floor of empty bins, smallest scale for normalising.
 DISTANCE_LIMIT, ALPHA, DATASET_SHARE = 0.1, 0.05, 0.5
 PSI_WARNING, PSI_CRITICAL = 0.10, 0.25
@@ -50,6 +53,22 @@ class DriftOptions:
     per_column_threshold: dict[str, float] = field(default_factory=dict)
     selected: Sequence[str] | None = None
     dataset_share: float = DATASET_SHARE
+    text_method: str | None = None  # text columns are compared when a method is named
+    text_threshold: float | None = None  # none: what random labels reach
+
+    @staticmethod
+    def from_config(conf: dict) -> "DriftOptions":
+        """Options from a configuration with the blocks numerical, categorical and text (method, threshold) and the maps per column."""
+        blocks = {name: conf.get(name) or {} for name in ("numerical", "categorical", "text")}
+        return DriftOptions(
+            num_method=blocks["numerical"].get("method") or conf.get("default_method") or "wasserstein",
+            cat_method=blocks["categorical"].get("method") or "jensenshannon",
+            num_threshold=blocks["numerical"].get("threshold"), cat_threshold=blocks["categorical"].get("threshold"),
+            per_column_method=dict(conf.get("per_feature_stattest") or {}),
+            per_column_threshold=dict(conf.get("per_column_stattest_threshold") or {}),
+            selected=list(conf.get("columns_to_check_drift") or ()) or None,
+            dataset_share=conf.get("dataset_drift_share", DATASET_SHARE),
+            text_method=blocks["text"].get("method"), text_threshold=blocks["text"].get("threshold"))
 
 
 # --- numeric columns ---------------------------------------------------------------------------
@@ -174,6 +193,8 @@ def plan_columns(reference: DataFrame, current: DataFrame, roles: ColumnRoles, o
     if absent:
         log.warning("columns %s are not in both tables, they are left out", absent)
     kinds = {c: "num" for c in numeric if c in shared} | {c: "cat" for c in category if c in shared}
+    if options.text_method:
+        kinds |= {c: "text" for c in roles.text if c in shared}
     asked = set(options.per_column_method) | set(options.per_column_threshold) | set(options.selected or ())
     unknown = sorted(asked - set(kinds))
     if unknown:
@@ -182,11 +203,13 @@ def plan_columns(reference: DataFrame, current: DataFrame, roles: ColumnRoles, o
     for c, kind in kinds.items():
         if options.selected and c not in options.selected:
             continue
-        method = options.per_column_method.get(c, options.num_method if kind == "num" else options.cat_method)
-        if method not in (NUMERIC_METHODS if kind == "num" else CATEGORY_METHODS):
+        usual, limit, methods = {"num": (options.num_method, options.num_threshold, NUMERIC_METHODS),
+                                 "cat": (options.cat_method, options.cat_threshold, CATEGORY_METHODS),
+                                 "text": (options.text_method, options.text_threshold, TEXT_METHODS)}[kind]
+        method = options.per_column_method.get(c, usual)
+        if method not in methods:
             raise ValueError(f"method {method!r} does not apply to the {kind} column {c!r}")
-        limit = options.num_threshold if kind == "num" else options.cat_threshold
-        if c in options.per_column_method or limit is None:
+        if kind != "text" and (c in options.per_column_method or limit is None):
             limit = DISTANCE_LIMIT if method in DISTANCES else ALPHA
         plan[c] = (kind, method, options.per_column_threshold.get(c, limit))
     return plan
@@ -221,8 +244,16 @@ def value_drift(reference: DataFrame, current: DataFrame, roles: ColumnRoles,
     if cats:
         add(category_distances(reference, current, cats), cats,
             {m: F.col(m) for m in CATEGORY_METHODS}, F.col("dof"))
-    if not parts:
+    texts = by("text", "domain")
+    if texts and roles.id is None:
+        raise ValueError("text columns are compared by the rows' key: name it as role id")
+    judged = [content_drift(reference, current, [c], roles.id, plan[c][2]).select(
+        "column", F.lit("text").alias("kind"), F.lit("domain").alias("method"), F.col("roc_auc").alias("score"), "threshold", "drifted")
+        for c in texts]
+    if not parts and not judged:
         raise ValueError("no column to compare")
+    if not parts:
+        return reduce(DataFrame.unionByName, judged)
     scores = parts[0]
     for p in parts[1:]:
         scores = scores.unionByName(p)
@@ -236,7 +267,7 @@ def value_drift(reference: DataFrame, current: DataFrame, roles: ColumnRoles,
     scored = scores.select("column", per(0).alias("kind"), "method", score.alias("score"),
                            per(2).cast("double").alias("threshold"))
     drifted = F.when(is_test, F.col("score") < F.col("threshold")).otherwise(F.col("score") >= F.col("threshold"))
-    return scored.withColumn("drifted", F.coalesce(drifted, F.lit(False)))
+    return reduce(DataFrame.unionByName, judged, scored.withColumn("drifted", F.coalesce(drifted, F.lit(False))))
 
 
 def dataset_drift(scores: DataFrame, share: float = DATASET_SHARE) -> DataFrame:
@@ -329,28 +360,52 @@ def embedding_drift_model(reference: DataFrame, current: DataFrame, column: str,
 
 
 def embedding_mmd(reference: DataFrame, current: DataFrame, column: str, features: int = 512, gamma: float | None = None,
-                  seed: int = 42) -> DataFrame:
-    """Squared maximum mean discrepancy under a Gaussian kernel by random Fourier features: linear in rows.
+                  seed: int = 42, draws: int = 100, alpha: float = ALPHA) -> DataFrame:
+    """Squared maximum mean discrepancy under a Gaussian kernel by random Fourier features, and how rare it is by chance.
 
-    Every task sums the feature map over its rows and sends one vector of sums per side.
+    Linear in rows, in one pass: every task sums the feature map over its rows and, for each draw, over its rows with
+    random signs; the signed sums around each side's mean are what the gap of the means looks like without drift. A row's signs
+    come from the hash of the row, so a task that runs again gives the same sums.
     """
     width = embedding_width(reference, column)
     gamma = gamma or 1.0 / width
     rng = np.random.default_rng(seed)
     weights = rng.normal(scale=np.sqrt(2 * gamma), size=(width, features))
     phase = rng.uniform(0, 2 * np.pi, size=features)
+    salts = rng.integers(1, 2 ** 63, size=draws, dtype=np.uint64)
+
+    def signs(key: np.ndarray) -> np.ndarray:
+        mixed = key.astype(np.int64).view(np.uint64)[:, None] ^ salts[None, :]
+        mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+        return 1.0 - 2.0 * (mixed >> np.uint64(63)).astype(float)
 
     def sums(batches):
-        total, n = np.zeros(features), 0
+        total, weight = np.zeros((draws + 1, features)), np.zeros(draws + 1)
         for b in batches:
-            x = np.asarray(b["e"].tolist(), dtype=float)
-            if len(x):
-                total += np.cos(x @ weights + phase).sum(axis=0)
-                n += len(x)
-        yield pd.DataFrame({"dim": np.arange(features), "total": total, "n": n})
-    means = []
-    for name, df in (("r", reference), ("c", current)):
-        part = df.select(F.col(column).cast("array<double>").alias("e")).mapInPandas(sums, "dim int, total double, n long")
-        means.append(part.groupBy("dim").agg((F.sum("total") / F.sum("n")).alias(name)))
-    gap = F.col("r") - F.col("c")
-    return means[0].join(means[1], "dim").agg((F.sum(gap * gap) * (2.0 / features)).alias("mmd"))
+            for at in range(0, len(b), 2048):
+                part = b.iloc[at:at + 2048]
+                mapped = np.cos(np.asarray(part["e"].tolist(), dtype=float) @ weights + phase)
+                sign = np.hstack([np.ones((len(part), 1)), signs(part["key"].to_numpy())])
+                total += sign.T @ mapped
+                weight += sign.sum(axis=0)
+        yield pd.DataFrame({"draw": np.arange(draws + 1), "weight": weight, "total": list(total)})
+    sides = [df.select(F.col(column).cast("array<double>").alias("e"), F.xxhash64(*[F.col(quoted(c)) for c in df.columns]).alias("key"))
+             .mapInPandas(sums, "draw int, weight double, total array<double>")
+             .select("draw", F.lit(name).alias("side"), "weight", F.posexplode("total").alias("dim", "total"))
+             for name, df in (("r", reference), ("c", current))]
+    of = lambda side, value: F.sum(F.when(F.col("side") == side, F.col(value)))
+    summed = sides[0].unionByName(sides[1]).groupBy("dim", "draw").agg(
+        of("r", "total").alias("r"), of("r", "weight").alias("rw"), of("c", "total").alias("c"), of("c", "weight").alias("cw"))
+    per_dim = summed.groupBy("dim").agg(F.collect_list(F.struct("draw", "r", "rw", "c", "cw")).alias("all"))
+    true = F.filter("all", lambda s: s["draw"] == 0)[0]
+
+    def side_gap(s: Column, value: str, weight: str) -> Column:
+        mean = true[value] / true[weight]
+        return F.when(s["draw"] == 0, mean).otherwise((s[value] - s[weight] * mean) / true[weight])
+    gaps = per_dim.select(F.inline(F.transform("all", lambda s: F.struct(
+        s["draw"].alias("draw"), (side_gap(s, "r", "rw") - side_gap(s, "c", "cw")).alias("gap")))))
+    stats = gaps.groupBy("draw").agg((F.sum(F.col("gap") * F.col("gap")) * (2.0 / features)).alias("stat"))
+    one = stats.agg(F.max(F.when(F.col("draw") == 0, F.col("stat"))).alias("mmd"),
+                    F.collect_list(F.when(F.col("draw") > 0, F.col("stat"))).alias("chance"))
+    reached = F.size(F.filter("chance", lambda v: v >= F.col("mmd")))
+    return one.select("mmd", ((reached + 1) / F.lit(draws + 1.0)).alias("p_value")).withColumn("embedding_drift", F.col("p_value") < alpha)

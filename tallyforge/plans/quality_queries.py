@@ -578,3 +578,21 @@ def text_drift(spark, sf):
     sides = [text.text_profile(docs.where(cond), "text", ["doc_id"]).select("text_length", "word_count") for cond in (is_ref, ~is_ref)]
     scores = drift.value_drift(*sides, drift.ColumnRoles(numerical=("text_length", "word_count")))
     return _rounded(scores.select("column", "method", "score"))
+
+
+@query("f34_text_content", """
+with d as (select lang, doc_id % 2 = 0 as even from documents)
+select 'halves' as pair, count(*) filter (where even) as n_reference, count(*) filter (where not even) as n_current, false as told_apart from d
+union all
+select 'languages', count(*) filter (where lang in ('en', 'de')), count(*) filter (where lang not in ('en', 'de')), true from d""")
+def text_content(spark, sf):
+    """Two relations every table must show: halves by key cannot be told apart by their terms, languages can (area over 0.9)."""
+    docs = table(spark, sf, "documents")
+    options = drift.DriftOptions.from_config({"text": {"method": "domain", "threshold": 0.9}})
+    out = None
+    for pair, is_ref in (("halves", F.col("doc_id") % 2 == 0), ("languages", F.col("lang").isin("en", "de"))):
+        scores = drift.value_drift(docs.where(is_ref), docs.where(~is_ref), drift.ColumnRoles(text=("text",), id="doc_id"), options)
+        sizes = docs.agg(F.lit(pair).alias("pair"), F.count_if(is_ref).alias("n_reference"), F.count_if(~is_ref).alias("n_current"))
+        one = sizes.join(scores.select(F.lit(pair).alias("pair"), F.col("drifted").alias("told_apart")), "pair")
+        out = one if out is None else out.unionByName(one)
+    return out

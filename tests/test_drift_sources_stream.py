@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyforge.functions import pvalues
-from tallyforge.operators import drift, quality, recsys, text
+from tallyforge.operators import drift, quality, recsys, text, text_drift
 from tallyforge.operators.drift import ColumnRoles, DriftOptions
 from tallyforge.session import scratch_path
 from tallyforge.sources import conform, readers, writers
@@ -63,7 +63,56 @@ def test_random_features_come_near_the_exact_discrepancy(spark):
     kernel = lambda p, q: np.exp(-((p[:, None] - q[None]) ** 2).sum(-1) / 8).mean()
     want = kernel(a, a) + kernel(b, b) - 2 * kernel(a, b)
     frames = [spark.createDataFrame([(r.tolist(),) for r in v], "e array<double>").repartition(3) for v in (a, b)]
-    assert drift.embedding_mmd(*frames, "e", features=4096).first()["mmd"] == pytest.approx(want, rel=0.15)
+    got = drift.embedding_mmd(*frames, "e", features=4096).first()
+    assert got["mmd"] == pytest.approx(want, rel=0.15) and got["p_value"] < 0.02 and got["embedding_drift"]
+
+
+def test_discrepancy_of_the_given_vectors_and_its_chance(spark, sf):
+    vectors = spark.read.parquet(f"{sf}/embeddings.parquet")
+    sides = [vectors.where(F.col("label") < 5), vectors.where(F.col("label") >= 5)]
+    a, b = (np.asarray([r[0] for r in side.select("embedding").collect()], dtype=float) for side in sides)
+    width = a.shape[1]
+
+    def kernel(p, q):
+        return np.exp(-((p ** 2).sum(1)[:, None] + (q ** 2).sum(1)[None] - 2 * p @ q.T) / width).mean()
+    got = drift.embedding_mmd(*sides, "embedding", features=8192).first()
+    assert got["mmd"] == pytest.approx(kernel(a, a) + kernel(b, b) - 2 * kernel(a, b), rel=0.1, abs=1e-4)
+
+
+def test_equal_sides_are_rarely_called_different(spark):
+    rng = np.random.default_rng(5)
+    values = []
+    for _ in range(12):
+        frames = [spark.createDataFrame([(r.tolist(),) for r in rng.normal(size=(n, 4))], "e array<double>") for n in (90, 240)]
+        values.append(drift.embedding_mmd(*frames, "e", features=128).first()["p_value"])
+    assert min(values) < 0.7 and max(values) > 0.3 and sum(v < 0.05 for v in values) <= 3
+
+
+def test_text_content_tells_topics_apart_and_halves_not(spark):
+    rng = np.random.default_rng(2)
+
+    def texts(vocabulary, n, start):
+        return spark.createDataFrame([(start + i, " ".join(rng.choice(vocabulary, 12)), 1.0) for i in range(n)], "id long, text string, x double")
+    old, new = [f"old{i}" for i in range(40)], [f"old{i}" for i in range(30)] + [f"new{i}" for i in range(10)]
+    ref, same, other = texts(old, 150, 0), texts(old, 150, 1000), texts(new, 150, 2000)
+    near, far = text_drift.content_drift(ref, same, ["text"], "id").first(), text_drift.content_drift(ref, other, ["text"], "id").first()
+    assert abs(near["roc_auc"] - 0.5) < 0.12 and 0.5 < near["threshold"] < 0.65
+    assert far["roc_auc"] > 0.85 and far["drifted"]
+    # the area equals the plain one of each fold
+    scored = text_drift.domain_scores(ref, other, "text", "id").collect()
+    areas = []
+    for fold in (0, 1):
+        pos, neg = ([r["score"] for r in scored if r["fold"] == fold and r["label"] == y] for y in (1.0, 0.0))
+        areas.append(np.mean([(p > q) + 0.5 * (p == q) for p in pos for q in neg]))
+    assert far["roc_auc"] == pytest.approx(np.mean(areas), abs=1e-9)
+    roles = ColumnRoles(numerical=("x",), text=("text",), id="id")
+    both = drift.value_drift(ref, other, roles, DriftOptions.from_config({"text": {"method": "domain", "threshold": 0.8}})).collect()
+    assert {(r["column"], r["kind"], r["drifted"]) for r in both} == {("x", "num", False), ("text", "text", True)}
+    assert [r["column"] for r in drift.value_drift(ref, other, roles).collect()] == ["x"]
+    with pytest.raises(ValueError, match="does not apply"):
+        drift.value_drift(ref, other, roles, DriftOptions(text_method="ks"))
+    empty = text_drift.content_drift(ref, other.limit(0), ["text"], "id").first()
+    assert empty["roc_auc"] is None and empty["drifted"] is False
 
 
 def test_personalization_equals_the_pair_form(spark):
