@@ -43,6 +43,6 @@ def stream_validate(spark, sf):
                              LinearRegression(featuresCol="features", labelCol="value")]).fit(events)
     jobs.stream_validate(jobs.read_files(spark, sf, events.schema, "events.parquet"), contract, model,
                          f"{folder}/scored", f"{folder}/quarantine", f"{folder}/progress")
-    counted = [spark.read.parquet(f"{folder}/{t}").agg(F.lit(t).alias("target"), F.count(F.lit(1)).alias("n_rows"))
+    counted = [jobs.read_recorded(spark, f"{folder}/{t}", jobs.records_of(f"{folder}/scored")).agg(F.lit(t).alias("target"), F.count(F.lit(1)).alias("n_rows"))
                for t in ("scored", "quarantine")]
     return counted[0].unionByName(counted[1])

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyforge.functions import pvalues
-from tallyforge.operators import drift, quality, recsys, text, text_drift
+from tallyforge.operators import contract, drift, quality, recsys, text, text_drift
 from tallyforge.operators.drift import ColumnRoles, DriftOptions
 from tallyforge.session import scratch_path
 from tallyforge.sources import conform, readers, writers
@@ -231,6 +231,40 @@ def test_stream_restart_loads_nothing_twice(spark, tmp_path):
     assert spark.read.parquet(target).count() == 60
 
 
+def test_a_batch_shows_in_both_tables_or_in_neither(spark, tmp_path, monkeypatch):
+    source, valid, aside, progress = (str(tmp_path / n) for n in ("in", "valid", "aside", "progress"))
+    spark.range(20).withColumn("v", F.col("id").cast("double")).repartition(1).write.parquet(source)
+    rule = contract.Contract("c", (contract.Field("v", "double", (contract.Check("in_range", {"min_val": 5, "max_val": 450}),)),), ("id",))
+    records = jobs.records_of(valid)
+
+    def run():
+        jobs.stream_validate(jobs.read_files(spark, source, spark.read.parquet(source).schema), rule, None, valid, aside, progress)
+
+    def seen():
+        return [jobs.read_recorded(spark, t, records).count() for t in (valid, aside)]
+    put = jobs.put_batch
+
+    def dies_between(batch, target, *rest):
+        if target == aside:
+            raise RuntimeError("lost")
+        put(batch, target, *rest)
+    run()
+    assert seen() == [15, 5]
+    spark.range(2, 9).withColumn("v", F.col("id").cast("double")).repartition(1).write.mode("append").parquet(source)
+    monkeypatch.setattr(jobs, "put_batch", dies_between)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    assert spark.read.parquet(valid).count() == 19 and seen() == [15, 5]  # half a batch lies there, nobody reads it
+    monkeypatch.setattr(jobs, "put_batch", put)
+    run()
+    run()
+    assert seen() == [19, 8] == [spark.read.parquet(t).count() for t in (valid, aside)]
+    assert spark.read.parquet(records).count() == 2
+    monkeypatch.setattr(jobs, "put_batch", dies_between)
+    assert jobs.is_recorded(spark, records, progress, 1) and not jobs.is_recorded(spark, records, progress, 2)
+    assert jobs.read_recorded(spark, valid, str(tmp_path / "none")).count() == 0
+
+
 def test_suite_counts_absent_metrics_as_failed(spark):
     metrics = spark.createDataFrame([("a", "", 1.0), ("b", "x", 5.0)], "metric string, column string, value double")
     tests = [quality.MetricTest("a", "<=", 1), quality.MetricTest("b", "<", 5, "x", "warn"), quality.MetricTest("c", ">", 0)]
