@@ -25,6 +25,7 @@ from tallyforge.session import checkpoint_root
 BOX_ROWS = 4_000
 FAN_OUT = 16
 CELLS_AT_ONCE = 4_000_000
+SENT_ROWS = 10_000  # tables of up to this many combos or boxes are broadcast; longer ones have keys enough to meet by shuffle
 HITS = "combo int, qid string, d2 double, donor string, y double"
 NO_HITS = pd.DataFrame({"combo": pd.Series(dtype="int32"), "qid": pd.Series(dtype=object), "d2": pd.Series(dtype=float),
                         "donor": pd.Series(dtype=object), "y": pd.Series(dtype=float)})
@@ -104,11 +105,16 @@ def _combos(features: list[str], have: list[int], given: list[int]) -> list[Comb
     return out
 
 
+def _sent(table: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(table) if rows <= SENT_ROWS else table
+
+
 def _combo_table(spark, combos: list[Combo], features: list[str]) -> DataFrame:
     """One row per combo: which rows and donors it joins, the places of their common features, the scale of its distances."""
     rows = [(i, c.pattern, c.donor_pattern, c.target, [features.index(s) for s in c.shared], len(features) / len(c.shared))
             for i, c in enumerate(combos)]
-    return spark.createDataFrame(rows, "combo int, pattern int, donor_pattern int, target string, shared array<int>, scale double")
+    table = spark.createDataFrame(rows, "combo int, pattern int, donor_pattern int, target string, shared array<int>, scale double")
+    return _sent(table, len(rows))
 
 
 def _points(df: DataFrame, combos: DataFrame, which: str, features: list[str], *extra: Column) -> DataFrame:
@@ -180,10 +186,10 @@ def _boxes(pool: DataFrame, box_rows: int) -> tuple[DataFrame, list[DataFrame]]:
     open_rows, whole, levels = pool.withColumn("node", F.lit("")), [], []
     while True:
         boxes = _box_table(open_rows, box_rows).checkpoint()
-        levels.append(boxes)
+        levels.append(_sent(boxes, boxes.count()))
         if boxes.where(F.col("cuts").isNotNull()).isEmpty():
             return reduce(DataFrame.unionByName, [*whole, open_rows]), levels
-        moved = open_rows.join(boxes.select("combo", "node", "dim", "cuts"), ["combo", "node"]).select(
+        moved = open_rows.join(levels[-1].select("combo", "node", "dim", "cuts"), ["combo", "node"]).select(
             *pool.columns, F.coalesce(_part(F.col("node")), F.col("node")).alias("node"), F.col("cuts").isNull().alias("__whole")).checkpoint()
         whole.append(moved.where("__whole").drop("__whole"))
         open_rows = moved.where(~F.col("__whole")).drop("__whole")
