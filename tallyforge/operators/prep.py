@@ -64,21 +64,45 @@ def fit_imputer(df: DataFrame, columns: Sequence[str], strategy: str, fill_value
     return fills
 
 
+def fit_median_robust(df: DataFrame, columns: Sequence[str], options: Mapping[str, Any] | None = None
+                      ) -> tuple[dict[str, Any], dict[str, tuple[float, float]]]:
+    """What `fit_imputer` by medians and a robust `fit_scaler` of the filled rows say, from one search for quantiles.
+
+    Only columns with missing values, whose quantiles move when they are filled, are searched again.
+    """
+    options, columns = options or {}, list(columns)
+    found = exact_quantiles(df, columns, sorted({*quantile_range(options), 0.5}))
+    fills = {c: found[c][0.5] for c in columns}
+    empty = [c for c in columns if fills[c] is None]
+    if empty:
+        raise ValueError(f"no known value to impute from in {empty}")
+    gaps = df.agg(*[F.count_if(is_missing(df, c)).alias(str(i)) for i, c in enumerate(columns)]).first()
+    gappy = [c for i, c in enumerate(columns) if gaps[str(i)]]
+    again = fit_scaler(fill(df, fills), gappy, "robust", options)
+    whole = fit_scaler(df, [c for c in columns if c not in gappy], "robust", options, found)
+    return fills, {c: (again if c in gappy else whole)[c] for c in columns}
+
+
 def fill(df: DataFrame, fills: Mapping[str, Any]) -> DataFrame:
     return df.withColumns({c: F.coalesce(_known(df, c), F.lit(v)) for c, v in fills.items()})
 
 
-def fit_scaler(df: DataFrame, columns: Sequence[str], kind: str, options: Mapping[str, Any] | None = None
-               ) -> dict[str, tuple[float, float]]:
-    """(shift, factor) per column: scaled = (x - shift) * factor."""
+def quantile_range(options: Mapping[str, Any]) -> tuple[float, float]:
+    low, high = options.get("quantile_range", (25.0, 75.0))
+    return low / 100.0, high / 100.0
+
+
+def fit_scaler(df: DataFrame, columns: Sequence[str], kind: str, options: Mapping[str, Any] | None = None,
+               known: Mapping[str, Mapping[float, float]] | None = None) -> dict[str, tuple[float, float]]:
+    """(shift, factor) per column: scaled = (x - shift) * factor. `known` may hold the quantiles that a robust scaler needs."""
     options, columns = options or {}, list(columns)
     if kind not in SCALERS:
         raise ValueError(f"unsupported scaler {kind!r}")
     if kind == "none" or not columns:
         return {c: (0.0, 1.0) for c in columns}
     if kind == "robust":
-        low, high = (q / 100.0 for q in options.get("quantile_range", (25.0, 75.0)))
-        qs = exact_quantiles(df, columns, sorted({low, 0.5, high}))
+        low, high = quantile_range(options)
+        qs = exact_quantiles(df, columns, sorted({low, 0.5, high})) if known is None else known
         center = {c: qs[c][0.5] if options.get("with_centering", True) else 0.0 for c in columns}
         width = {c: qs[c][high] - qs[c][low] if options.get("with_scaling", True) else 1.0 for c in columns}
         return {c: (center[c], 1.0 / (width[c] or 1.0)) for c in columns}
@@ -236,11 +260,15 @@ class TabularPreprocessor(Estimator, _PrepParams, DefaultParamsReadable, Default
             path = scratch_path(dataset.sparkSession, "imputed")
             knn_impute(train, dataset, num, state["knn"]["key"], state["knn"]["k"], state["knn"]["weights"]).select(*num).write.parquet(path)
             train = dataset.sparkSession.read.parquet(path)
-        elif num:
-            state["fills"] = fit_imputer(dataset, num, imputer.get("strategy", "median"), imputer.get("fill_value", 0.0))
-            train = fill(dataset, state["fills"])
         scaler = dict(num_conf.get("scaler", {}))
-        state["scaler"] = fit_scaler(train, num, scaler.pop("type", "robust").lower(), scaler)
+        scaling, strategy = scaler.pop("type", "robust").lower(), imputer.get("strategy", "median")
+        if kind == "simple" and num and (strategy, scaling) == ("median", "robust"):
+            state["fills"], state["scaler"] = fit_median_robust(dataset, num, scaler)
+        else:
+            if kind == "simple" and num:
+                state["fills"] = fit_imputer(dataset, num, strategy, imputer.get("fill_value", 0.0))
+                train = fill(dataset, state["fills"])
+            state["scaler"] = fit_scaler(train, num, scaling, scaler)
         cat_imputer = cat_conf.get("imputer", {})
         state["cat_fills"] = fit_imputer(dataset, cat, cat_imputer.get("strategy", "most_frequent"),
                                          cat_imputer.get("fill_value", "missing_value")) if cat else {}

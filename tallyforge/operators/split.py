@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,20 +80,24 @@ def exact_split(df: DataFrame, key: list[str] | str, shares: dict[str, float] |
     """Add a `split` column whose sizes are exact for a unique key.
 
     The cut hashes are literals in the plan, so the split itself is a narrow projection and
-    gives the same rows whatever the partitioning. Equal keys always share a split.
+    gives the same rows whatever the partitioning. Equal keys always share a split. Rows are
+    hashed once for all counting passes and once for the projection.
     """
     shares = shares or DEFAULT_SHARES
-    hashes = df.select(key_hash(key, seed).alias("h"))
-    sizes = split_sizes(hashes.count(), shares)
-    edges, at = [], 0
-    for name in list(shares)[:-1]:
-        at += sizes[name]
-        edges.append((name, at))
-    cuts = hashes_at(hashes, sorted({e for _, e in edges}))
+    hashes = df.select(key_hash(key, seed).alias("h")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sizes = split_sizes(hashes.count(), shares)
+        edges, at = [], 0
+        for name in list(shares)[:-1]:
+            at += sizes[name]
+            edges.append((name, at))
+        cuts = hashes_at(hashes, sorted({e for _, e in edges}))
+    finally:
+        hashes.unpersist()
     label = F.lit(list(shares)[-1])
     for name, edge in reversed(edges):
-        label = F.lit(name) if cuts[edge] is None else F.when(key_hash(key, seed) < cuts[edge], name).otherwise(label)
-    return df.withColumn("split", label)
+        label = F.lit(name) if cuts[edge] is None else F.when(F.col("__hash") < cuts[edge], name).otherwise(label)
+    return df.withColumn("__hash", key_hash(key, seed)).withColumn("split", label).drop("__hash")
 
 
 def hashed_split(df: DataFrame, key: list[str] | str, shares: dict[str, float] | None = None,

@@ -55,11 +55,11 @@ def ridge(spark, sf):
 
 def _fitted(spark, sf, name, params):
     """Validation scores next to those of a constant predictor."""
-    parts = train.spread(_features(spark, sf)).persist()
+    parts = train.spread(_features(spark, sf).where(F.col("split") != "test")).persist()
     fit_on, val = parts.where(F.col("split") == "train"), parts.where(F.col("split") == "val")
     model = train.regressor(name, params, "features", "charge", train.label_stats(fit_on, "charge"), validation="held")
     if name in ("gradient_boosting", "xgboost"):  # they stop by the validation rows
-        fit_on = parts.where(F.col("split") != "test").withColumn("held", F.col("split") == "val")
+        fit_on = parts.withColumn("held", F.col("split") == "val")
     model = model.fit(fit_on)
     scores = quality.evaluation_metrics(model.transform(val), "charge", "prediction").first()
     dummy = quality.dummy_regression(val, "charge").first()

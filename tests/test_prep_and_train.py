@@ -330,3 +330,22 @@ def test_knn_with_short_boxes_and_donors_that_no_cut_divides(spark):
         got = {r["id"]: r["c"] for r in knn_impute(df, df, ["a", "b", "c"], "id", k, "uniform", box_rows).collect()}
         for want in brute(data, data, 3, k, "uniform"):
             assert got[want[0]] == pytest.approx(want[3], abs=1e-9)
+
+
+def test_rows_are_hashed_once_by_a_split(spark):
+    plan = exact_split(spark.range(50), "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") == 1
+
+
+def test_one_search_serves_medians_and_robust_scales(spark, monkeypatch):
+    rows = [(float(i % 7), None if i % 3 else float(i), float("nan") if i == 4 else -float(i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    fills = prep.fit_imputer(df, ["a", "b", "c"], "median")
+    scales = prep.fit_scaler(prep.fill(df, fills), ["a", "b", "c"], "robust")
+    asked, quantiles = [], prep.exact_quantiles
+    monkeypatch.setattr(prep, "exact_quantiles", lambda df, columns, probs: asked.append(list(columns)) or quantiles(df, columns, probs))
+    model = TabularPreprocessor(numerical=["a", "b", "c"]).fit(df)
+    assert model.fitted()["fills"] == fills and {c: tuple(v) for c, v in model.fitted()["scaler"].items()} == scales
+    assert asked == [["a", "b", "c"], ["b", "c"]]
+    with pytest.raises(ValueError):
+        TabularPreprocessor(numerical=["a"]).fit(df.where("a is null"))
