@@ -271,9 +271,13 @@ def best_trials(trials: DataFrame) -> DataFrame:
 def fit_pipeline(train: DataFrame, preprocessor, name: str, params: dict[str, Any], label: str, seed: int = 42) -> PipelineModel:
     """Preprocessor and model as one pipeline that takes raw rows."""
     features = preprocessor.getOrDefault("outputCol")
-    train = spread(train)
-    model = regressor(name, params, features, label, label_stats(train, label), seed)
-    return Pipeline(stages=[preprocessor, model]).fit(train)
+    # Dealt once: the passes of the preprocessor and of the model would each shuffle the rows again.
+    train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = regressor(name, params, features, label, label_stats(train, label), seed)
+        return Pipeline(stages=[preprocessor, model]).fit(train)
+    finally:
+        train.unpersist()
 
 
 def save_pipeline(model: PipelineModel, path: str) -> None:

@@ -337,6 +337,18 @@ def test_rows_are_hashed_once_by_a_split(spark):
     assert plan.count("md5(") == 1
 
 
+def test_rows_of_a_pipeline_are_dealt_once(spark):
+    class Watched(TabularPreprocessor):
+        def _fit(self, dataset):
+            seen.append(dataset.is_cached or dataset.storageLevel.useMemory)
+            return super()._fit(dataset)
+
+    seen = []
+    fit = spark.createDataFrame([(float(i), float(2 * i)) for i in range(20)], "x double, y double")
+    train.fit_pipeline(fit, Watched(numerical=["x"]), "ridge", {"alpha": 1e-3}, "y")
+    assert seen == [True]
+
+
 def test_one_search_serves_medians_and_robust_scales(spark, monkeypatch):
     rows = [(float(i % 7), None if i % 3 else float(i), float("nan") if i == 4 else -float(i)) for i in range(40)]
     df = spark.createDataFrame(rows, "a double, b double, c double")
