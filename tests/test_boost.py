@@ -137,3 +137,33 @@ def test_forests_of_parts_are_means_and_saved(spark):
     path = scratch_path(spark, "forest")
     train.save_pipeline(whole, path)
     assert [r["prediction"] for r in train.load_pipeline(path).transform(df).collect()] == got and whole.transform(df).columns == [*df.columns, "prediction"]
+
+
+def test_blocks_keep_all_rows_and_deep_margins_are_checkpointed(spark, monkeypatch):
+    monkeypatch.setattr(boost, "BLOCK_ROWS", 32)
+    monkeypatch.setattr(boost, "TASK_ROWS", 100)
+    monkeypatch.setattr(boost, "KEPT", 2)
+    x, y = data(450)
+    fit, val = frame(spark, x[:400], y[:400]), frame(spark, x[400:], y[400:])
+    b = boost.Booster(fit, val, "features", "y")
+    # A record is a block, so that tasks do not pass rows one by one.
+    assert 4 <= b.base.count() < 30 and b.rows == 400 and b.start == pytest.approx(y[:400].mean())
+    rows = [(int(n), r.tolist(), t, h) for row, bins, label, held in boost.opened(b.base.toArrow().to_batches())
+            for n, r, t, h in zip(row, bins, label, held)]
+    want = [(r, t, i >= 400) for i, (r, t) in enumerate(zip(boost.binned_array(x, b.edges).tolist(), y.tolist()))]
+    assert sorted(r[1:] for r in rows) == sorted(want) and len({r[0] for r in rows}) == 450
+    plan = boost.Plan(rounds=10, max_depth=3, patience=99)
+    model = boost.Growing(0, plan)
+    b.advance([model], 10)
+    assert b.renewals >= 5 and len(model.trees) == 10
+    said = np.array([r["prediction"] for r in boost.BoostedTreesModel.of(b.start, b.edges, model.trees).transform(val).collect()])
+    assert model.scores[-1] == pytest.approx(float(np.sqrt(np.mean((said - y[400:]) ** 2))))
+    b.close()
+
+
+def test_rows_reach_leaves_of_any_depth():
+    tree = boost.Tree()
+    left, right = tree.split(0, 1, 3, (1.0, 2.0))
+    tree.split(right, 0, 7, (5.0, 9.0))
+    assert tree.predict(np.array([[8, 3], [7, 4], [8, 4]], np.uint8)).tolist() == [1.0, 5.0, 9.0]
+    assert boost.Tree().nodes(np.zeros((2, 3), np.uint8)).tolist() == [0, 0] and len(tree.nodes(np.zeros((0, 2), np.uint8))) == 0
