@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.functions.columns import is_finite
-from tallyforge.operators import boost, forest
+from tallyforge.operators import boost, forest, pooled
 from tallyforge.operators.contract import Contract
 from tallyforge.operators.quality import evaluation_metrics
 from tallyforge.operators.ranks import range_count
@@ -103,6 +103,10 @@ def regressor(name: str, params: dict[str, Any], features: str, label: str, stat
         return boost.BoostedTrees(featuresCol=features, labelCol=label, validationIndicatorCol=validation or "",
                                   plan=json.dumps(asdict(boosting_plan(name, params, seed))))
     if name == "gradient_boosting":
+        if params.get("subsample", 1.0) >= 1:  # rows drawn for each tree cannot be pooled
+            return pooled.PooledBoosting(featuresCol=features, labelCol=label, validationIndicatorCol=validation or "", plan=json.dumps({
+                "rounds": params.get("n_estimators", 100), "learning_rate": params.get("learning_rate", 0.1),
+                "max_depth": params.get("max_depth", 3), "seed": seed}))
         stop = {"validationIndicatorCol": validation} if validation else {}
         return GBTRegressor(**stop, featuresCol=features, labelCol=label, seed=seed, maxIter=params.get("n_estimators", 100),
                             stepSize=params.get("learning_rate", 0.1), maxDepth=params.get("max_depth", 3),
