@@ -167,3 +167,35 @@ def test_rows_reach_leaves_of_any_depth():
     tree.split(right, 0, 7, (5.0, 9.0))
     assert tree.predict(np.array([[8, 3], [7, 4], [8, 4]], np.uint8)).tolist() == [1.0, 5.0, 9.0]
     assert boost.Tree().nodes(np.zeros((2, 3), np.uint8)).tolist() == [0, 0] and len(tree.nodes(np.zeros((0, 2), np.uint8))) == 0
+
+
+def test_pooled_rounds_equal_level_jobs_and_leave_no_long_plans(spark, monkeypatch):
+    x, y = data(400)
+    x = np.round(x)  # equal rows with other labels, drawn each for itself
+    fit, val = frame(spark, x[:300], y[:300]), frame(spark, x[300:], y[300:])
+    monkeypatch.setattr(boost, "KEPT", 2)
+    plans = [boost.Plan(rounds=7, max_depth=3, subsample=0.7, columns=0.7, seed=3), boost.Plan(rounds=5, max_depth=4, penalty=1.0, min_rows=3)]
+    got = []
+    for small in (10**9, 40, 0):
+        monkeypatch.setattr(boost, "SMALL_ROWS", small)
+        b = boost.Booster(fit, val, "features", "y")
+        assert b.points < 200
+        models = [boost.Growing(i, p) for i, p in enumerate(plans)]
+        b.advance(models, 7)
+        # Margins are read back from where they were written: a plan that held all rounds so far made the driver's memory grow.
+        assert b.renewals >= 2 and "MapInArrow" not in b.written._jdf.queryExecution().logical().toString()
+        b.close()
+        got.append([(sorted(round(v, 9) for v in m.trees[-1].value), len(m.trees), m.scores) for m in models])
+    for other in got[1:]:
+        for (values, n, scores), (own, own_n, own_scores) in zip(got[0], other):
+            assert n == own_n and scores == pytest.approx(own_scores) and values == pytest.approx(own)
+
+
+def test_trees_are_packed_and_grafted():
+    tree, other = boost.Tree(), boost.Tree()
+    left, right = tree.split(0, 1, 3, (1.0, 2.0))
+    other.split(other.split(0, 0, 7, (5.0, 9.0))[1], 2, 1, (3.0, 4.0))
+    tree.graft(right, other)
+    back = boost.Tree.unpacked(tree.packed())
+    assert back == tree and len(tree.packed()) == 16 * 7
+    assert back.predict(np.array([[9, 3, 0], [7, 4, 0], [8, 4, 1], [8, 4, 2]], np.uint8)).tolist() == [1.0, 5.0, 3.0, 4.0]
