@@ -199,3 +199,17 @@ def test_trees_are_packed_and_grafted():
     back = boost.Tree.unpacked(tree.packed())
     assert back == tree and len(tree.packed()) == 16 * 7
     assert back.predict(np.array([[9, 3, 0], [7, 4, 0], [8, 4, 1], [8, 4, 2]], np.uint8)).tolist() == [1.0, 5.0, 3.0, 4.0]
+
+
+def test_a_search_grows_every_trial_to_its_full_size(spark):
+    x, y = data(300)
+    noise = np.random.default_rng(8).normal(size=300)  # nothing to learn: neither rungs nor validation rows may end a trial
+    fit, val = frame(spark, x[:200], noise[:200]), frame(spark, x[200:], noise[200:])
+    found = train.search(spark, fit, val, "y", n_trials=3, seed=5, model="xgboost", space={"xgboost": {
+        "n_estimators": ("step", 30, 40, 5), "max_depth": ("step", 2, 4, 1), "learning_rate": ("real", 0.2, 0.3), "subsample": ("real", 0.6, 1.0)}})
+    rows = found.trials.collect()
+    assert {r["state"] for r in rows} == {"COMPLETE"}
+    best = min(rows, key=lambda r: r["score"])
+    assert found.best["root_mean_squared_error"].n_trees == eval(best["params"])["n_estimators"]
+    wide = train.search(spark, fit, val, "y", n_trials=8, seed=5, space=small_space())
+    assert {r["state"] for r in wide.trials.collect()} == {"COMPLETE"}

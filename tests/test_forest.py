@@ -8,6 +8,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from tallyforge.operators import boost, forest, train
+from tallyforge.session import scratch_path
 
 
 def frame(spark, x, y):
@@ -101,3 +102,43 @@ def test_labels_of_a_forest_are_known(spark):
     df = frame(spark, [[1.0], [2.0]], [1.0, float("nan")])
     with pytest.raises(ValueError, match="null or NaN"):
         forest.random_forest("features", "y", forest.ForestPlan(trees=2)).fit(df)
+
+
+@pytest.mark.parametrize("cells", [forest.CELLS, 3 * 2 * forest.BINS])
+def test_levels_of_many_points_equal_trees_grown_in_one_task(spark, monkeypatch, cells):
+    monkeypatch.setattr(forest, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(forest, "LEAST_ROWS", 50)
+    monkeypatch.setattr(forest, "CELLS", cells)
+    x, y = data(300)
+    df = frame(spark, x, y)
+    for columns, smalls in ((0.6, (0,)), (1.0, (0, 40))):  # nodes below one that is grown out have other draws of features
+        plan = forest.ForestPlan(trees=3, max_depth=4, columns=columns, min_rows=3.0, seed=5)
+        want = [r["prediction"] for r in forest.random_forest("features", "y", plan).fit(df).transform(df).collect()]
+        for small in smalls:
+            with monkeypatch.context() as m:
+                m.setattr(boost, "SMALL_ROWS", small)
+                got = [r["prediction"] for r in forest.random_forest("features", "y", plan).fit(df).transform(df).collect()]
+            assert got == pytest.approx(want)
+
+
+@pytest.mark.parametrize("small", [10**9, 40])
+def test_deep_forests_are_tables(spark, monkeypatch, small):
+    monkeypatch.setattr(boost, "SMALL_ROWS", small)
+    monkeypatch.setattr(boost, "SENT_BYTES", 12 * 300 * 2)  # some trees a job
+    monkeypatch.setattr(forest, "SCORED_CELLS", 100)
+    x, y = data(300)
+    df = frame(spark, x, y)
+    plan = forest.ForestPlan(trees=5, max_depth=9, min_rows=2.0, seed=5)
+    kept = forest.random_forest("features", "y", plan).fit(df)
+    monkeypatch.setattr(forest, "KEPT_NODES", 0)
+    written = forest.random_forest("features", "y", plan).fit(df)
+    assert isinstance(kept, boost.BoostedTreesModel) and isinstance(written, forest.WrittenForest) and written.n_trees == 5
+    path = scratch_path(spark, "written")
+    train.save_pipeline(written, path)
+    twice = df.union(df)
+    want = sorted((r["y"], r["prediction"]) for r in kept.transform(twice).collect())
+    for model in (written, forest.WrittenForest.load(path)):
+        said = model.transform(twice)
+        assert said.columns == [*df.columns, "prediction"] and np.allclose(sorted((r["y"], r["prediction"]) for r in said.collect()), want)
+    assert written.transform(df.limit(0)).count() == 0
+    assert train.mean_forest([(written, 5), (kept, 5)]).transform(df).count() == 300
